@@ -159,7 +159,7 @@ def internal_scores(df: DataFrame, vector: str, cluster: str) -> DataFrame:
     means = df.groupBy(F.col(cluster).alias("c")).agg(Summarizer.mean(F.col(vector)).alias("m"), F.count(F.lit(1)).alias("n"))
     centroids = means.select("c", vector_to_array("m").alias("m"), "n").collect()
     spark = df.sparkSession
-    table = spark.createDataFrame([(r["c"], r["m"]) for r in centroids], means.select("c").schema.add("centre", "array<double>"))
+    table = spark.createDataFrame([(r["c"], r["m"]) for r in centroids], means.select("c", vector_to_array("m").alias("centre")).schema)
     far = df.select(F.col(cluster).alias("c"), vector_to_array(vector).alias("v")).join(F.broadcast(table), "c")
     square = squared_distance(F.col("v"), F.col("centre"))
     spread = {r["c"]: r for r in far.withColumn("d", square).groupBy("c").agg(F.sum("d").alias("w"), F.avg(F.sqrt("d")).alias("s")).collect()}

@@ -90,12 +90,18 @@ class Fitted:
         return self.model.transform(df)
 
 
-def fit(df: DataFrame, cols: Columns, classifier, scale: bool = True, ordinal: bool = False, balance: bool = True) -> Fitted:
+def fit(
+    df: DataFrame, cols: Columns, classifier, scale: bool = True, ordinal: bool = False, balance: bool = True, cut: bool = True
+) -> Fitted:
     """Preprocessing and classifier fitted together on one frame.
 
     ``classifier`` is an estimator or a function of (feature count, class count).
     Everything learnt, categories and medians included, comes from ``df`` alone.
+    Fitting passes over the rows several times, so the needed columns are cut
+    from their lineage first unless the caller has done so.
     """
+    df = df.select(*cols.categorical, *cols.numeric, cols.label)
+    df = cut_lineage(df) if cut else df
     indexer = label_index(df, cols.label)
     weighted = add_class_weights(df, cols.label) if balance else df.withColumn("weight", F.lit(1.0))
     before = Pipeline(stages=matrix_stages(cols.categorical, cols.numeric, cols.min_frequency, scale, ordinal)).fit(weighted)
@@ -113,7 +119,7 @@ def cross_validate(df: DataFrame, cols: Columns, classifier, k: int = 5, seed: i
     folded = cut_lineage(stratified_folds(df, cols.key, cols.label, k, seed))
     rows = []
     for fold in range(k):
-        fitted = fit(folded.filter(F.col("fold") != fold), cols, classifier, **options)
+        fitted = fit(folded.filter(F.col("fold") != fold), cols, classifier, cut=False, **options)
         scores = metric_summary(fitted.score(folded.filter(F.col("fold") == fold)), cols.label, "predicted").first()
         rows.append((fold + 1, *[float(scores[m]) for m in METRICS]))
     return df.sparkSession.createDataFrame(rows, "fold int, " + ", ".join(f"{m} double" for m in METRICS))

@@ -1,13 +1,6 @@
 """All registered queries."""
 
-import importlib
-
+from ledgerloom.plans import q_analysis, q_cleaning, q_matching, q_models  # noqa: F401
 from ledgerloom.plans.registry import ORACLES, QUERIES
 
-for _module in ("q_cleaning", "q_analysis", "q_matching", "q_models"):
-    try:
-        importlib.import_module(f"ledgerloom.plans.{_module}")
-    except ModuleNotFoundError:
-        pass
-
 __all__ = ["ORACLES", "QUERIES"]
