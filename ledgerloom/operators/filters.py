@@ -36,19 +36,34 @@ def drop_rare_learned(train: DataFrame, others, column: str, at_least: int) -> l
     return [df.join(keep, column, "left_semi") for df in (train, *others)]
 
 
-def column_facts(df: DataFrame, columns) -> DataFrame:
+def column_facts(df: DataFrame, columns, low: int = 64) -> DataFrame:
     """``column, rows, nulls, distinct_values, top_count``; NULL counts as a value.
 
-    One job for all columns: pairs of column and value are counted map-side, so
-    a dominant value travels as a single number per task.
+    A first pass takes null counts and a distinct-value sketch of every column.
+    Only columns that may have few values are then counted value by value; for
+    the others ``distinct_values`` and ``top_count`` stay NULL. So no column of
+    many values is ever shuffled, and values of the rest combine map-side.
     """
-    counted = value_counts_long(df, columns, with_null=True)
-    return counted.groupBy("column").agg(
+    columns = list(columns)
+    rough = df.agg(
+        F.count(F.lit(1)).alias("__rows"),
+        *[F.count(F.col(f"`{c}`")).alias(f"n_{c}") for c in columns],
+        *[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"d_{c}") for c in columns],
+    ).first()
+    narrow = [c for c in columns if rough[f"d_{c}"] <= low]
+    wide = [(c, rough["__rows"], rough["__rows"] - rough[f"n_{c}"], None, None) for c in columns if c not in narrow]
+    facts = df.sparkSession.createDataFrame(
+        wide, "column string, rows long, nulls long, distinct_values long, top_count long"
+    )
+    if not narrow:
+        return facts
+    counted = value_counts_long(df, narrow, with_null=True).groupBy("column").agg(
         F.sum("count").alias("rows"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("count"))), F.lit(0)).alias("nulls"),
         F.count(F.lit(1)).alias("distinct_values"),
         F.max("count").alias("top_count"),
     )
+    return counted.unionByName(facts)
 
 
 def sparse_columns(facts: DataFrame, above: float, exempt=()) -> DataFrame:

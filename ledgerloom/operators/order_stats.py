@@ -64,9 +64,11 @@ def exact_quantiles(
         return F.struct(F.lit(p).alias("prob"), at_low.alias("low"), at_high.alias("high"))
 
     brackets = sketch.select(*by, "column", "n", F.inline(F.array(*[bracket(p) for p in probs])))
-    brackets = broadcast_if_small(
-        brackets.select(*[F.col(f"`{b}`").alias(f"__{b}") for b in by], F.col("column").alias("__column"), "n", "prob", "low", "high")
+    brackets = brackets.select(
+        *[F.col(f"`{b}`").alias(f"__{b}") for b in by], F.col("column").alias("__column"), "n", "prob", "low", "high"
     )
+    # Without groups there is one bracket per column and probability; with groups the size is measured.
+    brackets = broadcast_if_small(brackets) if by else F.broadcast(brackets)
     on = null_safe_on(long, brackets, [(c, f"__{c}") for c in [*by, "column"]])
     inside = long.join(brackets, on & (long["value"] <= brackets["high"]))
     key = [*by, "column", "prob", "n"]

@@ -18,19 +18,20 @@ def block_of(order: str, rows: int = BLOCK_ROWS) -> Column:
     return F.floor(F.col(order) / F.lit(rows)).cast("long")
 
 
-def number_rows(df: DataFrame, order: str, into: str, start: int = 1, rows: int = BLOCK_ROWS) -> DataFrame:
-    """Consecutive numbers in the order of a unique integer column."""
-    blocked = df.withColumn("__block", block_of(order, rows))
-    sizes = blocked.groupBy("__block").agg(F.count(F.lit(1)).alias("c"))
+def number_within(df: DataFrame, block: str, place: Column, into: str, start: int = 1) -> DataFrame:
+    """Consecutive numbers by (block, place); blocks are of bounded size."""
+    sizes = df.groupBy(block).agg(F.count(F.lit(1)).alias("__c"))
     before = sizes.select(
-        F.col("__block").alias("__at"),
-        (F.sum("c").over(W.orderBy("__block").rowsBetween(W.unboundedPreceding, -1))).alias("before"),
-    )
-    joined = blocked.join(before, F.col("__block") == F.col("__at"))
-    place = F.row_number().over(W.partitionBy("__block").orderBy(order))
-    return joined.withColumn(into, (place + F.coalesce("before", F.lit(0)) + F.lit(start - 1)).cast("long")).drop(
-        "__block", "__at", "before"
+        F.col(block).alias("__at"), F.sum("__c").over(W.orderBy(block).rowsBetween(W.unboundedPreceding, -1)).alias("__before")
     )
+    joined = df.join(before, F.col(block) == F.col("__at"))
+    position = F.row_number().over(W.partitionBy(block).orderBy(place))
+    return joined.withColumn(into, (position + F.coalesce("__before", F.lit(0)) + F.lit(start - 1)).cast("long")).drop("__at", "__before")
+
+
+def number_rows(df: DataFrame, order: str, into: str, start: int = 1, rows: int = BLOCK_ROWS) -> DataFrame:
+    """Consecutive numbers in the order of a unique integer column."""
+    return number_within(df.withColumn("__block", block_of(order, rows)), "__block", F.col(order), into, start).drop("__block")
 
 
 def carry_forward(df: DataFrame, value: str, into: str, source: str, block: str, order: str) -> DataFrame:
