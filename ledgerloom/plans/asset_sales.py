@@ -33,14 +33,14 @@ def sales_records(grid: DataFrame) -> DataFrame:
     records = sheets.stitch_records(grid, v.SALES_SHEET, v.SALES_HEADINGS)
     area, land, price, date, number = (v.SALES_SHEET[i] for i in (7, 8, 13, 15, 0))
     typed = {number: text.parse_float, area: text.locale_number, land: text.locale_number, price: text.locale_number, date: dates.parse_day_first}
-    return _with_order(sheets.type_records(records, typed)).select(ROW, *[F.col(f"`{c}`") for c in v.SALES_SHEET])
+    return cut_lineage(_with_order(sheets.type_records(records, typed)).select(ROW, *[F.col(f"`{c}`") for c in v.SALES_SHEET]))
 
 
 def rent_records(grid: DataFrame) -> DataFrame:
     records = sheets.stitch_records(grid, v.RENT_SHEET, v.RENT_HEADINGS)
     number, area, amount, date = (v.RENT_SHEET[i] for i in (0, 8, 9, 10))
     typed = {number: text.parse_float, area: text.locale_number, amount: text.locale_number, date: dates.parse_day_first}
-    return _with_order(sheets.type_records(records, typed)).select(ROW, *[F.col(f"`{c}`") for c in v.RENT_SHEET])
+    return cut_lineage(_with_order(sheets.type_records(records, typed)).select(ROW, *[F.col(f"`{c}`") for c in v.RENT_SHEET]))
 
 
 def _with_order(records: DataFrame) -> DataFrame:
@@ -48,8 +48,8 @@ def _with_order(records: DataFrame) -> DataFrame:
 
     Blocks of one source hold a bounded number of records each.
     """
-    sized = records.withColumn("__block", F.struct("source", F.col("record")[0].alias("b")))
-    return ranking.number_within(sized, "__block", F.col("record")[1], ROW).drop("__block")
+    sized = records.withColumn("__block", F.struct("source", F.col("record.block")))
+    return ranking.number_within(sized, "__block", F.col("record.pos"), ROW).drop("__block")
 
 
 def convert_rents(rents: DataFrame, start: int) -> DataFrame:
@@ -75,7 +75,7 @@ def combine(sales: DataFrame, rents: DataFrame) -> DataFrame:
     converted = convert_rents(rents, int(last["m"] or 0) + 1).withColumn(ROW, F.col(ROW) + F.lit(last["r"] or 0))
     converted = converted.withColumn(number, F.col(f"`{number}`").cast("double"))
     both = sales.unionByName(converted)
-    return ranking.number_rows(both.drop(number), ROW, number).select(ROW, *[F.col(f"`{c}`") for c in v.SALES_SHEET])
+    return cut_lineage(ranking.number_rows(both.drop(number), ROW, number).select(ROW, *[F.col(f"`{c}`") for c in v.SALES_SHEET]))
 
 
 def enrich(sales: DataFrame, registry: DataFrame, fuzzy: bool = True) -> DataFrame:

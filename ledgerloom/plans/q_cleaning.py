@@ -247,9 +247,7 @@ def stitch_records(spark, d):
 
 @query("drop_header_rows", f"WITH {SHEET} SELECT source, pos, c1 FROM kept")
 def drop_header_rows(spark, d):
-    g = sheet_grid(spark, d)
-    cleaned = g.withColumns({c: text.clean_spaces(c) for c in SHEET_COLUMNS})
-    return cleaned.filter(~sheets.is_blank(SHEET_COLUMNS) & ~sheets.is_heading(SHEET_COLUMNS, HEADING)).select("source", "pos", "c1")
+    return sheets.kept_rows(sheet_grid(spark, d), SHEET_COLUMNS, HEADING).select("source", "pos", F.col("cells")[0].alias("c1"))
 
 
 @query("type_records", f"""WITH {SHEET}, t AS (SELECT source, record, c1, c4 FROM records)
