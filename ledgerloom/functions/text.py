@@ -136,27 +136,35 @@ def entity_name(c) -> Column:
     return F.trim(F.regexp_replace(text, "[^a-z0-9]+", " "))
 
 
+def spelled_names(c) -> Column:
+    """The whole cell, each name in it, then the names joined: array of text, in lookup order."""
+    raw = F.trim(F.coalesce(_as_text(c), F.lit("")))
+    parts = F.filter(F.transform(F.split(raw, NAME_SEPARATOR), lambda p: F.trim(p)), lambda p: p != "")
+    return _bind(parts, lambda ps: F.concat(
+        F.array(raw), ps, F.when(F.size(ps) > 1, F.array(F.array_join(ps, " "))).otherwise(F.array())
+    ))
+
+
 def name_candidates(c) -> Column:
     """Spellings to look up for a cell that may hold several names.
 
-    The whole cell, each part, then the parts joined; a spelling whose
-    comparable form was seen before, or is empty, is left out.
+    A spelling whose comparable form was seen before, or is empty, is left out.
     Result: array of struct(name, norm).
     """
-    raw = F.trim(F.coalesce(_as_text(c), F.lit("")))
-    parts = F.filter(F.transform(F.split(raw, NAME_SEPARATOR), lambda p: F.trim(p)), lambda p: p != "")
-    spelled = F.concat(
-        F.array(raw), parts, F.when(F.size(parts) > 1, F.array(F.array_join(parts, " "))).otherwise(F.array())
-    )
-    pairs = F.transform(spelled, lambda s: F.struct(s.alias("name"), entity_name(s).alias("norm")))
+    pairs = F.transform(spelled_names(c), lambda s: F.struct(s.alias("name"), entity_name(s).alias("norm")))
     return first_by_norm(F.filter(pairs, lambda p: p["norm"] != ""))
 
 
 def first_by_norm(pairs: Column) -> Column:
     """Keep the first struct of each ``norm`` in an array, in order."""
-    return F.filter(
-        pairs, lambda p, i: F.array_position(F.transform(pairs, lambda q: q["norm"]), p["norm"]) == i + 1
-    )
+    return _bind(pairs, lambda ps: F.filter(
+        ps, lambda p, i: F.array_position(F.transform(ps, lambda q: q["norm"]), p["norm"]) == i + 1
+    ))
+
+
+def _bind(value: Column, use) -> Column:
+    """Evaluate ``value`` once and use it several times."""
+    return F.transform(F.array(value), use)[0]
 
 
 def contains_all(c, words) -> Column:

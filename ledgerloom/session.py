@@ -76,6 +76,17 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame
     return F.broadcast(fixed) if measured_bytes(fixed) <= limit else fixed
 
 
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Repartition ahead of work that is heavy for its bytes.
+
+    Adaptive coalescing goes by size and would leave such work to a few tasks; a
+    stated number of partitions is left alone.
+    """
+    spark = df.sparkSession
+    count = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(count, *columns)
+
+
 def null_safe_on(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]):
     """Conjunction of ``<=>`` over column pairs, so NULL keys match each other."""
     condition = None
