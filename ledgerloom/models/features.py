@@ -18,6 +18,7 @@ from ledgerloom.functions import features as fx
 from ledgerloom.functions.rules import first_regex
 from ledgerloom.functions.text import lowered_or_null
 from ledgerloom.operators.order_stats import medians_of, quantiles_of, value_counts_long
+from ledgerloom.session import broadcast_if_small, cut_lineage
 from ledgerloom.sources.columns import add_missing
 
 MISSING = "__missing__"
@@ -33,43 +34,64 @@ class _Learned(HasInputCols):
         return json.loads(self.getOrDefault(self.state))
 
 
+# Learned category lists longer than this stay a distributed table.
+LISTED_VALUES = 100_000
+
+
 class CategoryCollapser(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
     """Learns which categories are frequent; the others become one word.
 
     With ``unseenApart`` a value never met in training stays as it is, so that an
-    indexer after this stage can tell it from a rare one.
+    indexer after this stage can tell it from a rare one. Up to ``listed`` learned
+    values are kept as a list in the stage; more are kept as a table and joined.
+    ``tablePath`` is where that table is written; without it the table lives as
+    long as the session and the stage cannot be reloaded.
     """
 
     threshold = Param(Params._dummy(), "threshold", "least count to keep a category", TypeConverters.toInt)
     unseenApart = Param(Params._dummy(), "unseenApart", "leave unseen values alone", TypeConverters.toBoolean)
+    listed = Param(Params._dummy(), "listed", "most learned values to keep as a list", TypeConverters.toInt)
+    tablePath = Param(Params._dummy(), "tablePath", "folder for a longer learned table", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, inputCols=None, threshold=15, unseenApart=False):
+    def __init__(self, inputCols=None, threshold=15, unseenApart=False, listed=LISTED_VALUES, tablePath=""):
         super().__init__()
-        self._setDefault(threshold=15, unseenApart=False)
+        self._setDefault(threshold=15, unseenApart=False, listed=LISTED_VALUES, tablePath="")
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, df: DataFrame):
-        columns, least = self.getInputCols(), self.getOrDefault(self.threshold)
+        columns, least, apart = self.getInputCols(), self.getOrDefault(self.threshold), self.getOrDefault(self.unseenApart)
         texts = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit(MISSING)).alias(c) for c in columns])
         counts = value_counts_long(texts, columns)
-        wanted = counts if self.getOrDefault(self.unseenApart) else counts.filter(F.col("count") >= least)
-        keep = {c: [] for c in columns}
-        rare = {c: [] for c in columns}
+        wanted = counts if apart else counts.filter(F.col("count") >= least)
+        wanted = cut_lineage(wanted.select("column", "value", (F.col("count") >= least).alias("frequent")))
+        state = {"apart": apart, "keep": {c: [] for c in columns}, "rare": {c: [] for c in columns}}
+        if wanted.count() > self.getOrDefault(self.listed):
+            path = self.getOrDefault(self.tablePath)
+            if path:
+                wanted.write.mode("overwrite").parquet(path)
+                wanted = df.sparkSession.read.parquet(path)
+            model = CategoryCollapserModel(columns, json.dumps(state | {"table": path or "session"}))
+            model.table = wanted
+            return model
         for r in wanted.collect():
-            (keep if r["count"] >= least else rare)[r["column"]].append(r["value"])
-        state = {"keep": keep, "rare": rare, "apart": self.getOrDefault(self.unseenApart)}
+            state["keep" if r["frequent"] else "rare"][r["column"]].append(r["value"])
         return CategoryCollapserModel(columns, json.dumps(state, sort_keys=True))
 
 
 class CategoryCollapserModel(Model, _Learned, DefaultParamsReadable, DefaultParamsWritable):
+    table: DataFrame | None = None
+
     def __init__(self, columns=None, state=None):
         super().__init__()
         if columns is not None:
             self._set(inputCols=columns, state=state)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        learned, out = self.learned(), {}
+        learned = self.learned()
+        if "table" in learned:
+            return self._joined(df, learned)
+        out = {}
         for c in self.getInputCols():
             text = F.coalesce(F.col(c).cast("string"), F.lit(MISSING))
             if learned["apart"]:
@@ -78,6 +100,18 @@ class CategoryCollapserModel(Model, _Learned, DefaultParamsReadable, DefaultPara
                 out[c] = F.when(text.isin(learned["keep"][c]), text).otherwise(RARE)
         return df.withColumns(out)
 
+    def _joined(self, df: DataFrame, learned: dict) -> DataFrame:
+        if self.table is None and learned["table"] == "session":
+            raise ValueError("the learned table was not written; fit with tablePath to reload this stage")
+        table = self.table if self.table is not None else df.sparkSession.read.parquet(learned["table"])
+        for c in self.getInputCols():
+            known = table.filter(F.col("column") == c).select(F.col("value").alias("__value"), F.col("frequent").alias("__frequent"))
+            df = df.withColumn(c, F.coalesce(F.col(c).cast("string"), F.lit(MISSING)))
+            df = df.join(broadcast_if_small(known), F.col(c) == F.col("__value"), "left")
+            rare = ~F.col("__frequent") if learned["apart"] else F.col("__frequent").isNull()
+            df = df.withColumn(c, F.when(rare, RARE).otherwise(F.col(c))).drop("__value", "__frequent")
+        return df
+
 
 class QuantileBinner(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
     """Equal-frequency, right-closed bins on exact training quantiles.

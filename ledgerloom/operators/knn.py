@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ledgerloom.session import broadcast_if_small, cut_lineage
 
 BLOCK = 512
-MAX_PIVOTS = 256
+MAX_PIVOTS = 2048
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -44,11 +44,26 @@ def _to_cells(df: DataFrame, pivots: np.ndarray) -> DataFrame:
     return df.withColumn("__at", locate("vector")).select("*", "__at.*").drop("__at")
 
 
-def _blocks(df: DataFrame, by: list[str], fields: list[str], prefix: str) -> DataFrame:
-    """Rows of each group packed into blocks of bounded size."""
-    sizes = broadcast_if_small(df.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("__n")))
-    dealt = df.join(sizes, by).withColumn("__b", F.pmod(F.xxhash64("id"), F.col("__n")))
-    return dealt.groupBy(*by, "__b").agg(*[F.collect_list(F.col(f)).alias(f"{prefix}{f}") for f in fields]).drop("__b")
+def _block_counts(df: DataFrame, name: str) -> DataFrame:
+    """Blocks needed per cell; one small row per pivot."""
+    return broadcast_if_small(df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias(name)))
+
+
+def _blocks(df: DataFrame, fields: list[str], prefix: str) -> DataFrame:
+    """Rows of each cell packed into numbered blocks of bounded size."""
+    dealt = df.join(_block_counts(df, "__n"), "cell").withColumn("block", F.pmod(F.xxhash64("id"), F.col("__n")))
+    return dealt.groupBy("cell", "block").agg(*[F.collect_list(F.col(f)).alias(f"{prefix}{f}") for f in fields])
+
+
+def _block_pairs(queries: DataFrame, train: DataFrame, t_blocks: DataFrame) -> DataFrame:
+    """Every query block with every training block of its cell.
+
+    Query blocks are copied per training block and joined on (cell, block), so a
+    cell that holds a third of all vectors is spread over its blocks.
+    """
+    packed = _blocks(queries, ["id", "vector"], "q_").drop("block")
+    copied = packed.join(_block_counts(train, "__t"), "cell").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__t") - 1)))
+    return copied.join(t_blocks, ["cell", "block"]).select("q_id", "q_vector", "t_id", "t_vector", "t_label")
 
 
 def _search(pairs: DataFrame, k: int) -> DataFrame:
@@ -87,9 +102,8 @@ def knn_join(train: DataFrame, queries: DataFrame, k: int, seed: int = 42, pivot
     centres = _matrix([r["vector"] for r in chosen])
     train = cut_lineage(_to_cells(train.withColumn("label", F.col("label").cast("string")), centres))
     queries = cut_lineage(_to_cells(queries, centres))
-    t_blocks = _blocks(train, ["cell"], ["id", "vector", "label"], "t_")
-    own = _blocks(queries, ["cell"], ["id", "vector"], "q_").join(t_blocks, "cell").select("q_id", "q_vector", "t_id", "t_vector", "t_label")
-    first = _nearest(_search(own, k), k)
+    t_blocks = _blocks(train, ["id", "vector", "label"], "t_")
+    first = _nearest(_search(_block_pairs(queries, train, t_blocks), k), k)
     if len(centres) == 1:
         return first
     first = cut_lineage(first)
@@ -107,8 +121,8 @@ def knn_join(train: DataFrame, queries: DataFrame, k: int, seed: int = 42, pivot
         ])
 
     others = queries.join(bound, "id", "left").select("id", "vector", F.explode(reachable("vector", "cell", "bound")).alias("cell"))
-    second = _blocks(others, ["cell"], ["id", "vector"], "q_").join(t_blocks, "cell").select("q_id", "q_vector", "t_id", "t_vector", "t_label")
-    return _nearest(first.select("id", "train_id", "label", "distance").unionByName(_search(second, k)), k)
+    second = _search(_block_pairs(others, train, t_blocks), k)
+    return _nearest(first.select("id", "train_id", "label", "distance").unionByName(second), k)
 
 
 def knn_vote(neighbours: DataFrame) -> DataFrame:

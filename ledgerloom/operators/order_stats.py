@@ -56,37 +56,41 @@ def exact_quantiles(
         F.percentile_approx("value", grid, accuracy).alias("marks"),
     )
 
-    def bracket(p):
+    def bracket(i, p):
         low, high = max(p - slack, 0.0), min(p + slack, 1.0)
         whole = F.col("n") <= small_group
         at_low = F.col("least") if low == 0.0 else F.when(whole, F.col("least")).otherwise(F.col("marks")[grid.index(low)])
         at_high = F.col("most") if high == 1.0 else F.when(whole, F.col("most")).otherwise(F.col("marks")[grid.index(high)])
-        return F.struct(F.lit(p).alias("prob"), at_low.alias("low"), at_high.alias("high"))
+        return F.struct(F.lit(i).alias("place"), at_low.alias("low"), at_high.alias("high"))
 
-    brackets = sketch.select(*by, "column", "n", F.inline(F.array(*[bracket(p) for p in probs])))
+    brackets = sketch.select(*by, "column", "n", F.inline(F.array(*[bracket(i, p) for i, p in enumerate(probs)])))
     brackets = brackets.select(
-        *[F.col(f"`{b}`").alias(f"__{b}") for b in by], F.col("column").alias("__column"), "n", "prob", "low", "high"
+        *[F.col(f"`{b}`").alias(f"__{b}") for b in by], F.col("column").alias("__column"), "n", "place", "low", "high"
     )
     # Without groups there is one bracket per column and probability; with groups the size is measured.
     brackets = broadcast_if_small(brackets) if by else F.broadcast(brackets)
     on = null_safe_on(long, brackets, [(c, f"__{c}") for c in [*by, "column"]])
     inside = long.join(brackets, on & (long["value"] <= brackets["high"]))
-    key = [*by, "column", "prob", "n"]
+    # The integer place stands in for the probability, so that the window and the
+    # pick after it share one partitioning.
+    key = [*by, "column", "place", "n"]
     counted = inside.groupBy(*key, F.when(F.col("value") >= F.col("low"), F.col("value")).alias("at")).agg(
         F.count(F.lit(1)).alias("c")
     )
     upto = W.partitionBy(*key).orderBy(F.col("at").asc_nulls_first()).rowsBetween(W.unboundedPreceding, 0)
-    ranked = counted.withColumn("upto", F.sum("c").over(upto)).withColumn("spot", F.col("prob") * (F.col("n") - 1))
-    picked = ranked.groupBy(*key, "spot").agg(
+    prob = F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("place") + 1)
+    spot = prob * (F.col("n") - 1)
+    ranked = counted.withColumn("upto", F.sum("c").over(upto))
+    picked = ranked.groupBy(*key).agg(
         F.max(F.when(F.col("at").isNull(), F.col("upto")).otherwise(0)).alias("below"),
-        F.min(F.when(F.col("upto") > F.floor("spot"), F.col("at"))).alias("a"),
-        F.min(F.when(F.col("upto") > F.ceil("spot"), F.col("at"))).alias("b"),
+        F.min(F.when(F.col("upto") > F.floor(spot), F.col("at"))).alias("a"),
+        F.min(F.when(F.col("upto") > F.ceil(spot), F.col("at"))).alias("b"),
     )
-    sound = (F.col("below") <= F.floor("spot")) & F.col("b").isNotNull()
-    value = F.when(sound, F.col("a") + (F.col("b") - F.col("a")) * (F.col("spot") - F.floor("spot"))).otherwise(
+    sound = (F.col("below") <= F.floor(spot)) & F.col("b").isNotNull()
+    value = F.when(sound, F.col("a") + (F.col("b") - F.col("a")) * (spot - F.floor(spot))).otherwise(
         F.raise_error(F.lit("quantile bracket missed its rank; raise accuracy")).cast("double")
     )
-    return picked.select(*by, "column", "prob", "n", value.alias("value"))
+    return picked.select(*by, "column", prob.alias("prob"), "n", value.alias("value"))
 
 
 def exact_medians(df: DataFrame, cols, by=()) -> DataFrame:

@@ -9,6 +9,7 @@ from ledgerloom.models import evaluate
 from ledgerloom.operators import dedup, filters, impute, order_stats, outliers, profile, split
 from ledgerloom.plans import views
 from ledgerloom.plans.registry import query, table
+from ledgerloom.session import cut_lineage
 from ledgerloom.sources import columns
 
 IQR_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "line_value"]
@@ -47,7 +48,8 @@ def outlier_rate(spark, d):
         "l_orderkey", "l_partkey", "l_returnflag", (clean_numeric(spelled) / 100).alias("amount"),
         F.struct("l_suppkey", "l_linenumber", "l_extendedprice", "l_quantity").alias("place"),
     )
-    kept = dedup.keep_first(cleaned, ["l_orderkey", "l_partkey"], "place").select("l_returnflag", "amount")
+    # Cut here: the bounds take several passes and must not repeat the shuffle.
+    kept = cut_lineage(dedup.keep_first(cleaned, ["l_orderkey", "l_partkey"], "place").select("l_returnflag", "amount"))
     flagged = outliers.iqr_flags(kept, outliers.iqr_stats(kept, ["amount"]))
     hits, rows = F.sum("amount_is_outlier_iqr"), F.count(F.lit(1))
     return flagged.groupBy("l_returnflag").agg(rows.alias("n_rows"), hits.alias("outliers"), F.round(hits * 100.0 / rows, 6).alias("percent"))

@@ -77,13 +77,18 @@ def test_external_scores_of_equal_partitions(spark):
     assert (got["ari"], got["nmi"]) == (pytest.approx(1.0), pytest.approx(1.0))
 
 
-def test_collapser_rare_and_unseen(spark):
+def test_collapser_rare_and_unseen(spark, tmp_path):
     df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 2 + [(None,)] * 5, "c string")
     new = spark.createDataFrame([("a",), ("b",), ("z",), (None,)], "c string")
     plain = CategoryCollapser(inputCols=["c"], threshold=5).fit(df).transform(new)
     assert [r[0] for r in plain.collect()] == ["a", "__rare__", "__rare__", "__missing__"]
     apart = CategoryCollapser(inputCols=["c"], threshold=5, unseenApart=True).fit(df).transform(new)
     assert [r[0] for r in apart.collect()] == ["a", "__rare__", "z", "__missing__"]
+    for unseen_apart, want in [(False, ["__missing__", "__rare__", "__rare__", "a"]), (True, ["__missing__", "__rare__", "a", "z"])]:
+        as_table = CategoryCollapser(inputCols=["c"], threshold=5, unseenApart=unseen_apart, listed=1, tablePath=str(tmp_path / f"t{unseen_apart}")).fit(df)
+        assert sorted(r[0] for r in as_table.transform(new).collect()) == want
+        as_table.write().overwrite().save(str(tmp_path / "stage"))
+        assert sorted(r[0] for r in type(as_table).load(str(tmp_path / "stage")).transform(new).collect()) == want
 
 
 def test_matrix_stages_and_reload(spark, tmp_path):
