@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerloom.session import broadcast_if_small
+
 
 def pair_counts(df: DataFrame, truth: str, prediction: str) -> DataFrame:
     return df.groupBy(F.col(truth).cast("string").alias("truth"), F.col(prediction).cast("string").alias("prediction")).agg(
@@ -104,9 +106,9 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def add_class_weights(df: DataFrame, label: str, into: str = "weight") -> DataFrame:
-    """Rows with their class weight; the class list is as long as the label set."""
+    """Rows with their class weight."""
     weights = class_weights(df, label).select(F.col("label").alias("__label"), F.col("weight").alias(into))
-    return df.join(F.broadcast(weights), F.col(label) == F.col("__label")).drop("__label")
+    return df.join(broadcast_if_small(weights), F.col(label) == F.col("__label")).drop("__label")
 
 
 def crosstab_share(df: DataFrame, row: str, column: str) -> DataFrame:
@@ -119,12 +121,15 @@ def crosstab_share(df: DataFrame, row: str, column: str) -> DataFrame:
 def cluster_profile(df: DataFrame, cluster: str, label: str, top: int = 5) -> DataFrame:
     """``cluster, size, place, label, count, ratio`` of the most frequent labels per cluster.
 
-    Labels are counted first; the ranking sees one row per cluster and label.
+    The rank filter sits right on the ranking, so every task passes on no more
+    than ``top`` labels of a cluster, however many the cluster has.
     """
     counts = df.groupBy(F.col(cluster).alias("cluster"), F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("count"))
-    ranked = counts.withColumn("place", F.row_number().over(W.partitionBy("cluster").orderBy(F.col("count").desc(), "label")))
-    sized = ranked.withColumn("size", F.sum("count").over(W.partitionBy("cluster")))
-    return sized.filter(F.col("place") <= top).select("cluster", "size", "place", "label", "count", (F.col("count") / F.col("size")).alias("ratio"))
+    sizes = df.groupBy(F.col(cluster).alias("__cluster")).agg(F.count(F.lit(1)).alias("size"))
+    place = F.row_number().over(W.partitionBy("cluster").orderBy(F.col("count").desc(), "label"))
+    ranked = counts.withColumn("place", place).filter(F.col("place") <= top)
+    joined = ranked.join(sizes, F.col("cluster").eqNullSafe(F.col("__cluster")))
+    return joined.select("cluster", "size", "place", "label", "count", (F.col("count") / F.col("size")).alias("ratio"))
 
 
 def external_scores(df: DataFrame, truth: str, cluster: str) -> DataFrame:

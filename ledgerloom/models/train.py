@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from ledgerloom.models.evaluate import MacroF1, add_class_weights, internal_scores, metric_summary, silhouette_sq
 from ledgerloom.models.features import feature_names, matrix_stages, pca_projection
 from ledgerloom.operators.knn import knn_join, knn_vote
-from ledgerloom.operators.split import stratified_folds
-from ledgerloom.session import cut_lineage
+from ledgerloom.operators.split import stratified_folds, train_test
+from ledgerloom.session import cut_lineage, spread
 
 METRICS = ["accuracy", "balanced_accuracy", "macro_f1", "weighted_f1"]
 
@@ -101,7 +101,7 @@ def fit(
     from their lineage first unless the caller has done so.
     """
     df = df.select(*cols.categorical, *cols.numeric, cols.label)
-    df = cut_lineage(df) if cut else df
+    df = cut_lineage(spread(df)) if cut else df
     indexer = label_index(df, cols.label)
     weighted = add_class_weights(df, cols.label) if balance else df.withColumn("weight", F.lit(1.0))
     before = Pipeline(stages=matrix_stages(cols.categorical, cols.numeric, cols.min_frequency, scale, ordinal)).fit(weighted)
@@ -116,7 +116,7 @@ def fit(
 
 def cross_validate(df: DataFrame, cols: Columns, classifier, k: int = 5, seed: int = 42, **options) -> DataFrame:
     """``fold`` and the four metrics, preprocessing fitted anew in every fold."""
-    folded = cut_lineage(stratified_folds(df, cols.key, cols.label, k, seed))
+    folded = cut_lineage(spread(stratified_folds(df, cols.key, cols.label, k, seed)))
     rows = []
     for fold in range(k):
         fitted = fit(folded.filter(F.col("fold") != fold), cols, classifier, cut=False, **options)
@@ -125,6 +125,24 @@ def cross_validate(df: DataFrame, cols: Columns, classifier, k: int = 5, seed: i
     return df.sparkSession.createDataFrame(rows, "fold int, " + ", ".join(f"{m} double" for m in METRICS))
 
 
+def refit(learn: DataFrame, held_out: DataFrame, cols: Columns, classifier, share: float = 0.15, seed: int = 42, **options):
+    """(fitted on everything, table of ``fit, part, metrics``).
+
+    First fitted on the larger share and measured on validation and test rows,
+    then refitted on all training rows and measured on the test rows.
+    """
+    learn = cut_lineage(spread(learn))
+    most, validation = train_test(learn, cols.key, share, seed, by=[cols.label])
+    partial, whole = fit(most, cols, classifier, **options), fit(learn, cols, classifier, cut=False, **options)
+    parts = [("share", "validation", partial, validation), ("share", "test", partial, held_out), ("all", "test", whole, held_out)]
+    table = None
+    for name, part, fitted, rows in parts:
+        scores = metric_summary(fitted.score(rows), cols.label, "predicted")
+        scores = scores.select(F.lit(name).alias("fit"), F.lit(part).alias("part"), *METRICS)
+        table = scores if table is None else table.unionByName(scores)
+    return whole, table
+
+
 def search(df: DataFrame, cols: Columns, build: Callable[[dict], object], configs: list[dict], k: int = 3, seed: int = 42, **options) -> DataFrame:
     """``trial, params, score``: mean cross-validated macro F1 of each configuration.
 
@@ -146,7 +164,7 @@ def random_configs(space: dict[str, list], count: int, seed: int = 42) -> list[d
 
 def grid_search(df: DataFrame, cols: Columns, estimator, grid, k: int = 3, seed: int = 42, parallelism: int = 2):
     """MLlib cross validation over a parameter grid on prepared folds, scored by macro F1."""
-    folded = cut_lineage(add_class_weights(stratified_folds(df, cols.key, cols.label, k, seed), cols.label))
+    folded = cut_lineage(spread(add_class_weights(stratified_folds(df, cols.key, cols.label, k, seed), cols.label)))
     indexer = label_index(folded, cols.label)
     pipeline = Pipeline(stages=[*matrix_stages(cols.categorical, cols.numeric, cols.min_frequency), estimator])
     validator = CrossValidator(
@@ -176,7 +194,7 @@ def importance_frame(spark, fitted: Fitted, sample: DataFrame) -> DataFrame:
 
 def kmeans_search(df: DataFrame, vector: str, ks=range(3, 11), restarts: int = 20, iterations: int = 300, seed: int = 42):
     """(best model, table of scores per k); each k keeps its cheapest restart, the best silhouette wins."""
-    fixed = cut_lineage(df)
+    fixed = cut_lineage(spread(df))
     best, rows = None, []
     for k in ks:
         runs = [KMeans(featuresCol=vector, predictionCol="cluster", k=k, maxIter=iterations, seed=seed + i).fit(fixed) for i in range(restarts)]
@@ -196,7 +214,7 @@ def kmeans_search(df: DataFrame, vector: str, ks=range(3, 11), restarts: int = 2
 def latent_table(df: DataFrame, vector: str, key: str, label: str, k: int = 8, clusters: int = 8, restarts: int = 20, seed: int = 42):
     """(frame of key, z, label, cluster; explained variance): low-dimensional form, then clusters."""
     latent, variance = pca_projection(df, vector, k, "z")
-    fixed = cut_lineage(latent.select(key, "z", label))
+    fixed = cut_lineage(spread(latent.select(key, "z", label)))
     runs = [KMeans(featuresCol="z", predictionCol="cluster", k=clusters, seed=seed + i).fit(fixed) for i in range(restarts)]
     model = min(runs, key=lambda m: m.summary.trainingCost)
     return model.transform(fixed), variance

@@ -6,7 +6,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
-from ledgerloom.models import evaluate, train
+from ledgerloom.models import evaluate, serve, train
 from ledgerloom.models.features import (
     AssetFeatures,
     CategoryCollapser,
@@ -248,6 +248,28 @@ def train_mlp(spark, d):
     return _evaluate(spark, d, lambda inputs, classes: train.perceptron(inputs, classes, hidden=(16,), iterations=40))
 
 
+@query("refit_evaluate")
+def refit_evaluate(spark, d):
+    learn, held_out = split.train_test(_order_features(spark, d), ["o_orderkey"], 0.2, by=["o_orderstatus"])
+    return train.refit(learn, held_out, ORDER_COLUMNS, train.random_forest(trees=10, depth=6))[1]
+
+
+@query("predict_confidence")
+def predict_confidence(spark, d):
+    learn, held_out = split.train_test(_order_features(spark, d), ["o_orderkey"], 0.2, by=["o_orderstatus"])
+    fitted = train.fit(learn, ORDER_COLUMNS, train.random_forest(trees=10, depth=6))
+    return evaluate.prediction_table(fitted.score(held_out), "o_orderstatus", "predicted", "probability", keep=["o_orderkey"])
+
+
+@query("rank_candidates")
+def rank_candidates(spark, d):
+    data = _order_features(spark, d)
+    fitted = train.fit(data, ORDER_COLUMNS, train.random_forest(trees=10, depth=6))
+    return serve.top_candidates(
+        fitted.score(data), ["o_orderkey"], vector_to_array("probability"), fitted.labels, k=2, min_probability=0.05, catch_all="O", exclude_catch_all=True
+    )
+
+
 @query("cross_validation")
 def cross_validation(spark, d):
     folds = train.cross_validate(_order_features(spark, d), ORDER_COLUMNS, train.random_forest(trees=10, depth=6), k=3)

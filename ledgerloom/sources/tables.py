@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.operators.ranking import BLOCK_ROWS
 from ledgerloom.sources.columns import normalize_columns
 
 
@@ -22,19 +23,21 @@ def text_schema(columns) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
 
-def read_grid(spark: SparkSession, path: str, columns) -> DataFrame:
+def read_grid(spark: SparkSession, path: str, columns, multiline: bool = False) -> DataFrame:
     """Headerless all-text grid with the file order kept.
 
-    Adds ``source`` (file), ``block`` (split offset) and ``pos`` (order in the
-    split). A split has a bounded size, so ``block`` serves as the unit of
-    ordered work.
+    Adds ``source`` (file), ``block`` and ``pos`` (order within the file). A
+    block is a file split, which has a bounded size and is the unit of ordered
+    work. Cells with line breaks need ``multiline``; such files are not split,
+    so their blocks are runs of rows.
     """
-    grid = spark.read.schema(text_schema(columns)).option("header", False).option("mode", "PERMISSIVE").csv(path)
-    return grid.select(
+    reader = spark.read.schema(text_schema(columns)).option("header", False).option("multiLine", multiline).option("escape", '"')
+    rows = F.monotonically_increasing_id()
+    return reader.csv(path).select(
         *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in columns],
         F.col("_metadata.file_path").alias("source"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("pos"),
+        (F.floor(rows / BLOCK_ROWS) if multiline else F.col("_metadata.file_block_start")).cast("long").alias("block"),
+        rows.alias("pos"),
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.models import evaluate, serve, train
 from ledgerloom.models.features import AssetFeatures, CategoryCollapser, PopulationScaler, QuantileBinner, feature_names, matrix_stages
 from ledgerloom.sources import reports
+from ledgerloom.sources.columns import prune_features
 
 # A published 8-class confusion matrix and the metrics published with it.
 LABELS = [
@@ -152,6 +153,18 @@ def test_cross_validation_and_importance(spark, labelled):
     assert importance.agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
 
 
+def test_refit_measures_three_parts(labelled):
+    whole, table = train.refit(labelled.filter("id % 5 <> 0"), labelled.filter("id % 5 = 0"), COLUMNS, train.random_forest(trees=5, depth=5))
+    assert sorted((r["fit"], r["part"]) for r in table.collect()) == [("all", "test"), ("share", "test"), ("share", "validation")]
+    told = evaluate.prediction_table(whole.score(labelled), "label_text", "predicted", "probability", keep=["id"])
+    assert told.filter("confidence between 0.3 and 1 and is_correct in (0, 1)").count() == 240
+
+
+def test_pruning_by_importance(spark):
+    importance = spark.createDataFrame([("a", 0.5), ("b", 0.0)], "feature string, importance double")
+    assert prune_features(["a", "b", "c"], importance) == ["a", "c"]
+
+
 def test_random_configs_are_seeded():
     space = {"a": [1, 2, 3], "b": [4, 5]}
     assert train.random_configs(space, 4) == train.random_configs(space, 4)

@@ -141,6 +141,13 @@ def test_stitching_from_files(spark, tmp_path):
     assert got == [("03", "Gama", "", ""), ("1", "Alfa more", "10", "2020"), ("2 tail", "Beta x", "5", "end"), ("9", "Solo", "1", "1")]
 
 
+def test_cells_with_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('1,"two\nlines",x\n,"and ""more""",\n2,b,c\n')
+    grid = tables.read_grid(spark, str(tmp_path), ["a", "b", "c"], multiline=True)
+    got = sorted(tuple(r[c] for c in "abc") for r in sheets.stitch_records(grid, ["a", "b", "c"]).collect())
+    assert got == [("1", 'two lines and "more"', "x"), ("2", "b", "c")]
+
+
 # ---- matching ---------------------------------------------------------------
 
 def _names(rng, count):
