@@ -12,6 +12,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerloom.session import broadcast_if_small, cut_lineage
@@ -83,10 +84,9 @@ def _search(pairs: DataFrame, k: int) -> DataFrame:
 
 
 def _nearest(found: DataFrame, k: int) -> DataFrame:
-    """Least k by (distance, id) per query; at most k rows per block take part."""
-    ordered = F.array_sort(F.collect_set(F.struct("distance", "train_id", "label")))
-    top = found.groupBy("id").agg(F.slice(ordered, 1, k).alias("near"))
-    return top.select("id", F.posexplode("near").alias("place", "n")).select("id", (F.col("place") + 1).alias("place"), "n.*")
+    """Least k by (distance, id) per query, limited in every task before the shuffle."""
+    place = F.row_number().over(W.partitionBy("id").orderBy("distance", "train_id"))
+    return found.select("id", place.alias("place"), "distance", "train_id", "label").filter(F.col("place") <= k)
 
 
 def knn_join(train: DataFrame, queries: DataFrame, k: int, seed: int = 42, pivots: int | None = None) -> DataFrame:
