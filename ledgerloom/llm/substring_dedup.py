@@ -27,13 +27,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.words import Words, chain, gather, slices
+from ledgerloom.llm.words import Words, chain, gather, mix, slices
 from ledgerloom.session import cut_lineage
 
 WINDOW = 13
 SEED = 3
 # Buckets for each shuffle partition: a task holds one bucket at a time.
-BUCKETS_PER_PARTITION = 4
+BUCKETS_PER_PARTITION = 8
+# Text that is packed at once; more gives longer packed strings.
+PACKED_BYTES = 4_000_000
 
 
 def _super_kmers(words: Words, window: int, seed: int):
@@ -87,7 +89,7 @@ def _repeated(packed: pa.Array, doc: np.ndarray, start: np.ndarray, window: int)
     if not len(at):
         return None
     tokens, _ = words.ids()
-    order, group = _equal_windows(tokens, at, chain(words.hashes(), window)[at], window)
+    order, group = _equal_windows(tokens, at, chain(mix(tokens.astype(np.uint64)), window)[at], window)
     owner = doc[words.text[at]]
     heads = np.flatnonzero(np.concatenate([[True], np.diff(group) > 0]))
     least = np.minimum.reduceat(owner[order], heads)
@@ -135,9 +137,9 @@ def _cold_spans(docs: DataFrame, hot: np.ndarray, window: int, seed: int, partit
     buckets = partitions * BUCKETS_PER_PARTITION
 
     def pack(batches):
-        squeeze = zstandard.ZstdCompressor(level=1)
+        squeeze = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", PACKED_BYTES):
                 words = Words(part.column("text"))
                 first, last, least = _super_kmers(words, window, seed)
                 bucket = (least % np.uint64(buckets)).astype(np.int64)
@@ -154,20 +156,23 @@ def _cold_spans(docs: DataFrame, hot: np.ndarray, window: int, seed: int, partit
                 data[ends[1:] - 1] = 10
                 text = words.text[first]
                 ids = part.column("id").to_numpy()[text]
-                prints_of = part.column("print").to_numpy()[text]
+                prints = part.column("print").to_numpy()[text]
                 place = (first - words.first[text]).astype(np.int32)
                 cut = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]])
-                rows = [(int(bucket[a]), squeeze.compress(data[ends[a] : ends[b]].tobytes()), ids[a:b].tobytes(), prints_of[a:b].tobytes(), place[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:])]
+                # Ids and places rise within a row of the exchange, so steps compress well.
+                rows = [(int(bucket[a]), squeeze(data[ends[a] : ends[b]].tobytes()), squeeze(np.diff(ids[a:b], prepend=0).tobytes()),
+                         prints[a:b].tobytes(), squeeze(np.diff(place[a:b], prepend=0).astype(np.int32).tobytes()))
+                        for a, b in zip(cut[:-1], cut[1:])]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["bucket", "packed", "ids", "prints", "places"])
 
     def compare(bucket):
         if not bucket:
             return None
-        open_ = zstandard.ZstdDecompressor()
-        data = np.frombuffer(b"".join(open_.decompress(r[0]) for r in bucket), np.uint8)
-        ids = np.concatenate([np.frombuffer(r[1], np.int64) for r in bucket])
-        prints = np.concatenate([np.frombuffer(r[2], np.int64) for r in bucket])
-        places = np.concatenate([np.frombuffer(r[3], np.int32) for r in bucket]).astype(np.int64)
+        expand = zstandard.ZstdDecompressor().decompress
+        data = np.frombuffer(b"".join(expand(r[0]) for r in bucket), np.uint8)
+        ids = np.concatenate([np.cumsum(np.frombuffer(expand(r[1]), np.int64)) for r in bucket])
+        prints = np.concatenate([np.frombuffer(r[2], np.int32) for r in bucket])
+        places = np.concatenate([np.cumsum(np.frombuffer(expand(r[3]), np.int32)) for r in bucket])
         offsets = np.concatenate([[0], np.flatnonzero(data == 10) + 1]).astype(np.int64)
         packed = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
         found = _repeated(packed, ids, places, window)
@@ -191,7 +196,7 @@ def _cold_spans(docs: DataFrame, hot: np.ndarray, window: int, seed: int, partit
 
     kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
     sent = docs.mapInArrow(pack, "bucket int, packed binary, ids binary, prints binary, places binary")
-    return sent.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, "id long, print long, a int, b int")
+    return sent.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(meet, "id long, print int, a int, b int")
 
 
 def _hot_spans(docs: DataFrame, hot: np.ndarray, window: int, seed: int) -> DataFrame:
@@ -215,7 +220,7 @@ def _hot_spans(docs: DataFrame, hot: np.ndarray, window: int, seed: int) -> Data
                     pa.array((at - words.first[text]).astype(np.int32)),
                 ], names=["window", "id", "print", "a"])
 
-    found = docs.mapInArrow(windows, "window binary, id long, print long, a int")
+    found = docs.mapInArrow(windows, "window binary, id long, print int, a int")
     shared = found.groupBy("window").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most")
     return found.join(shared.select("window", "least"), "window").filter("id > least").select("id", "print", "a", (F.col("a") + window).alias("b"))
 
@@ -223,12 +228,12 @@ def _hot_spans(docs: DataFrame, hot: np.ndarray, window: int, seed: int) -> Data
 def repeated_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text", window: int = WINDOW, seed: int = SEED) -> DataFrame:
     """Word ranges ``[a, b)`` of each document whose windows start in a document with a smaller id too.
 
-    Columns ``id``, ``print`` (``xxhash64`` of the text, tells rows with one id apart), ``a``, ``b``.
+    Columns ``id``, ``print`` (a hash of the text, tells rows with one id apart), ``a``, ``b``.
     """
     spark = df.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = df.filter(df[f"`{id_column}`"].isNotNull() & df[f"`{text}`"].isNotNull()).select(
-        df[f"`{id_column}`"].cast("long").alias("id"), F.xxhash64(df[f"`{text}`"]).alias("print"), df[f"`{text}`"].alias("text"))
+        df[f"`{id_column}`"].cast("long").alias("id"), F.hash(df[f"`{text}`"]).alias("print"), df[f"`{text}`"].alias("text"))
     hot = _hot_minimisers(docs, "text", window, seed, partitions)
     spans = _cold_spans(docs, hot, window, seed, partitions)
     return spans.unionByName(_hot_spans(docs, hot, window, seed)) if len(hot) else spans
@@ -238,7 +243,7 @@ def with_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text", win
     """``df`` with ``__spans``, the packed ranges to remove (NULL: none), one entry for each document."""
     spans = repeated_spans(df, id_column, text, window, seed).groupBy("id", "print").agg(
         F.collect_list(F.struct("a", "b")).alias("__spans"))
-    left = df.withColumn("__print", F.xxhash64(df[f"`{text}`"])).withColumn("__id", df[f"`{id_column}`"].cast("long"))
+    left = df.withColumn("__print", F.hash(df[f"`{text}`"])).withColumn("__id", df[f"`{id_column}`"].cast("long"))
     on = (F.col("__id") == F.col("id_")) & (F.col("__print") == F.col("print_"))
     return left.join(spans.withColumnsRenamed({"id": "id_", "print": "print_"}), on, "left").drop("id_", "print_", "__print", "__id")
 

@@ -72,15 +72,19 @@ class Words:
     def __init__(self, texts: pa.Array):
         raw, offsets = buffers(texts)
         space = _IS_SPACE[raw]
-        start = ~space
-        start[1:] &= space[:-1]
-        heads = offsets[:-1][offsets[:-1] < offsets[1:]]
-        start[heads] = ~space[heads]
-        starts = np.flatnonzero(start)
-        solid = np.concatenate([[0], np.cumsum(~space)])
+        edge = np.ones(len(raw) + 1, bool)
+        edge[1:] = space
+        # A text's first byte begins a word whatever stands before it, and its last one ends it.
+        heads, tails = offsets[:-1][offsets[:-1] < offsets[1:]], offsets[1:]
+        edge[heads] = True
+        starts = np.flatnonzero(edge[:-1] & ~space)
+        edge[:-1] = space
+        edge[-1] = True
+        edge[tails] = True
+        ends = np.flatnonzero(edge[1:] & ~space) + 1
         self.raw, self.offsets = raw, offsets
         self.data = raw[~space]
-        self.at = np.append(solid[starts], len(self.data)).astype(np.int64)
+        self.at = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
         self.first = np.searchsorted(starts, offsets)
         self.text = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
 
@@ -128,8 +132,9 @@ def gather(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.n
     """Copy many, maybe overlapping, ranges of ``data`` end to end; the offsets of each."""
     lengths = ends - starts
     at = np.concatenate([[0], np.cumsum(lengths)])
-    index = np.repeat(starts - at[:-1], lengths)
-    index += np.arange(at[-1])
+    kind = np.int32 if max(len(data), at[-1]) < 2**31 else np.int64
+    index = np.repeat((starts - at[:-1]).astype(kind), lengths)
+    index += np.arange(at[-1], dtype=kind)
     return data[index], at
 
 
