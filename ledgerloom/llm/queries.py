@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import quality_rules, substring_dedup
+from ledgerloom.llm import quality_rules, simhash, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -67,3 +67,8 @@ FROM judged
 def op3_quality_rules(spark, sf_dir):
     measured = quality_rules.quality_measures(table(spark, sf_dir, "documents"), keep=("doc_id",))
     return quality_rules.verdicts(measured).drop("longest_repeat")
+
+
+@query("op2_simhash_near_dedup")
+def op2_simhash_near_dedup(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
