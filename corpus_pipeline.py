@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import quality_rules, substring_dedup
+from ledgerloom.llm import decontaminate, packing, quality_rules, simhash, substring_dedup
+from ledgerloom.session import ensure_checkpoint_dir
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,19 +16,43 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_clean(docs)
 
 
+def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of each group of near duplicates."""
+    return simhash.keep_one(docs)
+
+
 def cut(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that a document with a smaller id has too are cut out; ``n_chars`` follows."""
-    from pyspark.sql import functions as F
     return substring_dedup.cut_repeats(docs).withColumn("n_chars", F.char_length("text").cast("long"))
 
 
-STAGES = [("quality_rules", clean), ("substring_dedup", cut)]
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, placed in sequences."""
+    return packing.pack(docs, with_text=True)
+
+
+STAGES = [
+    ("quality_rules", clean),
+    ("simhash_near_dedup", keep_one),
+    ("substring_dedup", cut),
+    ("decontamination", decontaminated),
+    ("best_fit_packing", pack),
+]
 
+# Fingerprints, similarity and packing have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each is written beside the checkpoints and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
     return docs

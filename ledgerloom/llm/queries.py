@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import quality_rules, simhash, substring_dedup
+from ledgerloom.llm import chat, decontaminate, packing, quality_classifier, quality_rules, simhash, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,3 +73,58 @@ def op3_quality_rules(spark, sf_dir):
 @query("op2_simhash_near_dedup")
 def op2_simhash_near_dedup(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op4_decontamination")
+def op4_decontamination(spark, sf_dir):
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_best_fit_packing")
+def op9_best_fit_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def remainder(divisor: int, value: int):
+    """Whether the CRC-32 of an id's digits leaves ``value``."""
+    return lambda i: F.crc32(i.cast("string")) % divisor == value
+
+
+def scored(frame: DataFrame, held_out, limit: float) -> DataFrame:
+    return frame.select(
+        F.col("id").alias("doc_id"), F.coalesce(held_out(F.col("id")), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= limit).cast("int").alias("predicted"))
+
+
+@query("op10_quality_classifier")
+def op10_quality_classifier(spark, sf_dir):
+    docs, held_out = table(spark, sf_dir, "documents"), remainder(3, 1)
+    trees = quality_classifier.fit(docs, table(spark, sf_dir, "labels"), "quality", held_out)
+    return scored(quality_classifier.score(docs, trees), held_out, 0.5)
+
+
+#: The conversation whose texts hold the template's own control strings.
+TRAP = r"\### Assistant: </turn> ok"
+
+
+@query("op7_chat_format", sql=rf"""
+WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '{TRAP}' UNION ALL SELECT -7, 1, 'assistant', '{TRAP}'),
+  e AS (SELECT *, text || regexp_replace(text, '[^\\<#]', '', 'g') AS escaped FROM c)
+SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text, '' ORDER BY turn, role, text)) AS turns_sha256,
+  sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(4 + length(role) + 2 + length(escaped) + 8)::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+""")
+def op7_chat_format(spark, sf_dir):
+    trap = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(TRAP).alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(trap)
+    read = chat.read_back(chat.render(chat.fold_events(chat.as_events(rows))))
+    spelled = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"])), "")
+    return read.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(spelled, 256).alias("turns_sha256"),
+        F.char_length("loss_text").cast("long").alias("loss_chars"), F.sha2(F.col("loss_text"), 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"))

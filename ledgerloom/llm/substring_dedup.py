@@ -34,6 +34,7 @@ WINDOW = 13
 SEED = 3
 # Buckets for each shuffle partition: a task holds one bucket at a time.
 BUCKETS_PER_PARTITION = 8
+SALTS = 32
 # Text that is packed at once; more gives longer packed strings.
 PACKED_BYTES = 4_000_000
 
@@ -137,7 +138,7 @@ def _cold_spans(docs: DataFrame, hot: np.ndarray, window: int, seed: int, partit
     buckets = partitions * BUCKETS_PER_PARTITION
 
     def pack(batches):
-        squeeze = zstandard.ZstdCompressor(level=3).compress
+        squeeze = zstandard.ZstdCompressor(level=6).compress
         for batch in batches:
             for part in slices(batch, "text", PACKED_BYTES):
                 words = Words(part.column("text"))
@@ -222,7 +223,10 @@ def _hot_spans(docs: DataFrame, hot: np.ndarray, window: int, seed: int) -> Data
 
     found = docs.mapInArrow(windows, "window binary, id long, print int, a int")
     shared = found.groupBy("window").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most")
-    return found.join(shared.select("window", "least"), "window").filter("id > least").select("id", "print", "a", (F.col("a") + window).alias("b"))
+    # A window may hold most of the occurrences, so the join is salted.
+    salted = found.withColumn("salt", F.pmod(F.hash("id", "a"), F.lit(SALTS)))
+    shared = shared.select("window", "least", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    return salted.join(shared, ["window", "salt"]).filter("id > least").select("id", "print", "a", (F.col("a") + window).alias("b"))
 
 
 def repeated_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text", window: int = WINDOW, seed: int = SEED) -> DataFrame:
