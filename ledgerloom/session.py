@@ -32,10 +32,11 @@ def build_session(app_name: str = "ledgerloom", master: str | None = None, **con
     return builder.getOrCreate()
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The folder for written intermediate tables, set from ``spark.checkpoint.dir`` if it is not yet."""
     sc = spark.sparkContext
     if sc.getCheckpointDir():
-        return
+        return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
@@ -43,11 +44,12 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-checkpoint-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives executor loss and is computed once."""
-    _ensure_checkpoint_dir(df.sparkSession)
+    ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
