@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, decontaminate, packing, quality_classifier, quality_rules, simhash, substring_dedup
+from ledgerloom.llm import chat, decontaminate, lm_scoring, packing, quality_classifier, quality_rules, simhash, substring_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -128,3 +128,13 @@ def op7_chat_format(spark, sf_dir):
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(spelled, 256).alias("turns_sha256"),
         F.char_length("loss_text").cast("long").alias("loss_chars"), F.sha2(F.col("loss_text"), 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
+@query("op6_lm_scoring")
+def op6_lm_scoring(spark, sf_dir):
+    return lm_scoring.score(table(spark, sf_dir, "documents"), F.col("lang") == "en")
+
+
+@query("op8_token_counts")
+def op8_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))

@@ -27,8 +27,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.heavy import heavy_values
 from ledgerloom.llm.words import Words, chain, gather, mix, slices
-from ledgerloom.session import cut_lineage
 
 WINDOW = 13
 SEED = 3
@@ -105,33 +105,9 @@ def _repeated(packed: pa.Array, doc: np.ndarray, start: np.ndarray, window: int)
     return row[a], place[a], place[b] + window
 
 
-def _hot_minimisers(docs: DataFrame, text: str, window: int, seed: int, partitions: int) -> np.ndarray:
-    """Minimisers with more than a quarter of a partition's share of all super-k-mers.
-
-    A slice reports those with half that share of its own; one that is hot overall must
-    keep at least half its count in the reports, so none is missed and at most
-    ``8 * partitions`` pass.
-    """
-    def local(batches):
-        for batch in batches:
-            for part in slices(batch, "text"):
-                found = _super_kmers(Words(part.column("text")), window, seed)[2]
-                value, count = np.unique(found, return_counts=True)
-                often = count * 8 * partitions >= max(len(found), 1)
-                often &= count > 1
-                keys = np.append(value[often].view(np.int64), 0)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(keys), pa.array(np.append(count[often], len(found)), pa.int64()),
-                    pa.array(np.append(np.zeros(often.sum(), bool), True)),
-                ], names=["seed", "n", "total"])
-
-    counts = docs.select(F.col(text).alias("text")).mapInArrow(local, "seed long, n long, total boolean")
-    counts = counts.groupBy("seed", "total").agg(F.sum("n").alias("n"))
-    total = F.sum(F.when(F.col("total"), F.col("n")))
-    summary = cut_lineage(counts)
-    everything = summary.agg(total.alias("n")).first()["n"] or 0
-    hot = summary.filter(~F.col("total") & (F.col("n") * 8 * partitions >= F.lit(everything))).select("seed")
-    return np.sort(np.array([r["seed"] for r in hot.collect()], np.int64).view(np.uint64))
+def _hot_minimisers(docs: DataFrame, window: int, seed: int, partitions: int) -> np.ndarray:
+    """Minimisers with more than a quarter of a partition's share of all super-k-mers."""
+    return heavy_values(docs, lambda texts: _super_kmers(Words(texts), window, seed)[2], 4 * partitions)
 
 
 def _cold_spans(docs: DataFrame, hot: np.ndarray, window: int, seed: int, partitions: int) -> DataFrame:
@@ -238,7 +214,7 @@ def repeated_spans(df: DataFrame, id_column: str = "doc_id", text: str = "text",
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     docs = df.filter(df[f"`{id_column}`"].isNotNull() & df[f"`{text}`"].isNotNull()).select(
         df[f"`{id_column}`"].cast("long").alias("id"), F.hash(df[f"`{text}`"]).alias("print"), df[f"`{text}`"].alias("text"))
-    hot = _hot_minimisers(docs, "text", window, seed, partitions)
+    hot = _hot_minimisers(docs, window, seed, partitions)
     spans = _cold_spans(docs, hot, window, seed, partitions)
     return spans.unionByName(_hot_spans(docs, hot, window, seed)) if len(hot) else spans
 

@@ -42,7 +42,7 @@ def test_against_brute_force(spark, partitions):
     try:
         rows = rows_with_shared_passages(3)
         df = spark.createDataFrame(rows, SCHEMA)
-        hot = S._hot_minimisers(df.selectExpr("text").na.drop(), "text", 13, 3, int(partitions))
+        hot = S._hot_minimisers(df.selectExpr("text").na.drop(), 13, 3, int(partitions))
         assert (len(hot) > 0) == (partitions == "64")
         assert sorted(map(tuple, S.digests(df).collect()), key=str) == expected(rows)
     finally:
