@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, decontaminate, lm_scoring, packing, quality_classifier, quality_rules, simhash, substring_dedup, token_counts
+from ledgerloom.llm import chat, decontaminate, lm_scoring, packing, quality_classifier, quality_rules, simhash, substring_dedup, token_counts, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -138,3 +138,10 @@ def op6_lm_scoring(spark, sf_dir):
 @query("op8_token_counts")
 def op8_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op5_toxicity")
+def op5_toxicity(spark, sf_dir):
+    docs, held_out = table(spark, sf_dir, "documents"), remainder(4, 2)
+    parameters = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", held_out)
+    return scored(toxicity.score(docs, parameters), held_out, 0.3)
