@@ -13,8 +13,8 @@ grams, counts them and adds each document's share. Grams with a large share of a
 proven bound of eight for each partition) are counted map-side and scored in a map pass.
 
 Defined results: NULL and empty texts score 0 with 0 tokens; NULL targets count as
-background; rows with NULL ids count and have no row of their own result; rows that share
-an id are one document; an empty table gives an empty one.
+background; rows with NULL ids count for the models and have no result; rows that share an
+id leave out their own counts each and get one score; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -166,7 +166,13 @@ def score(df: DataFrame, target: Column, id_column: str = "doc_id", text: str =
 
         def flush():
             ids, at = np.unique(np.concatenate([d for d, _ in sums]), return_inverse=True)
-            return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.zeros(len(ids), np.int64)), pa.array(np.bincount(at, np.concatenate([s for _, s in sums]), len(ids)))], names=["id", "n", "s"])
+            total = np.bincount(at, np.concatenate([s for _, s in sums]), len(ids)).astype(np.float64)
+            group = (mix(ids.view(np.uint64)) % np.uint64(buckets)).astype(np.int32)
+            order = np.argsort(group, kind="stable")
+            ids, total, group = ids[order], total[order], group[order]
+            cut = np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]])
+            rows = [(int(group[a]), ids[a:b].tobytes(), total[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:])]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if i == 0 else pa.binary()) for i, c in enumerate(zip(*rows))], names=["docs", "ids", "sums"])
 
         for batch in batches:
             for key, *row in zip(*[c.to_pylist() for c in batch.columns]):
@@ -183,9 +189,29 @@ def score(df: DataFrame, target: Column, id_column: str = "doc_id", text: str =
         if sums:
             yield flush()
 
+    def per_document(batches):
+        current, held = None, []
+
+        def total():
+            ids, at = np.unique(np.concatenate([np.frombuffer(i, np.int64) for i, _ in held]), return_inverse=True)
+            part_score = np.bincount(at, np.concatenate([np.frombuffer(s, np.float64) for _, s in held]), len(ids))
+            return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.zeros(len(ids), np.int64)), pa.array(part_score)], names=["id", "n", "s"])
+
+        for batch in batches:
+            for key, *row in zip(*[c.to_pylist() for c in batch.columns]):
+                if key != current and held:
+                    yield total()
+                    held = []
+                current = key
+                held.append(row)
+        if held:
+            yield total()
+
     names = ["bucket", "grams", "repeats", "at", "tf", "ids", "flags"]
     sent = docs.mapInArrow(send, "bucket int, grams binary, repeats binary, at binary, tf binary, ids binary, flags binary")
-    shares = sent.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(add_up, "id long, n long, s double")
+    shares = sent.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(add_up, "docs int, ids binary, sums binary")
+    # The parts of a document's score come from all tasks; they travel as arrays by document.
+    shares = shares.repartition(partitions, "docs").sortWithinPartitions("docs").mapInArrow(per_document, "id long, n long, s double")
     alone = docs.mapInArrow(lone, "id long, n long, s double").filter("id IS NOT NULL")
     summed = alone.unionByName(shares).groupBy("id").agg(F.sum("n").alias("n_tokens"), F.sum("s").alias("s"))
     mean = F.when(F.col("n_tokens") > 0, F.round(F.col("s") / F.col("n_tokens"), 9)).otherwise(F.lit(0.0))
