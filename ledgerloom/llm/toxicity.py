@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.decontaminate import normal_words
 from ledgerloom.llm.words import Words, mix, slices
 
-FIT_ROWS = 3000
+FIT_ROWS = 2000
 WINDOW, STRIDE = 32, 24
 HIDDEN, EMBED, ATTEND = 8, 6, 8
 WORD_BITS, CHAR_BITS, ODDS_BITS = 13, 12, 18
