@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from ledgerloom.session import broadcast_if_small
 
 
-def pair_counts(df: DataFrame, truth: str, prediction: str) -> DataFrame:
-    return df.groupBy(F.col(truth).cast("string").alias("truth"), F.col(prediction).cast("string").alias("prediction")).agg(
+def pair_counts(df: DataFrame, truth: str, prediction: str, by=()) -> DataFrame:
+    return df.groupBy(*by, F.col(truth).cast("string").alias("truth"), F.col(prediction).cast("string").alias("prediction")).agg(
         F.count(F.lit(1)).alias("count")
     )
 
@@ -31,19 +31,19 @@ def confusion(df: DataFrame, truth: str, prediction: str) -> DataFrame:
     return grid.join(counts, ["truth", "prediction"], "left").fillna(0, ["count"])
 
 
-def class_report(df: DataFrame, truth: str, prediction: str) -> DataFrame:
-    """``label, precision, recall, f1, support``; an empty denominator gives 0."""
-    counts = pair_counts(df, truth, prediction)
+def class_report(df: DataFrame, truth: str, prediction: str, by=()) -> DataFrame:
+    """``label, precision, recall, f1, support`` for each value of ``by``; an empty denominator gives 0."""
+    counts = pair_counts(df, truth, prediction, by)
     right = F.when(F.col("truth") == F.col("prediction"), F.col("count")).otherwise(0)
-    sides = counts.select(F.inline(F.array(
+    sides = counts.select(*by, F.inline(F.array(
         F.struct(F.col("truth").alias("label"), right.alias("hits"), F.col("count").alias("support"), F.lit(0).cast("long").alias("predicted")),
         F.struct(F.col("prediction").alias("label"), F.lit(0).cast("long").alias("hits"), F.lit(0).cast("long").alias("support"), F.col("count").alias("predicted")),
     )))
-    totals = sides.groupBy("label").agg(*[F.sum(c).alias(c) for c in ("hits", "support", "predicted")])
+    totals = sides.groupBy(*by, "label").agg(*[F.sum(c).alias(c) for c in ("hits", "support", "predicted")])
     ratio = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
-    scored = totals.select("label", ratio(F.col("hits"), F.col("predicted")).alias("precision"), ratio(F.col("hits"), F.col("support")).alias("recall"), "support")
+    scored = totals.select(*by, "label", ratio(F.col("hits"), F.col("predicted")).alias("precision"), ratio(F.col("hits"), F.col("support")).alias("recall"), "support")
     both = F.col("precision") + F.col("recall")
-    return scored.select("label", "precision", "recall", ratio(2 * F.col("precision") * F.col("recall"), both).alias("f1"), "support")
+    return scored.select(*by, "label", "precision", "recall", ratio(2 * F.col("precision") * F.col("recall"), both).alias("f1"), "support")
 
 
 def report_averages(report: DataFrame) -> DataFrame:
@@ -173,10 +173,11 @@ def internal_scores(df: DataFrame, vector: str, cluster: str) -> DataFrame:
     between = sum(r["n"] * math.dist(r["m"], overall) ** 2 for r in centroids)
     within = sum(s["w"] for s in spread.values())
     worst = [
-        max((spread[p["c"]]["s"] + spread[q["c"]]["s"]) / math.dist(p["m"], q["m"]) for q in centroids if q["c"] != p["c"])
+        # Coinciding centroids have no ratio and are passed over.
+        max(((spread[p["c"]]["s"] + spread[q["c"]]["s"]) / math.dist(p["m"], q["m"]) for q in centroids if math.dist(p["m"], q["m"]) > 0), default=0.0)
         for p in centroids
     ] if k > 1 else [0.0]
-    ch = (between / (k - 1)) / (within / (n - k)) if k > 1 and within else 0.0
+    ch = (between / (k - 1)) / (within / (n - k)) if k > 1 and within else float(k > 1)
     return spark.createDataFrame([(float(within), float(ch), float(sum(worst) / len(worst)))], "inertia double, calinski_harabasz double, davies_bouldin double")
 
 

@@ -10,7 +10,7 @@ from pyspark.ml.feature import PCA, OneHotEncoder, StandardScaler, StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReader, MLWriter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,20 +43,18 @@ class CategoryCollapser(Estimator, HasInputCols, DefaultParamsReadable, DefaultP
 
     With ``unseenApart`` a value never met in training stays as it is, so that an
     indexer after this stage can tell it from a rare one. Up to ``listed`` learned
-    values are kept as a list in the stage; more are kept as a table and joined.
-    ``tablePath`` is where that table is written; without it the table lives as
-    long as the session and the stage cannot be reloaded.
+    values are kept as a list in the stage; more are kept as a table and joined, with
+    the same result. A saved stage holds its table in its own folder.
     """
 
     threshold = Param(Params._dummy(), "threshold", "least count to keep a category", TypeConverters.toInt)
     unseenApart = Param(Params._dummy(), "unseenApart", "leave unseen values alone", TypeConverters.toBoolean)
     listed = Param(Params._dummy(), "listed", "most learned values to keep as a list", TypeConverters.toInt)
-    tablePath = Param(Params._dummy(), "tablePath", "folder for a longer learned table", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, inputCols=None, threshold=15, unseenApart=False, listed=LISTED_VALUES, tablePath=""):
+    def __init__(self, inputCols=None, threshold=15, unseenApart=False, listed=LISTED_VALUES):
         super().__init__()
-        self._setDefault(threshold=15, unseenApart=False, listed=LISTED_VALUES, tablePath="")
+        self._setDefault(threshold=15, unseenApart=False, listed=LISTED_VALUES)
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, df: DataFrame):
@@ -67,11 +65,7 @@ class CategoryCollapser(Estimator, HasInputCols, DefaultParamsReadable, DefaultP
         wanted = cut_lineage(wanted.select("column", "value", (F.col("count") >= least).alias("frequent")))
         state = {"apart": apart, "keep": {c: [] for c in columns}, "rare": {c: [] for c in columns}}
         if wanted.count() > self.getOrDefault(self.listed):
-            path = self.getOrDefault(self.tablePath)
-            if path:
-                wanted.write.mode("overwrite").parquet(path)
-                wanted = df.sparkSession.read.parquet(path)
-            model = CategoryCollapserModel(columns, json.dumps(state | {"table": path or "session"}))
+            model = CategoryCollapserModel(columns, json.dumps(state | {"table": True}))
             model.table = wanted
             return model
         for r in wanted.collect():
@@ -79,9 +73,39 @@ class CategoryCollapser(Estimator, HasInputCols, DefaultParamsReadable, DefaultP
         return CategoryCollapserModel(columns, json.dumps(state, sort_keys=True))
 
 
+class _CollapserWriter(MLWriter):
+    def __init__(self, stage):
+        super().__init__()
+        self.stage = stage
+
+    def saveImpl(self, path: str) -> None:
+        DefaultParamsWriter(self.stage).saveImpl(path)
+        if self.stage.table is not None:
+            self.stage.table.write.parquet(f"{path}/learned")
+
+
+class _CollapserReader(MLReader):
+    def __init__(self, kind):
+        super().__init__()
+        self.kind = kind
+
+    def load(self, path: str):
+        stage = DefaultParamsReader(self.kind).load(path)
+        if "table" in stage.learned():
+            stage.table = self.sparkSession.read.parquet(f"{path}/learned")
+        return stage
+
+
 class CategoryCollapserModel(Model, _Learned, DefaultParamsReadable, DefaultParamsWritable):
     table: DataFrame | None = None
 
+    def write(self) -> MLWriter:
+        return _CollapserWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _CollapserReader(cls)
+
     def __init__(self, columns=None, state=None):
         super().__init__()
         if columns is not None:
@@ -101,11 +125,8 @@ class CategoryCollapserModel(Model, _Learned, DefaultParamsReadable, DefaultPara
         return df.withColumns(out)
 
     def _joined(self, df: DataFrame, learned: dict) -> DataFrame:
-        if self.table is None and learned["table"] == "session":
-            raise ValueError("the learned table was not written; fit with tablePath to reload this stage")
-        table = self.table if self.table is not None else df.sparkSession.read.parquet(learned["table"])
         for c in self.getInputCols():
-            known = table.filter(F.col("column") == c).select(F.col("value").alias("__value"), F.col("frequent").alias("__frequent"))
+            known = self.table.filter(F.col("column") == c).select(F.col("value").alias("__value"), F.col("frequent").alias("__frequent"))
             df = df.withColumn(c, F.coalesce(F.col(c).cast("string"), F.lit(MISSING)))
             df = df.join(broadcast_if_small(known), F.col(c) == F.col("__value"), "left")
             rare = ~F.col("__frequent") if learned["apart"] else F.col("__frequent").isNull()

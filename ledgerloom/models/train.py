@@ -51,9 +51,11 @@ def _decoder(indexer) -> IndexToString:
 
 
 def random_forest(trees: int = 100, depth: int = 10, features: str = "0.35", seed: int = 42, **extra):
-    """Depth is capped at MLlib's 30. Class balance comes from the weight column."""
+    """Depth is 30 at most, as in MLlib. Class balance comes from the weight column."""
+    if depth > 30:
+        raise ValueError(f"depth {depth} is over 30, the greatest a forest can have")
     return RandomForestClassifier(
-        numTrees=trees, maxDepth=min(depth, 30), featureSubsetStrategy=features, weightCol="weight", seed=seed, **extra
+        numTrees=trees, maxDepth=depth, featureSubsetStrategy=features, weightCol="weight", seed=seed, **extra
     )
 
 
@@ -73,10 +75,16 @@ def perceptron(inputs: int, classes: int, hidden=(64, 32), iterations: int = 100
     return MultilayerPerceptronClassifier(layers=[inputs, *hidden, classes], maxIter=iterations, seed=seed, blockSize=128)
 
 
-def repeat_by_weight(df: DataFrame, weight: str = "weight") -> DataFrame:
-    """Rows repeated by their rounded weight (at least once), for models without weights."""
-    times = F.greatest(F.round(F.col(weight)).cast("int"), F.lit(1))
-    return df.withColumn("__copy", F.explode(F.sequence(F.lit(1), times))).drop("__copy")
+def repeat_by_weight(df: DataFrame, weight: str = "weight", seed: int = 42) -> DataFrame:
+    """Rows repeated in proportion to their weight, for models without weights.
+
+    The least weight makes one copy; a fraction over whole copies becomes one more with
+    that probability.
+    """
+    least = df.agg(F.min(weight)).first()[0] or 1.0
+    copies = F.col(weight) / F.lit(float(least))
+    times = F.floor(copies) + (F.rand(seed) < copies - F.floor(copies)).cast("int")
+    return df.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.greatest(times.cast("int"), F.lit(1))))).drop("__copy")
 
 
 @dataclass

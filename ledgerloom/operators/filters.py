@@ -36,12 +36,12 @@ def drop_rare_learned(train: DataFrame, others, column: str, at_least: int) -> l
     return [df.join(keep, column, "left_semi") for df in (train, *others)]
 
 
-def column_facts(df: DataFrame, columns, low: int = 64) -> DataFrame:
-    """``column, rows, nulls, distinct_values, top_count``; NULL counts as a value.
+def column_facts(df: DataFrame, columns, at_most: int = 64) -> DataFrame:
+    """``column, rows, nulls, distinct_values, top_count, counted_to``; NULL counts as a value.
 
     A first pass takes null counts and a distinct-value sketch of every column.
-    Only columns that may have few values are then counted value by value; for
-    the others ``distinct_values`` and ``top_count`` stay NULL. So no column of
+    Only columns that may have ``at_most`` values (``counted_to``) are then counted
+    value by value; for the others ``distinct_values`` and ``top_count`` stay NULL. So no column of
     many values is ever shuffled, and values of the rest combine map-side.
     """
     columns = list(columns)
@@ -50,20 +50,22 @@ def column_facts(df: DataFrame, columns, low: int = 64) -> DataFrame:
         *[F.count(F.col(f"`{c}`")).alias(f"n_{c}") for c in columns],
         *[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"d_{c}") for c in columns],
     ).first()
-    narrow = [c for c in columns if rough[f"d_{c}"] <= low]
+    # The sketch is off by 5 % as a rule; five times that is allowed for.
+    narrow = [c for c in columns if rough[f"d_{c}"] <= 1.25 * at_most + 8]
     wide = [(c, rough["__rows"], rough["__rows"] - rough[f"n_{c}"], None, None) for c in columns if c not in narrow]
     facts = df.sparkSession.createDataFrame(
         wide, "column string, rows long, nulls long, distinct_values long, top_count long"
     )
+    reach = F.lit(at_most).cast("long").alias("counted_to")
     if not narrow:
-        return facts
+        return facts.select("*", reach)
     counted = value_counts_long(df, narrow, with_null=True).groupBy("column").agg(
         F.sum("count").alias("rows"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("count"))), F.lit(0)).alias("nulls"),
         F.count(F.lit(1)).alias("distinct_values"),
         F.max("count").alias("top_count"),
     )
-    return counted.unionByName(facts)
+    return counted.unionByName(facts).select("*", reach)
 
 
 def sparse_columns(facts: DataFrame, above: float, exempt=()) -> DataFrame:
@@ -76,9 +78,16 @@ def constant_columns(facts: DataFrame, exempt=()) -> DataFrame:
 
 
 def dominant_columns(facts: DataFrame, share: float, at_most: int, exempt=()) -> DataFrame:
-    ratio = F.col("top_count") / F.col("rows")
+    """Columns of up to ``at_most`` values of which one has at least ``share`` of the rows.
+
+    Fails where the facts were not counted that far.
+    """
+    short = F.raise_error(F.lit(f"take column_facts with at_most={at_most}")).cast("long")
+    # Coalesced on both sides, so that no row is dropped for its NULL before the check.
+    distinct = F.coalesce(F.col("distinct_values"), F.when(F.col("counted_to") < at_most, short), F.lit(at_most + 1).cast("long"))
+    ratio = F.coalesce(F.col("top_count") / F.col("rows"), F.lit(share))
     return facts.filter(
-        (ratio >= share) & (F.col("distinct_values") <= at_most) & ~F.col("column").isin(list(exempt))
+        (distinct <= at_most) & (ratio >= share) & ~F.col("column").isin(list(exempt))
     ).select("column", ratio.alias("dominant_ratio"), "distinct_values")
 
 

@@ -380,8 +380,5 @@ def uplift(spark, d):
 @query("per_class_f1", f"""WITH {PREDICTIONS}, {_report_sql('o_orderstatus')}, l AS (SELECT DISTINCT label FROM f), k AS (SELECT DISTINCT o_orderstatus FROM orders)
 SELECT l.label, k.o_orderstatus AS model, round(coalesce(f1, 0), 8) AS f1 FROM l CROSS JOIN k LEFT JOIN f ON f.label = l.label AND f.o_orderstatus = k.o_orderstatus""")
 def per_class_f1(spark, d):
-    p = _predictions(spark, d)
-    parts = [
-        evaluate.class_report(p.filter(F.col("o_orderstatus") == m), "truth", "prediction").select("label", F.lit(m).alias("model"), "f1") for m in ("F", "O", "P")
-    ]
-    return evaluate.per_class_f1(parts[0].unionByName(parts[1]).unionByName(parts[2])).withColumn("f1", F.round("f1", 8))
+    reports = evaluate.class_report(_predictions(spark, d), "truth", "prediction", by=["o_orderstatus"]).withColumnRenamed("o_orderstatus", "model")
+    return evaluate.per_class_f1(reports.select("label", "model", "f1")).withColumn("f1", F.round("f1", 8))

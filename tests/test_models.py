@@ -86,12 +86,35 @@ def test_collapser_rare_and_unseen(spark, tmp_path):
     apart = CategoryCollapser(inputCols=["c"], threshold=5, unseenApart=True).fit(df).transform(new)
     assert [r[0] for r in apart.collect()] == ["a", "__rare__", "z", "__missing__"]
     for unseen_apart, want in [(False, ["__missing__", "__rare__", "__rare__", "a"]), (True, ["__missing__", "__rare__", "a", "z"])]:
-        as_table = CategoryCollapser(inputCols=["c"], threshold=5, unseenApart=unseen_apart, listed=1, tablePath=str(tmp_path / f"t{unseen_apart}")).fit(df)
+        as_table = CategoryCollapser(inputCols=["c"], threshold=5, unseenApart=unseen_apart, listed=1).fit(df)
         assert sorted(r[0] for r in as_table.transform(new).collect()) == want
         as_table.write().overwrite().save(str(tmp_path / "stage"))
         assert sorted(r[0] for r in type(as_table).load(str(tmp_path / "stage")).transform(new).collect()) == want
 
 
+def test_long_category_list_reloads_in_a_pipeline(spark, tmp_path):
+    df = spark.range(3000).selectExpr("'v' || (id % 1000) AS c", "double(id) AS n")
+    model = Pipeline(stages=[CategoryCollapser(inputCols=["c"], threshold=3, listed=100)]).fit(df)
+    model.write().overwrite().save(str(tmp_path / "p"))
+    again = PipelineModel.load(str(tmp_path / "p"))
+    new = spark.createDataFrame([("v7",), ("other",)], "c string")
+    assert sorted(r.c for r in again.transform(new).collect()) == ["__rare__", "v7"]
+
+
+def test_forest_depth_is_never_cut():
+    with pytest.raises(ValueError):
+        train.random_forest(depth=31)
+
+
+def test_internal_scores_of_coinciding_centroids(spark):
+    from pyspark.ml.linalg import Vectors
+    rows = [(Vectors.dense([0.0]), 0), (Vectors.dense([2.0]), 0), (Vectors.dense([1.0]), 1), (Vectors.dense([1.0]), 1), (Vectors.dense([9.0]), 2)]
+    got = evaluate.internal_scores(spark.createDataFrame(rows, ["v", "c"]), "v", "c").first()
+    assert got.davies_bouldin > 0 and got.calinski_harabasz > 0
+    flat = evaluate.internal_scores(spark.createDataFrame([(Vectors.dense([0.0]), 0), (Vectors.dense([5.0]), 1), (Vectors.dense([5.0]), 1)], ["v", "c"]), "v", "c").first()
+    assert flat.calinski_harabasz == 1.0
+
+
 def test_matrix_stages_and_reload(spark, tmp_path):
     df = spark.createDataFrame([("a" if i < 6 else "b", float(i)) for i in range(12)], "c string, n double")
     model = Pipeline(stages=matrix_stages(["c"], ["n"], 5)).fit(df)

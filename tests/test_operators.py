@@ -72,6 +72,14 @@ def test_column_filters(spark):
         filters.assert_no_null(df)
 
 
+def test_dominant_column_with_many_values(spark):
+    df = spark.range(2000).selectExpr("if(id % 10 < 9, 'n', 'v' || (id % 1000)) AS c", "id")
+    far = filters.column_facts(df, ["c", "id"], at_most=200)
+    assert filters.names_in(filters.dominant_columns(far, 0.85, 200)) == ["c"]
+    with pytest.raises(Exception, match="at_most=200"):
+        filters.dominant_columns(filters.column_facts(df, ["c"]), 0.85, 200).collect()
+
+
 def test_profiles(spark):
     df = spark.createDataFrame([(1.0, "a"), (2.0, None), (None, "a"), (11.0, "b")], "v double, s string")
     assert rows_of(profile.null_profile(df), "column") == [("s", 3, 1, 25.0), ("v", 3, 1, 25.0)]
