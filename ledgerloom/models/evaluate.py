@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.session import broadcast_if_small
 
 
 def pair_counts(df: DataFrame, truth: str, prediction: str, by=()) -> DataFrame:
@@ -108,7 +107,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 def add_class_weights(df: DataFrame, label: str, into: str = "weight") -> DataFrame:
     """Rows with their class weight."""
     weights = class_weights(df, label).select(F.col("label").alias("__label"), F.col("weight").alias(into))
-    return df.join(broadcast_if_small(weights), F.col(label) == F.col("__label")).drop("__label")
+    return df.join(weights, F.col(label) == F.col("__label")).drop("__label")
 
 
 def crosstab_share(df: DataFrame, row: str, column: str) -> DataFrame:

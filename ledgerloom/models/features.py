@@ -18,7 +18,7 @@ from ledgerloom.functions import features as fx
 from ledgerloom.functions.rules import first_regex
 from ledgerloom.functions.text import lowered_or_null
 from ledgerloom.operators.order_stats import medians_of, quantiles_of, value_counts_long
-from ledgerloom.session import broadcast_if_small, cut_lineage
+from ledgerloom.session import cut_lineage
 from ledgerloom.sources.columns import add_missing
 
 MISSING = "__missing__"
@@ -128,7 +128,7 @@ class CategoryCollapserModel(Model, _Learned, DefaultParamsReadable, DefaultPara
         for c in self.getInputCols():
             known = self.table.filter(F.col("column") == c).select(F.col("value").alias("__value"), F.col("frequent").alias("__frequent"))
             df = df.withColumn(c, F.coalesce(F.col(c).cast("string"), F.lit(MISSING)))
-            df = df.join(broadcast_if_small(known), F.col(c) == F.col("__value"), "left")
+            df = df.join(known, F.col(c) == F.col("__value"), "left")
             rare = ~F.col("__frequent") if learned["apart"] else F.col("__frequent").isNull()
             df = df.withColumn(c, F.when(rare, RARE).otherwise(F.col(c))).drop("__value", "__frequent")
         return df

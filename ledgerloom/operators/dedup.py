@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.session import broadcast_if_small, null_safe_on
+from ledgerloom.session import null_safe_on
 
 
 def keep_first(df: DataFrame, keys, order: str) -> DataFrame:
@@ -32,7 +32,7 @@ def drop_full_duplicates(df: DataFrame, order: str) -> DataFrame:
 def list_duplicates(df: DataFrame, keys) -> DataFrame:
     """Every copy of each repeated key, with ``copies``."""
     repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter(F.col("copies") > 1)
-    repeated = broadcast_if_small(repeated.select(*[F.col(k).alias(f"__{k}") for k in keys], "copies"))
+    repeated = repeated.select(*[F.col(k).alias(f"__{k}") for k in keys], "copies")
     on = null_safe_on(df, repeated, [(k, f"__{k}") for k in keys])
     return df.join(repeated, on).drop(*[f"__{k}" for k in keys])
 

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.order_stats import value_counts_long
-from ledgerloom.session import broadcast_if_small
 
 
 def drop_null(df: DataFrame, column: str) -> DataFrame:
@@ -27,12 +26,12 @@ def frequent_values(df: DataFrame, column: str, at_least: int) -> DataFrame:
 
 def drop_rare(df: DataFrame, column: str, at_least: int) -> DataFrame:
     """Keep rows whose value occurs at least so often; NULL goes."""
-    return df.join(broadcast_if_small(frequent_values(df, column, at_least)), column, "left_semi")
+    return df.join(frequent_values(df, column, at_least), column, "left_semi")
 
 
 def drop_rare_learned(train: DataFrame, others, column: str, at_least: int) -> list[DataFrame]:
     """Rare values counted on ``train`` and removed everywhere."""
-    keep = broadcast_if_small(frequent_values(train, column, at_least))
+    keep = frequent_values(train, column, at_least)
     return [df.join(keep, column, "left_semi") for df in (train, *others)]
 
 

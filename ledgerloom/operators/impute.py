@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ledgerloom.functions.dates import from_epoch_micros
 from ledgerloom.operators.order_stats import exact_medians, medians_of, modes_of
-from ledgerloom.session import broadcast_if_small, cut_lineage, null_safe_on
+from ledgerloom.session import cut_lineage, null_safe_on
 
 
 def fill_where(df: DataFrame, column: str, mask: Column, value) -> DataFrame:
@@ -35,8 +35,16 @@ def group_median_fill(df: DataFrame, column: str, groups, min_size: int, mask: C
     keys = [g for g in groups if g in df.columns]
     if column not in df.columns or not keys:
         return df
+    return _fill_from(df, _group_medians(df, column, keys, min_size), column, keys, mask)
+
+
+def _group_medians(df: DataFrame, column: str, keys, min_size: int) -> DataFrame:
+    """``__<key>`` per key and ``__median``, for groups of ``min_size`` values at least."""
     stats = exact_medians(df, [column], keys).filter(F.col("n") >= min_size)
-    stats = broadcast_if_small(stats.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("median").alias("__median")))
+    return stats.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col("median").alias("__median"))
+
+
+def _fill_from(df: DataFrame, stats: DataFrame, column: str, keys, mask: Column | None) -> DataFrame:
     joined = df.join(stats, null_safe_on(df, stats, [(k, f"__{k}") for k in keys]), "left")
     target = F.col(column).isNull() & (F.coalesce(mask, F.lit(False)) if mask is not None else F.lit(True))
     filled = F.when(target, F.col("__median").cast(df.schema[column].dataType)).otherwise(F.col(column))
@@ -46,15 +54,18 @@ def group_median_fill(df: DataFrame, column: str, groups, min_size: int, mask: C
 def hierarchical_median_fill(df: DataFrame, columns, levels, min_size: int, mask: Column | None = None) -> DataFrame:
     """Apply the group levels in order; each level sees what the one before filled.
 
-    The frame is cut after every level, or the medians of level n would recompute
-    all levels ahead of it.
+    Only the medians are written, one row per group; the frame itself is carried
+    through the levels by joins with them and is computed once, with all its columns,
+    when the result is read.
     """
     if mask is not None:
         df = df.withColumn("__mask", F.coalesce(mask, F.lit(False)))
+    masked = F.col("__mask") if mask is not None else None
     for level in levels:
+        keys = [g for g in level if g in df.columns]
         for column in columns:
-            df = group_median_fill(df, column, level, min_size, F.col("__mask") if mask is not None else None)
-        df = cut_lineage(df)
+            if column in df.columns and keys:
+                df = _fill_from(df, cut_lineage(_group_medians(df, column, keys, min_size)), column, keys, masked)
     return df.drop("__mask")
 
 

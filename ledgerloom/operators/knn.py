@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.session import broadcast_if_small, cut_lineage
+from ledgerloom.session import cut_lineage
 
 BLOCK = 512
 MAX_PIVOTS = 2048
@@ -47,7 +47,7 @@ def _to_cells(df: DataFrame, pivots: np.ndarray) -> DataFrame:
 
 def _block_counts(df: DataFrame, name: str) -> DataFrame:
     """Blocks needed per cell; one small row per pivot."""
-    return broadcast_if_small(df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias(name)))
+    return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias(name))
 
 
 def _blocks(df: DataFrame, fields: list[str], prefix: str) -> DataFrame:

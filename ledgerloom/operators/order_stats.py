@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.dates import epoch_micros
-from ledgerloom.session import broadcast_if_small, null_safe_on
+from ledgerloom.session import null_safe_on
 
 SKETCH_ACCURACY = 100_000
 SMALL_GROUP = 50_000
@@ -67,8 +67,8 @@ def exact_quantiles(
     brackets = brackets.select(
         *[F.col(f"`{b}`").alias(f"__{b}") for b in by], F.col("column").alias("__column"), "n", "place", "low", "high"
     )
-    # Without groups there is one bracket per column and probability; with groups the size is measured.
-    brackets = broadcast_if_small(brackets) if by else F.broadcast(brackets)
+    # Without groups there is one bracket per column and probability; with groups it is a plain join.
+    brackets = brackets if by else F.broadcast(brackets)
     on = null_safe_on(long, brackets, [(c, f"__{c}") for c in [*by, "column"]])
     inside = long.join(brackets, on & (long["value"] <= brackets["high"]))
     # The integer place stands in for the probability, so that the window and the

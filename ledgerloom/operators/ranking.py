@@ -29,9 +29,30 @@ def number_within(df: DataFrame, block: str, place: Column, into: str, start: in
     return joined.withColumn(into, (position + F.coalesce("__before", F.lit(0)) + F.lit(start - 1)).cast("long")).drop("__at", "__before")
 
 
-def number_rows(df: DataFrame, order: str, into: str, start: int = 1, rows: int = BLOCK_ROWS) -> DataFrame:
-    """Consecutive numbers in the order of a unique integer column."""
-    return number_within(df.withColumn("__block", block_of(order, rows)), "__block", F.col(order), into, start).drop("__block")
+def number_rows(df: DataFrame, order: str, into: str, start: int = 1, pieces: int | None = None) -> DataFrame:
+    """Consecutive numbers in the order of a unique column without NULL.
+
+    The order column alone is dealt by range first; one row per range, its least value
+    and its count, comes to the driver. Rows then find their range by binary search,
+    so gaps between keys do not matter and every window covers one range.
+    """
+    pieces = pieces or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = df.select(F.col(order).alias("o")).repartitionByRange(pieces, "o").groupBy(F.spark_partition_id().alias("p"))
+    found = ranges.agg(F.min("o").alias("least"), F.count(F.lit(1)).alias("c")).orderBy("least").collect()
+    if not found:
+        return df.withColumn(into, F.lit(None).cast("long"))
+    bounds, before, total = [r["least"] for r in found], [], start - 1
+    for r in found:
+        before.append(total)
+        total += r["c"]
+    least = F.array(*[F.lit(b) for b in bounds])
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(bounds).bit_length()))])
+    # How many ranges begin at or before the row: the steps that stay below are added up.
+    met = F.aggregate(steps, F.lit(0), lambda at, s: at + F.when(F.get(least, at + s - 1) <= F.col(order), s).otherwise(0))
+    place = F.row_number().over(W.partitionBy("__piece").orderBy(order))
+    dealt = df.withColumn("__piece", met)
+    offset = F.get(F.array(*[F.lit(b).cast("long") for b in before]), F.col("__piece") - 1)
+    return dealt.withColumn(into, (place + offset).cast("long")).drop("__piece")
 
 
 def carry_forward(df: DataFrame, value: str, into: str, source: str, block: str, order: str) -> DataFrame:

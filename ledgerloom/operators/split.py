@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.ranking import shuffled_rank
+from ledgerloom.session import cut_lineage
 
 
 def _share(total: Column, share: float) -> Column:
@@ -19,7 +20,8 @@ def split_flag(df: DataFrame, keys, share: float, seed: int = 42, by=()) -> Data
 
 
 def train_test(df: DataFrame, keys, share: float, seed: int = 42, by=()) -> tuple[DataFrame, DataFrame]:
-    flagged = split_flag(df, keys, share, seed, by)
+    """Both parts of one flagged frame, cut once so that the ranks are worked out once."""
+    flagged = cut_lineage(split_flag(df, keys, share, seed, by))
     return flagged.filter("is_test = 0").drop("is_test"), flagged.filter("is_test = 1").drop("is_test")
 
 

@@ -5,10 +5,8 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# A side may be broadcast only after its size has been measured below this.
+# A shuffled side whose measured size is below this is broadcast by adaptive execution.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
@@ -24,6 +22,7 @@ def build_session(app_name: str = "ledgerloom", master: str | None = None, **con
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(BROADCAST_BYTES),
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
@@ -53,31 +52,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def _width(schema: T.StructType):
-    """Expression for the byte width of a row: 16 per fixed field, real length for text."""
-    total = F.lit(16 * len(schema.fields))
-    for field in schema.fields:
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            total = total + F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0))
-        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            total = total + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{field.name}`")))), F.lit(0))
-    return total
-
-
-def measured_bytes(df: DataFrame) -> int:
-    return df.agg(F.sum(_width(df.schema).cast("long")).alias("b")).first()["b"] or 0
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Materialise ``df``, measure it, and hint a broadcast only when it fits.
-
-    Beyond the limit the join stays a shuffled one, where adaptive execution
-    splits skewed partitions.
-    """
-    fixed = cut_lineage(df)
-    return F.broadcast(fixed) if measured_bytes(fixed) <= limit else fixed
-
-
 def spread(df: DataFrame, *columns: str) -> DataFrame:
     """Repartition ahead of work that is heavy for its bytes.
 

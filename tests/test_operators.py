@@ -39,7 +39,7 @@ def test_modes_take_the_smallest_on_ties(spark):
 
 def test_numbering_and_carry_forward(spark):
     df = spark.createDataFrame([(i * 3, "x" if i % 7 == 2 else None) for i in range(50)], "o long, v string")
-    numbered = ranking.number_rows(df, "o", "nr", start=5, rows=11)
+    numbered = ranking.number_rows(df, "o", "nr", start=5, pieces=5)
     assert [r["nr"] for r in numbered.orderBy("o").collect()] == list(range(5, 55))
     marked = df.withColumn("v", F.when(F.col("v").isNotNull(), F.col("o").cast("string"))).withColumn("s", F.lit("f")).withColumn("b", F.expr("o div 10"))
     got = [r["c"] for r in ranking.carry_forward(marked, "v", "c", "s", "b", "o").orderBy("o").collect()]
