@@ -54,18 +54,19 @@ def _fill_from(df: DataFrame, stats: DataFrame, column: str, keys, mask: Column
 def hierarchical_median_fill(df: DataFrame, columns, levels, min_size: int, mask: Column | None = None) -> DataFrame:
     """Apply the group levels in order; each level sees what the one before filled.
 
-    Only the medians are written, one row per group; the frame itself is carried
-    through the levels by joins with them and is computed once, with all its columns,
-    when the result is read.
+    Only the keys and the columns to fill are written, and one row per group and
+    level; the whole frame joins the medians of all levels when the result is read.
     """
-    if mask is not None:
-        df = df.withColumn("__mask", F.coalesce(mask, F.lit(False)))
-    masked = F.col("__mask") if mask is not None else None
-    for level in levels:
-        keys = [g for g in level if g in df.columns]
+    df = df.withColumn("__mask", F.coalesce(mask, F.lit(False)) if mask is not None else F.lit(True))
+    columns = [c for c in columns if c in df.columns]
+    levels = [[g for g in level if g in df.columns] for level in levels]
+    keys = [g for level in levels for g in level]
+    narrow = cut_lineage(df.select(*dict.fromkeys([*keys, *columns, "__mask"])))
+    for level in filter(None, levels):
         for column in columns:
-            if column in df.columns and keys:
-                df = _fill_from(df, cut_lineage(_group_medians(df, column, keys, min_size)), column, keys, masked)
+            stats = cut_lineage(_group_medians(narrow, column, level, min_size))
+            narrow = _fill_from(narrow, stats, column, level, F.col("__mask"))
+            df = _fill_from(df, stats, column, level, F.col("__mask"))
     return df.drop("__mask")
 
 
