@@ -184,6 +184,42 @@ def test_fuzzy_pairs_equal_brute_force(spark, threshold):
     assert {(r["a"], r["b"]) for r in got.collect()} == want and len(want) > 50
 
 
+def _common(a, b):
+    """Longest common subsequence by the plain table, apart from the library's own."""
+    rows = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a, 1):
+        for j, y in enumerate(b, 1):
+            rows[i][j] = rows[i - 1][j - 1] + 1 if x == y else max(rows[i - 1][j], rows[i][j - 1])
+    return rows[-1][-1]
+
+
+def test_a_gram_dealt_over_a_grid_loses_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(match, "GRAM_ROWS", 7)
+    rng = random.Random(5)
+    right = sorted({f"trade {n}" for n in _names(rng, 40)})
+    left = sorted({_misspelt(rng, rng.choice(right)) for _ in range(60)})
+    want = {(a, b) for a in left for b in right if 200.0 * _common(a, b) >= 85.0 * (len(a) + len(b))}
+    got = match.fuzzy_pairs(spark.createDataFrame([(a,) for a in left], "a string"), spark.createDataFrame([(b,) for b in right], "b string"), 85.0)
+    pairs = [(r["a"], r["b"]) for r in got.collect()]
+    assert set(pairs) == want and len(pairs) == len(want) > 20
+
+
+def test_numbering_ignores_gaps(spark):
+    df = spark.range(500).select((F.col("id") * 1_000_003).alias("o"))
+    got = ranking.number_rows(df, "o", "nr", pieces=8).orderBy("o").collect()
+    assert [r["nr"] for r in got] == list(range(1, 501))
+    assert ranking.number_rows(df.limit(0), "o", "nr").count() == 0
+
+
+def test_repeated_registry_name(spark):
+    registry = match.prepare_registry(spark.createDataFrame(
+        [(1, "Drini Trade", "x"), (2, "Drini Trade", "y"), (3, "Zeta", "z")], "id int, business string, owner string"), "business", "owner")
+    tiers = [match.Tier("business_norm", "b"), match.Tier("business_norm", "bf", 88.0)]
+    names = spark.createDataFrame([("Drini Trade",), ("Trade Drinii",)], "name string")
+    found = {r["name"]: (r["reg_id"], r["field"]) for r in match.match_names(names, registry, tiers, "id").collect()}
+    assert found == {"Drini Trade": (1, "b"), "Trade Drinii": (2, "bf")}
+
+
 def test_cascade(spark):
     registry = match.prepare_registry(spark.createDataFrame(
         [(1, "Alfa Ndërtim SH.P.K.", "Ana Gashi;1;100"), (2, "alfa ndertim shpk", "Ben Krasniqi;;"), (3, "Drini Trade L.L.C", "Cen Hoxha;5;50"), (4, "Zeta", None)],
