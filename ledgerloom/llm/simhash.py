@@ -11,6 +11,11 @@ A bucket over ``BUCKET`` fingerprints is dealt anew by every value one bit away:
 two bits means a common neighbour, and such a bucket cannot hold over 65. Links are
 joined by alternating large-star and small-star rounds over written tables.
 
+``keep_one`` groups texts by the similarity of their sets of five-word shingles (0.8).
+Such texts differ in more bits than blocks can promise, so buckets come from least hashes
+of the sets; the bit-sliced comparison drops most pairs in them, and the shingles of the
+whole texts decide.
+
 Defined results: NULL and empty texts have fingerprint zero and link to each other; a
 row with NULL id has a fingerprint, NULL as component, and links nothing; repeated rows
 stand in one component; an empty table gives an empty one.
@@ -26,14 +31,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.words import Words, slices
+from ledgerloom.llm.words import Words, chain, mix, slices
 from ledgerloom.session import cut_lineage
 
 SHINGLE = 3
 RADIUS = 2
 BLOCKS = 4
 BUCKET = 2048
-_ONE, _FULL = np.uint64(1), np.uint64(0xFFFFFFFFFFFFFFFF)
+# Similar texts: sets of five-word shingles; two with this similarity differ in about ten bits of the fingerprint.
+NEAR_SHINGLE, SIMILARITY, NEAR_RADIUS = 5, 0.8, 22
+# A pair at the similarity misses all bands with a chance of about 1 in 20,000; crowded buckets are dealt by deeper ones.
+BINS, BANDS, BAND_ROWS, DEEP_BANDS, DEEP_ROWS = 64, 14, 3, 40, 6
+_FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -70,8 +79,26 @@ def _planes(values: np.ndarray) -> np.ndarray:
     return np.packbits(bits, axis=0, bitorder="little").T.copy().view(np.uint64)
 
 
+def _count(counters: list[np.ndarray], differs: np.ndarray) -> np.ndarray:
+    """Add one plane of bits to the counters (least bit first); what they cannot hold is returned."""
+    for i, bit in enumerate(counters):
+        counters[i], differs = bit ^ differs, bit & differs
+    return differs
+
+
+def _exceed(counters: list[np.ndarray], radius: int, over: np.ndarray) -> np.ndarray:
+    equal = np.full_like(over, _FULL)
+    for i in reversed(range(len(counters))):
+        if radius >> i & 1:
+            equal &= counters[i]
+        else:
+            over = over | (equal & counters[i])
+            equal &= ~counters[i]
+    return over
+
+
 def close_pairs(values: np.ndarray, bucket: np.ndarray, radius: int):
-    """Pairs of places ``(a, b)``, in turns, of one bucket with at most ``radius`` (up to 2) differing bits.
+    """Pairs of places ``(a, b)``, in turns, of one bucket with at most ``radius`` differing bits.
 
     Buckets must be contiguous. Each turn takes all pairs at one distance of places.
     """
@@ -89,23 +116,16 @@ def close_pairs(values: np.ndarray, bucket: np.ndarray, radius: int):
         turn = np.uint64(turn)
         # Lanes whose partner stands in another bucket count as exceeded from the start.
         over = ~np.packbits(padded.reshape(-1, 64)[words] >= shift, axis=1, bitorder="little").view(np.uint64).reshape(-1)
-        one, two = np.zeros(len(words), np.uint64), np.zeros(len(words), np.uint64)
+        counters = [np.zeros(len(words), np.uint64) for _ in range(radius.bit_length())]
         for base in range(0, 64, 8):
             for plane in planes[base : base + 8]:
                 other = plane[words + skip]
                 if turn:
                     other = (other >> turn) | (plane[np.minimum(words + skip + 1, len(plane) - 1)] << (np.uint64(64) - turn))
-                differs = plane[words] ^ other
-                carry = one & differs
-                one ^= differs
-                over |= two & carry
-                two |= carry
-            if radius < 2:
-                over |= two if radius == 1 else one | two
-            else:
-                over |= two & one
+                over |= _count(counters, plane[words] ^ other)
+            over = _exceed(counters, radius, over)
             stay = over != _FULL
-            words, over, one, two = words[stay], over[stay], one[stay], two[stay]
+            words, over, counters = words[stay], over[stay], [c[stay] for c in counters]
             if not len(words):
                 break
         if len(words):
@@ -115,44 +135,71 @@ def close_pairs(values: np.ndarray, bucket: np.ndarray, radius: int):
             yield a, a + shift
 
 
+def _settle(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Give each place the least label reachable from it over the pairs."""
+    while True:
+        la, lb = label[a], label[b]
+        low, high = np.minimum(la, lb), np.maximum(la, lb)
+        if (low == high).all():
+            return
+        np.minimum.at(label, high, low)
+        while (label[label] != label).any():
+            label[:] = label[label]
+
+
 def forest(n: int, pairs) -> np.ndarray:
     """Least place reachable from each of ``n`` places over the pairs."""
     label = np.arange(n)
-
-    def settle(a, b):
-        while True:
-            la, lb = label[a], label[b]
-            low, high = np.minimum(la, lb), np.maximum(la, lb)
-            if (low == high).all():
-                return
-            np.minimum.at(label, high, low)
-            while (label[label] != label).any():
-                label[:] = label[label]
     for a, b in pairs:
-        settle(a, b)
+        _settle(label, a, b)
     return label
 
 
-def _links(keyed: DataFrame, radius: int, partitions: int) -> DataFrame:
-    """Links ``(a, b)`` between the ids of fingerprints that share a key and lie within the radius."""
-    def link(key, value, rep):
-        root = forest(len(value), close_pairs(value.view(np.uint64), key, radius))
-        linked = np.flatnonzero(root != np.arange(len(root)))
-        return pa.RecordBatch.from_arrays([pa.array(rep[linked]), pa.array(rep[root[linked]])], names=["a", "b"])
+def root_links(key, value, rep, label, radius):
+    """A star for each component of a bucket."""
+    root = forest(len(value), close_pairs(value, key, radius))
+    linked = np.flatnonzero(root != np.arange(len(root)))
+    yield rep[linked], rep[root[linked]]
+
+
+def joining_links(key, value, rep, label, radius):
+    """The pairs within the radius that join components of a bucket, turn by turn."""
+    root = np.arange(len(value))
+    for a, b in close_pairs(value, key, radius):
+        apart = root[a] != root[b]
+        if apart.any():
+            yield rep[a[apart]], rep[b[apart]]
+            _settle(root, a[apart], b[apart])
+
+
+def apart_links(key, value, rep, label, radius):
+    """All pairs within the radius whose labels differ."""
+    for a, b in close_pairs(value, key, radius):
+        apart = label[a] != label[b]
+        yield rep[a[apart]], rep[b[apart]]
+
+
+def _links(keyed: DataFrame, radius: int, partitions: int, choose=root_links) -> DataFrame:
+    """Links ``(a, b)`` between the ids of fingerprints that share a key and lie within the radius, as ``choose`` gives them."""
+    def chosen(key, value, rep, label):
+        for a, b in choose(key, value.view(np.uint64), rep, label, radius):
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     def work(batches):
-        held = [np.zeros(0, np.int64)] * 3
+        held = [np.zeros(0, np.int64)] * 4
         for batch in batches:
             held = [np.concatenate([h, batch.column(i).to_numpy()]) for i, h in enumerate(held)]
             # The last bucket may go on in the next batch.
             done = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
             if done >= 50_000:
-                yield link(*[h[:done] for h in held])
+                yield from chosen(*[h[:done] for h in held])
                 held = [h[done:] for h in held]
         if len(held[0]):
-            yield link(*held)
+            yield from chosen(*held)
 
-    dealt = keyed.select("key", "fp", "rep").repartition(partitions, "key").sortWithinPartitions("key")
+    label = F.col("label") if "label" in keyed.columns else F.col("rep").alias("label")
+    dealt = keyed.select("key", "fp", "rep", label).repartition(partitions, "key").sortWithinPartitions("key", "rep")
     return dealt.mapInArrow(work, "a long, b long")
 
 
@@ -195,14 +242,19 @@ def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, bucket: int = B
     partitions = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     block = lambda i: F.shiftrightunsigned("fp", 16 * i).bitwiseAND(F.lit(0xFFFF))
     keys = F.array(*[F.lit(n << 32) + block(i) * 65536 + block(j) for n, (i, j) in enumerate(combinations(range(BLOCKS), 2))])
+    near = F.concat(F.array("fp"), F.transform(F.sequence(F.lit(0), F.lit(63)), lambda b: F.expr("fp").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), b))))
     keyed = distinct.select("fp", "rep", F.explode(keys).alias("key"))
+    return _links(_deal(keyed, lambda crowded: crowded.select(F.explode(near).alias("key"), "fp", "rep"), bucket), radius, partitions)
+
+
+def _deal(keyed: DataFrame, anew, bucket: int) -> DataFrame:
+    """The rows of keys with two rows or more; rows of keys with over ``bucket`` rows are dealt ``anew``, by other keys."""
     sizes = cut_lineage(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
-    links = _links(keyed.join(sizes.filter(F.col("n") <= bucket), "key"), radius, partitions)
+    small = keyed.join(sizes.filter(F.col("n") <= bucket), "key").select("key", "fp", "rep")
     if sizes.filter(F.col("n") > bucket).isEmpty():
-        return links
+        return small
     crowded = keyed.join(sizes.filter(F.col("n") > bucket), "key", "left_semi").select("fp", "rep").distinct()
-    near = F.concat(F.array("fp"), F.transform(F.sequence(F.lit(0), F.lit(63)), lambda b: F.expr("fp").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), b))))
-    return links.unionByName(_links(crowded.select("fp", "rep", F.explode(near).alias("key")), radius, partitions))
+    return small.unionByName(anew(crowded))
 
 
 def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
@@ -217,8 +269,134 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text"
         F.when(F.col("id").isNotNull(), F.col("component")).alias("component_id"))
 
 
-def keep_one(df: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The rows of ``df`` with the least id of each near-duplicate component, unchanged.
+def _shingles(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of all texts, text by text, and each text's first (one more at the end)."""
+    words = Words(texts)
+    words.data = _LOWER[words.data]
+    hashes, count = words.hashes(), np.diff(words.first)
+    runs = chain(hashes, k)
+    at = np.flatnonzero(words.text[: len(runs)] == words.text[k - 1 :]) if len(runs) else np.zeros(0, np.int64)
+    text, value = words.text[at], runs[at]
+    short = np.flatnonzero((count > 0) & (count < k))
+    if len(short):
+        whole = np.concatenate([chain(hashes[words.first[t] : words.first[t + 1]], int(count[t])) for t in short.tolist()])
+        text, value = np.concatenate([text, short]), np.concatenate([value, whole])
+    order = np.lexsort([value, text])
+    text, value = text[order], value[order]
+    new = np.ones(len(text), bool)
+    new[1:] = (text[1:] != text[:-1]) | (value[1:] != value[:-1])
+    return value[new], np.searchsorted(text[new], np.arange(len(count) + 1))
+
+
+def _minima(value: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """``BINS`` least hashes (one permutation, empty bins borrow) of each text's set of shingles; no set may be empty."""
+    n = len(first) - 1
+    drawn = mix(value ^ np.uint64(0x5BF0_3635_ACC9_35D1))
+    cell = np.repeat(np.arange(n), np.diff(first)) * BINS + (drawn % np.uint64(BINS)).astype(np.int64)
+    least = (drawn >> np.uint64(32)).astype(np.uint32)
+    order = np.lexsort([least, cell])
+    at = np.flatnonzero(np.diff(cell[order], prepend=-1))
+    out, filled = np.zeros(n * BINS, np.uint32), np.zeros(n * BINS, bool)
+    out[cell[order][at]], filled[cell[order][at]] = least[order][at], True
+    full, empty, turn = filled.copy(), np.flatnonzero(~filled), 0
+    while len(empty):
+        turn += 1
+        source = (mix((empty % BINS).astype(np.uint64) + np.uint64(turn * BINS)) % np.uint64(BINS)).astype(np.int64)
+        source += empty // BINS * BINS
+        found = full[source]
+        out[empty[found]] = out[source[found]]
+        empty = empty[~found]
+    return out.reshape(n, BINS)
+
+
+def _profiles(df: DataFrame, shingle: int) -> DataFrame:
+    """Of each ``(id, text)`` with a word: the hash of its set of shingles (``s1``, ``s2``), its fingerprint and least hashes."""
+    def work(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                value, first = _shingles(part.column("text"), shingle)
+                some = np.flatnonzero(np.diff(first))
+                if not len(some):
+                    continue
+                head, size = first[some], np.diff(first)[some]
+                bits = np.unpackbits(value.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+                ones = np.add.reduceat(bits, head, axis=0, dtype=np.int32)
+                prints = np.packbits((2 * ones > size[:, None]).astype(np.uint8), axis=1, bitorder="little").reshape(-1).view(np.int64)
+                sums = [np.add.reduceat(mix(value ^ np.uint64(c)), head).view(np.int64) for c in (1, 2)]
+                minima = _minima(value, np.append(head, len(value)))
+                yield pa.RecordBatch.from_arrays([
+                    part.column("id").take(pa.array(some)), *[pa.array(x) for x in (*sums, prints)], pa.array([m.tobytes() for m in minima], pa.binary()),
+                ], names=["id", "s1", "s2", "fp", "minima"])
+
+    return df.mapInArrow(work, "id long, s1 long, s2 long, fp long, minima binary")
+
+
+def _banded(profiles: DataFrame, bands: int, rows: int) -> DataFrame:
+    """A row for each of ``bands`` keys, each made of ``rows`` of the least hashes."""
+    def work(batches):
+        draw = np.random.default_rng(rows)
+        chosen = [draw.choice(BINS, rows, replace=False) for _ in range(bands)]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            minima = np.frombuffer(b"".join(batch.column("minima").to_pylist()), np.uint32).reshape(-1, BINS).astype(np.uint64)
+            for band, columns in enumerate(chosen):
+                key = np.full(len(minima), band + (rows << 8), np.uint64)
+                for c in columns:
+                    key = mix(key * np.uint64(0x9E3779B97F4A7C15) + minima[:, c])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column("fp"), batch.column("rep")], names=["key", "fp", "rep"])
+
+    return profiles.select("fp", "rep", "minima").mapInArrow(work, "key long, fp long, rep long")
+
+
+def _verified(links: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """``links`` with ``near``: whether the shingle sets of both texts are similar enough."""
+    def work(batches):
+        for batch in batches:
+            for part in slices(batch, "text_a", 500_000):
+                (x, head_x), (y, head_y) = (_shingles(part.column(c), shingle) for c in ("text_a", "text_b"))
+                near = []
+                for i in range(part.num_rows):
+                    a, b = x[head_x[i] : head_x[i + 1]], y[head_y[i] : head_y[i + 1]]
+                    both = len(np.intersect1d(a, b, assume_unique=True))
+                    near.append(both > 0 and both >= similarity * (len(a) + len(b) - both))
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(near, pa.bool_())], names=["a", "b", "near"])
+
+    sides = links.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
+    return sides.select("a", "b", "text_a", "text_b").mapInArrow(work, "a long, b long, near boolean")
+
+
+def similar_components(docs: DataFrame, shingle: int = NEAR_SHINGLE, similarity: float = SIMILARITY, radius: int = NEAR_RADIUS, bucket: int = BUCKET) -> DataFrame:
+    """``(id, root)`` of the ``(id, text)`` rows that are linked to a smaller id by sets of shingles of at least this similarity.
+
+    Equal sets are one class. Classes meet in the buckets of their least hashes, where
+    fingerprints are compared bit-sliced; links within the radius are verified on the whole
+    texts. First those that join the components of a bucket, about one for each text; then,
+    where some failed, every link between texts that are still apart.
+    """
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    profiles = cut_lineage(_profiles(docs, shingle))
+    classes = cut_lineage(profiles.groupBy("s1", "s2").agg(F.min("id").alias("rep"), F.first("fp").alias("fp"), F.first("minima").alias("minima")))
+    keyed = _deal(_banded(classes, BANDS, BAND_ROWS), lambda crowded: _banded(classes.join(crowded, ["fp", "rep"]), DEEP_BANDS, DEEP_ROWS), bucket)
+    pairs = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    tried = cut_lineage(_links(keyed, radius, partitions, joining_links).select(*pairs).filter("a < b").distinct())
+    met = tried.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    texts = cut_lineage(docs.join(met, "id", "left_semi").select("id", "text").distinct())
+    judged = cut_lineage(_verified(tried, texts, shingle, similarity))
+    links = judged.filter("near").select("a", "b")
+    if not judged.filter(~F.col("near")).isEmpty():
+        roots = components(links).withColumnRenamed("id", "rep")
+        apart = keyed.join(met.withColumnRenamed("id", "rep"), "rep", "left_semi").join(roots, "rep", "left")
+        more = _links(apart.withColumn("label", F.coalesce("root", "rep")), radius, partitions, apart_links)
+        more = more.select(*pairs).filter("a < b").distinct().join(tried, ["a", "b"], "left_anti")
+        links = links.unionByName(_verified(more, texts, shingle, similarity).filter("near").select("a", "b"))
+    roots = components(links)
+    copies = profiles.join(classes.select("s1", "s2", "rep"), ["s1", "s2"]).join(roots, F.col("rep") == roots["id"], "left")
+    return copies.select(profiles["id"], F.coalesce("root", "rep").alias("root")).filter("id > root")
+
+
+def keep_one(df: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = NEAR_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``df`` with the least id of each group of similar texts, unchanged.
 
     Texts without words are no copies of anything and all stay, as do rows with NULL id.
     Of rows that share an id one stays.
@@ -226,9 +404,9 @@ def keep_one(df: DataFrame, id_column: str = "doc_id", text: str = "text", shing
     columns = df.columns
     plain = df.toDF(*[f"c{i}" for i in range(len(columns))])
     ids, body = f"c{columns.index(id_column)}", f"c{columns.index(text)}"
-    found = near_duplicates(plain, ids, body, shingle, radius)
-    gone = found.filter(F.col(ids) != F.col("component_id")).select(F.col(ids).alias("gone")).distinct()
     wordless = F.coalesce(~F.col(body).rlike(r"[^\x20\x09-\x0D]"), F.lit(True))
+    docs = plain.filter(F.col(ids).isNotNull()).select(F.col(ids).cast("long").alias("id"), F.col(body).alias("text"))
+    gone = similar_components(docs, shingle, similarity).select(F.col("id").alias("gone")).distinct()
     kept = plain.join(gone, plain[ids] == gone["gone"], "left_anti")
     single = kept.filter(F.col(ids).isNotNull() & ~wordless).dropDuplicates([ids])
     rest = plain.filter(F.col(ids).isNull() | wordless)

@@ -34,7 +34,7 @@ def test_fingerprints():
     assert [int(x) for x in S.fingerprints(pa.array(texts))] == [fingerprint(t) for t in texts]
 
 
-@pytest.mark.parametrize("radius", [0, 1, 2])
+@pytest.mark.parametrize("radius", [0, 1, 2, 6, 22])
 def test_bit_sliced_pairs(radius):
     values = clustered(20, 2)
     keys = np.arange(len(values)) // 170
@@ -84,6 +84,32 @@ def test_keep_one(spark):
     assert S.keep_one(df.limit(0)).count() == 0 and S.near_duplicates(df.limit(0)).count() == 0
 
 
+def similar(a, b):
+    sets = []
+    for t in (a, b):
+        w = words(re.sub("[A-Z]", lambda m: m[0].lower(), t))
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
+    both = len(sets[0] & sets[1])
+    return both >= 0.8 * (len(sets[0]) + len(sets[1]) - both)
+
+
+@pytest.mark.parametrize("bucket", [2, 2048])
+def test_similar_components(spark, bucket):
+    draw = random.Random(3)
+    texts = []
+    for size in (4, 12, 40, 90, 300, 300):
+        base = [f"w{draw.randint(0, 400)}" for _ in range(size)]
+        for _ in range(14):
+            # Drifting copies: neighbours are similar, distant ones are not, some changes are too large.
+            for _ in range(draw.choice([0, 1, 1, size // 60, size // 25])):
+                base[draw.randrange(size)] = f"x{draw.randint(0, 10**6)}"
+            texts.append(" ".join(base))
+    draw.shuffle(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    got = {i: i for i in range(len(texts))} | dict(map(tuple, S.similar_components(df, bucket=bucket).collect()))
+    assert got == components(range(len(texts)), lambda a, b: similar(texts[a], texts[b]))
+
+
 def test_radius_is_bounded(spark):
     with pytest.raises(ValueError):
         S.fingerprint_links(spark.createDataFrame([], "fp long, rep long"), 3)
