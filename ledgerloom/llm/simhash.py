@@ -42,6 +42,8 @@ BUCKET = 2048
 NEAR_SHINGLE, SIMILARITY, NEAR_RADIUS = 5, 0.8, 22
 # A pair at the similarity misses all bands with a chance of about 1 in 20,000; crowded buckets are dealt by deeper ones.
 BINS, BANDS, BAND_ROWS, DEEP_BANDS, DEEP_ROWS = 64, 14, 3, 40, 6
+# Of 64 least hashes 51 agree on average at the similarity; fewer than 38 do with a chance of about 1 in 20,000.
+AGREE = 38
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -155,14 +157,14 @@ def forest(n: int, pairs) -> np.ndarray:
     return label
 
 
-def root_links(key, value, rep, label, radius):
+def root_links(key, value, rep, label, minima, radius):
     """A star for each component of a bucket."""
     root = forest(len(value), close_pairs(value, key, radius))
     linked = np.flatnonzero(root != np.arange(len(root)))
     yield rep[linked], rep[root[linked]]
 
 
-def joining_links(key, value, rep, label, radius):
+def joining_links(key, value, rep, label, minima, radius):
     """The pairs within the radius that join components of a bucket, turn by turn."""
     root = np.arange(len(value))
     for a, b in close_pairs(value, key, radius):
@@ -172,24 +174,42 @@ def joining_links(key, value, rep, label, radius):
             _settle(root, a[apart], b[apart])
 
 
-def apart_links(key, value, rep, label, radius):
-    """All pairs within the radius whose labels differ."""
+def hub_links(key, value, rep, label, minima, radius):
+    """Of each bucket: the row nearest to the majority of all bits, with every row of another label within the radius."""
+    head = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
+    size = np.diff(np.append(head, len(key)))
+    bits = np.unpackbits(value.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    ones = np.add.reduceat(bits, head, axis=0, dtype=np.int64)
+    common = np.packbits((2 * ones > size[:, None]).astype(np.uint8), axis=1, bitorder="little").reshape(-1).view(np.uint64)
+    bucket = np.repeat(np.arange(len(head)), size)
+    hub = np.lexsort([rep, np.bitwise_count(value ^ common[bucket]), bucket])[head][bucket]
+    found = (label != label[hub]) & (np.bitwise_count(value ^ value[hub]) <= radius)
+    yield rep[found], rep[hub[found]]
+
+
+def apart_links(key, value, rep, label, minima, radius):
+    """All pairs within the radius whose labels differ and of whose least hashes ``AGREE`` or more agree."""
     for a, b in close_pairs(value, key, radius):
         apart = label[a] != label[b]
-        yield rep[a[apart]], rep[b[apart]]
+        a, b = a[apart], b[apart]
+        if len(a):
+            alike = (minima[a] == minima[b]).sum(axis=1) >= AGREE
+            yield rep[a[alike]], rep[b[alike]]
 
 
 def _links(keyed: DataFrame, radius: int, partitions: int, choose=root_links) -> DataFrame:
     """Links ``(a, b)`` between the ids of fingerprints that share a key and lie within the radius, as ``choose`` gives them."""
-    def chosen(key, value, rep, label):
-        for a, b in choose(key, value.view(np.uint64), rep, label, radius):
+    def chosen(key, value, rep, label, minima=None):
+        if minima is not None:
+            minima = np.frombuffer(b"".join(minima), np.uint32).reshape(-1, BINS)
+        for a, b in choose(key, value.view(np.uint64), rep, label, minima, radius):
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     def work(batches):
-        held = [np.zeros(0, np.int64)] * 4
+        held = [np.zeros(0, np.int64)] * 4 + [np.zeros(0, object)] * sketched
         for batch in batches:
-            held = [np.concatenate([h, batch.column(i).to_numpy()]) for i, h in enumerate(held)]
+            held = [np.concatenate([h, batch.column(i).to_numpy(zero_copy_only=False)]) for i, h in enumerate(held)]
             # The last bucket may go on in the next batch.
             done = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
             if done >= 50_000:
@@ -199,7 +219,8 @@ def _links(keyed: DataFrame, radius: int, partitions: int, choose=root_links) ->
             yield from chosen(*held)
 
     label = F.col("label") if "label" in keyed.columns else F.col("rep").alias("label")
-    dealt = keyed.select("key", "fp", "rep", label).repartition(partitions, "key").sortWithinPartitions("key", "rep")
+    sketched = "minima" in keyed.columns
+    dealt = keyed.select("key", "fp", "rep", label, *["minima"] * sketched).repartition(partitions, "key").sortWithinPartitions("key", "rep")
     return dealt.mapInArrow(work, "a long, b long")
 
 
@@ -371,8 +392,9 @@ def similar_components(docs: DataFrame, shingle: int = NEAR_SHINGLE, similarity:
 
     Equal sets are one class. Classes meet in the buckets of their least hashes, where
     fingerprints are compared bit-sliced; links within the radius are verified on the whole
-    texts. First those that join the components of a bucket, about one for each text; then,
-    where some failed, every link between texts that are still apart.
+    texts. First those that join the components of a bucket, about one for each text; where
+    some failed, those with the most central text of each bucket, from which copies of one
+    text mostly come; then every link between texts that are still apart.
     """
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     profiles = cut_lineage(_profiles(docs, shingle))
@@ -385,11 +407,16 @@ def similar_components(docs: DataFrame, shingle: int = NEAR_SHINGLE, similarity:
     judged = cut_lineage(_verified(tried, texts, shingle, similarity))
     links = judged.filter("near").select("a", "b")
     if not judged.filter(~F.col("near")).isEmpty():
-        roots = components(links).withColumnRenamed("id", "rep")
-        apart = keyed.join(met.withColumnRenamed("id", "rep"), "rep", "left_semi").join(roots, "rep", "left")
-        more = _links(apart.withColumn("label", F.coalesce("root", "rep")), radius, partitions, apart_links)
-        more = more.select(*pairs).filter("a < b").distinct().join(tried, ["a", "b"], "left_anti")
-        links = links.unionByName(_verified(more, texts, shingle, similarity).filter("near").select("a", "b"))
+        keyed = cut_lineage(keyed.join(met.withColumnRenamed("id", "rep"), "rep", "left_semi"))
+        for choose in (hub_links, apart_links):
+            roots = components(links).withColumnRenamed("id", "rep")
+            apart = keyed.join(roots, "rep", "left").withColumn("label", F.coalesce("root", "rep"))
+            if choose is apart_links:
+                apart = apart.join(classes.select("fp", "rep", "minima"), ["fp", "rep"])
+            more = _links(apart, radius, partitions, choose).select(*pairs).filter("a < b").distinct().join(tried, ["a", "b"], "left_anti")
+            judged = cut_lineage(_verified(more, texts, shingle, similarity))
+            tried = tried.unionByName(judged.select("a", "b"))
+            links = links.unionByName(judged.filter("near").select("a", "b"))
     roots = components(links)
     copies = profiles.join(classes.select("s1", "s2", "rep"), ["s1", "s2"]).join(roots, F.col("rep") == roots["id"], "left")
     return copies.select(profiles["id"], F.coalesce("root", "rep").alias("root")).filter("id > root")
