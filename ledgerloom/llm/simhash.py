@@ -193,7 +193,9 @@ def apart_links(key, value, rep, label, minima, radius):
         apart = label[a] != label[b]
         a, b = a[apart], b[apart]
         if len(a):
-            alike = (minima[a] == minima[b]).sum(axis=1) >= AGREE
+            # The last number is the size of the set: sizes further apart rule the similarity out.
+            least, most = np.minimum(minima[a, BINS], minima[b, BINS]), np.maximum(minima[a, BINS], minima[b, BINS])
+            alike = ((minima[a, :BINS] == minima[b, :BINS]).sum(axis=1) >= AGREE) & (least >= SIMILARITY * most)
             yield rep[a[alike]], rep[b[alike]]
 
 
@@ -201,7 +203,7 @@ def _links(keyed: DataFrame, radius: int, partitions: int, choose=root_links) ->
     """Links ``(a, b)`` between the ids of fingerprints that share a key and lie within the radius, as ``choose`` gives them."""
     def chosen(key, value, rep, label, minima=None):
         if minima is not None:
-            minima = np.frombuffer(b"".join(minima), np.uint32).reshape(-1, BINS)
+            minima = np.frombuffer(b"".join(minima), np.uint32).reshape(-1, BINS + 1)
         for a, b in choose(key, value.view(np.uint64), rep, label, minima, radius):
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
@@ -331,7 +333,7 @@ def _minima(value: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _profiles(df: DataFrame, shingle: int) -> DataFrame:
-    """Of each ``(id, text)`` with a word: the hash of its set of shingles (``s1``, ``s2``), its fingerprint and least hashes."""
+    """Of each ``(id, text)`` with a word: the hash of its set of shingles (``s1``, ``s2``), its fingerprint, and its least hashes and size."""
     def work(batches):
         for batch in batches:
             for part in slices(batch, "text"):
@@ -344,7 +346,7 @@ def _profiles(df: DataFrame, shingle: int) -> DataFrame:
                 ones = np.add.reduceat(bits, head, axis=0, dtype=np.int32)
                 prints = np.packbits((2 * ones > size[:, None]).astype(np.uint8), axis=1, bitorder="little").reshape(-1).view(np.int64)
                 sums = [np.add.reduceat(mix(value ^ np.uint64(c)), head).view(np.int64) for c in (1, 2)]
-                minima = _minima(value, np.append(head, len(value)))
+                minima = np.column_stack([_minima(value, np.append(head, len(value))), size.astype(np.uint32)])
                 yield pa.RecordBatch.from_arrays([
                     part.column("id").take(pa.array(some)), *[pa.array(x) for x in (*sums, prints)], pa.array([m.tobytes() for m in minima], pa.binary()),
                 ], names=["id", "s1", "s2", "fp", "minima"])
@@ -360,7 +362,7 @@ def _banded(profiles: DataFrame, bands: int, rows: int) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            minima = np.frombuffer(b"".join(batch.column("minima").to_pylist()), np.uint32).reshape(-1, BINS).astype(np.uint64)
+            minima = np.frombuffer(b"".join(batch.column("minima").to_pylist()), np.uint32).reshape(-1, BINS + 1).astype(np.uint64)
             for band, columns in enumerate(chosen):
                 key = np.full(len(minima), band + (rows << 8), np.uint64)
                 for c in columns:
@@ -396,6 +398,8 @@ def similar_components(docs: DataFrame, shingle: int = NEAR_SHINGLE, similarity:
     some failed, those with the most central text of each bucket, from which copies of one
     text mostly come; then every link between texts that are still apart.
     """
+    if similarity < SIMILARITY:
+        raise ValueError("the bands and bounds are made for a similarity of 0.8 or more")
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     profiles = cut_lineage(_profiles(docs, shingle))
     classes = cut_lineage(profiles.groupBy("s1", "s2").agg(F.min("id").alias("rep"), F.first("fp").alias("fp"), F.first("minima").alias("minima")))
