@@ -14,7 +14,8 @@ joined by alternating large-star and small-star rounds over written tables.
 ``keep_one`` groups texts by the similarity of their sets of five-word shingles (0.8).
 Such texts differ in more bits than blocks can promise, so buckets come from least hashes
 of the sets; the bit-sliced comparison drops most pairs in them, and the shingles of the
-whole texts decide.
+whole texts decide. A bucket over ``BUCKET`` texts keeps its key and is dealt over a grid of
+cells, in which every two of its texts meet once, so its size does not change what is found.
 
 Defined results: NULL and empty texts have fingerprint zero and link to each other; a
 row with NULL id has a fingerprint, NULL as component, and links nothing; repeated rows
@@ -40,8 +41,8 @@ BLOCKS = 4
 BUCKET = 2048
 # Similar texts: sets of five-word shingles; two with this similarity differ in about ten bits of the fingerprint.
 NEAR_SHINGLE, SIMILARITY, NEAR_RADIUS = 5, 0.8, 22
-# A pair at the similarity misses all bands with a chance of about 1 in 20,000; crowded buckets are dealt by deeper ones.
-BINS, BANDS, BAND_ROWS, DEEP_BANDS, DEEP_ROWS = 64, 14, 3, 40, 6
+# The bands share no least hash: a pair of long texts at the similarity misses all with a chance of (1 - 0.8^3)^14, 1 in 23,000.
+BINS, BANDS, BAND_ROWS = 64, 14, 3
 # Of 64 least hashes 51 agree on average at the similarity; fewer than 38 do with a chance of about 1 in 20,000.
 AGREE = 38
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -157,24 +158,30 @@ def forest(n: int, pairs) -> np.ndarray:
     return label
 
 
-def root_links(key, value, rep, label, minima, radius):
+def root_links(key, value, rep, label, half, minima, radius):
     """A star for each component of a bucket."""
     root = forest(len(value), close_pairs(value, key, radius))
     linked = np.flatnonzero(root != np.arange(len(root)))
     yield rep[linked], rep[root[linked]]
 
 
-def joining_links(key, value, rep, label, minima, radius):
-    """The pairs within the radius that join components of a bucket, turn by turn."""
+def joining_links(key, value, rep, label, half, minima, radius):
+    """The pairs within the radius that join components of a bucket, turn by turn.
+
+    In a cell of two halves the pairs of one half join silently: another cell gives their links.
+    """
     root = np.arange(len(value))
     for a, b in close_pairs(value, key, radius):
-        apart = root[a] != root[b]
+        own = (half[a] > 0) & (half[a] == half[b])
+        if own.any():
+            _settle(root, a[own], b[own])
+        apart = ~own & (root[a] != root[b])
         if apart.any():
             yield rep[a[apart]], rep[b[apart]]
             _settle(root, a[apart], b[apart])
 
 
-def hub_links(key, value, rep, label, minima, radius):
+def hub_links(key, value, rep, label, half, minima, radius):
     """Of each bucket: the row nearest to the majority of all bits, with every row of another label within the radius."""
     head = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
     size = np.diff(np.append(head, len(key)))
@@ -187,10 +194,10 @@ def hub_links(key, value, rep, label, minima, radius):
     yield rep[found], rep[hub[found]]
 
 
-def apart_links(key, value, rep, label, minima, radius):
-    """All pairs within the radius whose labels differ and of whose least hashes ``AGREE`` or more agree."""
+def apart_links(key, value, rep, label, half, minima, radius):
+    """All pairs within the radius whose labels differ and of whose least hashes ``AGREE`` or more agree; in a cell of two halves, across them."""
     for a, b in close_pairs(value, key, radius):
-        apart = label[a] != label[b]
+        apart = (label[a] != label[b]) & ((half[a] == 0) | (half[a] != half[b]))
         a, b = a[apart], b[apart]
         if len(a):
             # The last number is the size of the set: sizes further apart rule the similarity out.
@@ -201,15 +208,15 @@ def apart_links(key, value, rep, label, minima, radius):
 
 def _links(keyed: DataFrame, radius: int, partitions: int, choose=root_links) -> DataFrame:
     """Links ``(a, b)`` between the ids of fingerprints that share a key and lie within the radius, as ``choose`` gives them."""
-    def chosen(key, value, rep, label, minima=None):
+    def chosen(key, value, rep, label, half, minima=None):
         if minima is not None:
             minima = np.frombuffer(b"".join(minima), np.uint32).reshape(-1, BINS + 1)
-        for a, b in choose(key, value.view(np.uint64), rep, label, minima, radius):
+        for a, b in choose(key, value.view(np.uint64), rep, label, half, minima, radius):
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     def work(batches):
-        held = [np.zeros(0, np.int64)] * 4 + [np.zeros(0, object)] * sketched
+        held = [np.zeros(0, np.int64)] * 5 + [np.zeros(0, object)] * sketched
         for batch in batches:
             held = [np.concatenate([h, batch.column(i).to_numpy(zero_copy_only=False)]) for i, h in enumerate(held)]
             # The last bucket may go on in the next batch.
@@ -221,8 +228,9 @@ def _links(keyed: DataFrame, radius: int, partitions: int, choose=root_links) ->
             yield from chosen(*held)
 
     label = F.col("label") if "label" in keyed.columns else F.col("rep").alias("label")
+    half = F.col("half") if "half" in keyed.columns else F.lit(0).alias("half")
     sketched = "minima" in keyed.columns
-    dealt = keyed.select("key", "fp", "rep", label, *["minima"] * sketched).repartition(partitions, "key").sortWithinPartitions("key", "rep")
+    dealt = keyed.select("key", "fp", "rep", label, half, *["minima"] * sketched).repartition(partitions, "key").sortWithinPartitions("key", "half", "rep")
     return dealt.mapInArrow(work, "a long, b long")
 
 
@@ -280,6 +288,25 @@ def _deal(keyed: DataFrame, anew, bucket: int) -> DataFrame:
     return small.unionByName(anew(crowded))
 
 
+def _gridded(keyed: DataFrame, bucket: int) -> DataFrame:
+    """The rows of keys with two rows or more, with ``half``; a key with over ``bucket`` rows is dealt over a grid of cells.
+
+    Its rows go to groups of about half a bucket by hash, and every two groups share a cell, of
+    which they are the halves 1 and 2; a group alone, like a small bucket, has half 0. Rows of two
+    groups meet in the cell of both, rows of one group in its own.
+    """
+    sizes = cut_lineage(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
+    small = keyed.join(sizes.filter(F.col("n") <= bucket), "key").select("key", "fp", "rep", F.lit(0).alias("half"))
+    if sizes.filter(F.col("n") > bucket).isEmpty():
+        return small
+    groups = sizes.filter(F.col("n") > bucket).select("key", F.ceil(F.col("n") / max(1, bucket // 2)).cast("int").alias("groups"))
+    crowded = keyed.join(groups, "key").withColumn("own", F.pmod(F.xxhash64("rep", "key"), F.col("groups")).cast("int"))
+    crowded = crowded.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+    cell = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+    half = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
+    return small.unionByName(crowded.select(cell.alias("key"), "fp", "rep", half.alias("half")))
+
+
 def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """Of each row: the id, its fingerprint (16 hex digits) and the least id of its component."""
     prints = cut_lineage(fingerprint_table(df, id_column, text, shingle))
@@ -355,10 +382,9 @@ def _profiles(df: DataFrame, shingle: int) -> DataFrame:
 
 
 def _banded(profiles: DataFrame, bands: int, rows: int) -> DataFrame:
-    """A row for each of ``bands`` keys, each made of ``rows`` of the least hashes."""
+    """A row for each of ``bands`` keys, each made of ``rows`` of the least hashes; no two keys share one."""
     def work(batches):
-        draw = np.random.default_rng(rows)
-        chosen = [draw.choice(BINS, rows, replace=False) for _ in range(bands)]
+        chosen = np.random.default_rng(rows).permutation(BINS)[: bands * rows].reshape(bands, rows)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -403,7 +429,7 @@ def similar_components(docs: DataFrame, shingle: int = NEAR_SHINGLE, similarity:
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     profiles = cut_lineage(_profiles(docs, shingle))
     classes = cut_lineage(profiles.groupBy("s1", "s2").agg(F.min("id").alias("rep"), F.first("fp").alias("fp"), F.first("minima").alias("minima")))
-    keyed = _deal(_banded(classes, BANDS, BAND_ROWS), lambda crowded: _banded(classes.join(crowded, ["fp", "rep"]), DEEP_BANDS, DEEP_ROWS), bucket)
+    keyed = _gridded(_banded(classes, BANDS, BAND_ROWS), bucket)
     pairs = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     tried = cut_lineage(_links(keyed, radius, partitions, joining_links).select(*pairs).filter("a < b").distinct())
     met = tried.select(F.explode(F.array("a", "b")).alias("id")).distinct()
@@ -415,6 +441,8 @@ def similar_components(docs: DataFrame, shingle: int = NEAR_SHINGLE, similarity:
         for choose in (hub_links, apart_links):
             roots = components(links).withColumnRenamed("id", "rep")
             apart = keyed.join(roots, "rep", "left").withColumn("label", F.coalesce("root", "rep"))
+            if choose is hub_links:
+                apart = apart.filter("half = 0")
             if choose is apart_links:
                 apart = apart.join(classes.select("fp", "rep", "minima"), ["fp", "rep"])
             more = _links(apart, radius, partitions, choose).select(*pairs).filter("a < b").distinct().join(tried, ["a", "b"], "left_anti")

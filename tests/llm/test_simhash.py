@@ -1,5 +1,6 @@
 import random
 import re
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -110,6 +111,27 @@ def test_similar_components(spark, bucket):
     assert got == components(range(len(texts)), lambda a, b: similar(texts[a], texts[b]))
 
 
+def test_crowded_buckets_lose_no_pair(spark):
+    # Pairs of similarity 0.804 that agree in some ordinary band, and in none of 40 bands of six.
+    texts = []
+    for seed in (594, 1565, 2766, 3310, 3472, 4067):
+        draw = random.Random(seed)
+        base = [f"w{draw.randint(0, 5000)}" for _ in range(50)]
+        texts += [" ".join(base), " ".join([*base[:25], "x", *base[26:]])]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    for bucket in (2048, 1):
+        assert set(map(tuple, S.similar_components(df, bucket=bucket).collect())) == {(i + 1, i) for i in range(0, len(texts), 2)}
+
+
+def test_two_rows_of_a_crowded_key_meet_once(spark):
+    keyed = spark.createDataFrame([(key, i, i) for key, n in ((1, 40), (2, 5), (3, 1)) for i in range(n)], "key long, fp long, rep long")
+    cells = {}
+    for r in S._gridded(keyed, 8).collect():
+        cells.setdefault(r.key, []).append((r.rep, r.half))
+    met = [frozenset((a, b)) for c in cells.values() for (a, x), (b, y) in combinations(c, 2) if not x or x != y]
+    assert sorted(map(sorted, met)) == sorted(map(list, [*combinations(range(40), 2), *combinations(range(5), 2)]))
+
+
 def test_radius_is_bounded(spark):
     with pytest.raises(ValueError):
         S.fingerprint_links(spark.createDataFrame([], "fp long, rep long"), 3)
