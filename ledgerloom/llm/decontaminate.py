@@ -4,7 +4,9 @@ Texts are lower-cased and ASCII punctuation reads as space. A document window as
 an item is fingerprinted over its words; the index has the fingerprint's four 16-bit
 blocks with all values up to ``RADIUS // 4`` bits away, so it finds every item of that
 length within ``RADIUS`` bits. Candidates are verified by the weighted Jaccard
-similarity of their five-word shingles (a shingle weighs as often as it occurs).
+similarity of their five-word shingles (a shingle weighs as often as it occurs). A text
+with fewer words than an item is one window, verified against each longer item it shares a
+shingle with.
 
 Windows that share no shingle with an item of their length have similarity zero, so only
 the others are fingerprinted; this drops no result. Items go in blocks of
@@ -106,7 +108,7 @@ class Items:
         hashes, self.ids = words.hashes(), [i for i, _ in rows]
         self.bags: list[Counter] = []
         by_length = defaultdict(list)
-        lengths_of = defaultdict(set)
+        holders = defaultdict(lambda: defaultdict(list))
         for place, (a, b) in enumerate(zip(words.first[:-1].tolist(), words.first[1:].tolist())):
             k = min(SHINGLE, b - a)
             bag = Counter(chain(hashes[a:b], k).tolist()) if b > a else Counter()
@@ -114,23 +116,24 @@ class Items:
             if bag:
                 by_length[b - a].append(place)
                 for shingle in bag:
-                    lengths_of[k, shingle].add(b - a)
+                    holders[k, shingle][b - a].append(place)
         self.groups = {}
         for length, places in by_length.items():
             prints = np.concatenate([window_prints(hashes[words.first[p] : words.first[p + 1]], np.zeros(1, np.int64), length) for p in places])
             self.groups[length] = (HammingIndex(prints, radius), places)
         self.known = {}
-        for k in sorted({k for k, _ in lengths_of}):
-            shingles = np.sort(np.array([s for kk, s in lengths_of if kk == k], np.uint64))
+        for k in sorted({k for k, _ in holders}):
+            shingles = np.sort(np.array([s for kk, s in holders if kk == k], np.uint64))
             table = np.zeros(1 << _FILTER_BITS, bool)
             table[shingles & np.uint64((1 << _FILTER_BITS) - 1)] = True
-            self.known[k] = (table, shingles, [sorted(lengths_of[k, s]) for s in shingles.tolist()])
+            self.known[k] = (table, shingles, [dict(sorted(holders[k, s].items())) for s in shingles.tolist()])
 
     def matches(self, words: Words, similarity: float):
         """Best match of each (text, item): (text, item place, similarity, first word, words)."""
         hashes = words.hashes()
         starts = defaultdict(lambda: defaultdict(set))
-        for k, (table, shingles, lengths) in self.known.items():
+        longer = defaultdict(set)
+        for k, (table, shingles, held) in self.known.items():
             runs = chain(hashes, k)
             maybe = np.flatnonzero(table[runs & np.uint64((1 << _FILTER_BITS) - 1)])
             slot = np.minimum(np.searchsorted(shingles, runs[maybe]), len(shingles) - 1)
@@ -138,10 +141,18 @@ class Items:
             for at, s in zip(maybe[hit].tolist(), slot[hit].tolist()):
                 text = int(words.text[at])
                 a, b = int(words.first[text]), int(words.first[text + 1])
-                for n in lengths[s]:
-                    starts[text][n].update(range(max(a, at + k - n), min(at, b - n) + 1))
-        for text, by_length in starts.items():
-            best = {}
+                for n, places in held[s].items():
+                    if n <= b - a:
+                        starts[text][n].update(range(max(a, at + k - n), min(at, b - n) + 1))
+                    elif (b - a - k + 1) / (n - k + 1) >= similarity:
+                        longer[text].update((k, place) for place in places)
+        for text in sorted(starts.keys() | longer.keys()):
+            by_length, best = starts.get(text, {}), {}
+            a, b = int(words.first[text]), int(words.first[text + 1])
+            for k, place in longer.get(text, ()):
+                score = weighted_similarity(Counter(chain(hashes[a:b], k).tolist()), self.bags[place])
+                if score >= similarity:
+                    best[place] = (score, 0, b - a)
             for n, places in by_length.items():
                 if not places:
                     continue

@@ -61,6 +61,40 @@ def test_against_brute_force(spark):
     assert D.matches(df.limit(0), bench).count() == 0 and D.drop_contaminated(df, bench.limit(0)).count() == df.count()
 
 
+def brute_short(docs, items, least=0.8):
+    """``brute``, and a text shorter than an item as its one window."""
+    out = brute(docs, items, least)
+    for i, text in docs:
+        w = normal(text)
+        for item, t in items:
+            x = normal(t)
+            k = min(5, len(x))
+            if len(w) < len(x):
+                bags = [Counter(tuple(v[j : j + k]) for j in range(len(v) - k + 1)) for v in (w, x)]
+                if (score := D.weighted_similarity(*bags)) >= least:
+                    out.append((str(i), item, round(score, 9)))
+    return sorted(out, key=str)
+
+
+def test_texts_shorter_than_an_item(spark):
+    draw = random.Random(7)
+    items = [(i, " ".join(f"w{draw.randint(0, 400)}" for _ in range(draw.randint(15, 60)))) for i in range(20)]
+    items += [(30, items[0][1] + " and more words"), (31, "a b c d " * 6), (32, "v w x y"), (33, "")]
+    docs = [(90, items[0][1]), (91, "a b c d " * 5), (92, "v w x"), (93, ""), (94, None), (95, "b c d a")]
+    for i in range(100):
+        w = items[i % 20][1].split()
+        for _ in range(draw.randint(1, 9)):
+            w.pop(draw.choice([0, -1, -1, draw.randrange(len(w))]))
+        docs.append((i % 80, " ".join(w)))
+    docs.append((96, " ".join(max((t for _, t in items), key=len).split()[:-2])))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(((str(r.doc_id), r.item_id, round(r.similarity, 9)) for r in D.matches(df, bench).collect()), key=str)
+    want = brute_short(docs, items)
+    assert got == want and len(want) > len(brute(docs, items)) + 30
+    assert D.drop_contaminated(df, bench).count() == sum(not brute_short([d], items) for d in docs)
+
+
 def test_index_finds_all_within_radius():
     draw = np.random.default_rng(1)
     items = draw.integers(0, 2**63, 50, dtype=np.uint64)
