@@ -219,11 +219,11 @@ def kmeans_search(df: DataFrame, vector: str, ks=range(3, 11), restarts: int = 2
     return best[1], table
 
 
-def latent_table(df: DataFrame, vector: str, key: str, label: str, k: int = 8, clusters: int = 8, restarts: int = 20, seed: int = 42):
+def latent_table(df: DataFrame, vector: str, key: str, label: str, k: int = 8, clusters: int = 8, restarts: int = 20, iterations: int = 500, seed: int = 42):
     """(frame of key, z, label, cluster; explained variance): low-dimensional form, then clusters."""
     latent, variance = pca_projection(df, vector, k, "z")
     fixed = cut_lineage(spread(latent.select(key, "z", label)))
-    runs = [KMeans(featuresCol="z", predictionCol="cluster", k=clusters, seed=seed + i).fit(fixed) for i in range(restarts)]
+    runs = [KMeans(featuresCol="z", predictionCol="cluster", k=clusters, maxIter=iterations, seed=seed + i).fit(fixed) for i in range(restarts)]
     model = min(runs, key=lambda m: m.summary.trainingCost)
     return model.transform(fixed), variance
 

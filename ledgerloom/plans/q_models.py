@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from ledgerloom.models import evaluate, serve, train
@@ -209,6 +208,20 @@ def cluster_internal(spark, d):
 
 # ---- training ---------------------------------------------------------------
 
+# Settings of the reference: forests as trained and as tuned for the refit, boosting, network, search spaces.
+FOREST = {"trees": 1200, "depth": 24}
+TUNED_FOREST = {"trees": 1800, "depth": 30}
+BOOSTING = {"iterations": 2500, "depth": 7, "step": 0.03}
+NETWORK = {"hidden": (256, 128, 64), "iterations": 200}
+FOLDS = 5
+# The reference searches depths up to 32; a forest has 30 at most.
+FOREST_SPACE = {"trees": list(range(400, 2001, 200)), "depth": list(range(8, 31)), "leaf": list(range(1, 9)), "features": ["sqrt", "log2", "0.3", "0.4", "0.5"]}
+TRIALS = 40
+# (inverse penalty, share of L1, whether classes are balanced)
+LOGISTIC_GRID = [(1.0, 0.0, False), *[(c, 0.0, True) for c in (1.0, 0.3, 0.1, 3.0, 10.0)], *[(c, 1.0, True) for c in (0.3, 0.1, 0.03, 1.0)]]
+LOGISTIC_ITERATIONS = 8000
+KMEANS = {"ks": range(3, 11), "restarts": 20, "iterations": 500}
+
 ORDER_COLUMNS = train.Columns("o_orderstatus", ("c_mktsegment", "o_orderpriority"), ("o_totalprice", "c_acctbal", "year"), ("o_orderkey",))
 
 
@@ -229,7 +242,7 @@ def _evaluate(spark, d, classifier, **options):
 
 @query("train_rf")
 def train_rf(spark, d):
-    return _evaluate(spark, d, train.random_forest(trees=20, depth=8))
+    return _evaluate(spark, d, train.random_forest(**FOREST))
 
 
 @query("train_lr")
@@ -240,31 +253,31 @@ def train_lr(spark, d):
 
 @query("train_gbt_ovr")
 def train_gbt_ovr(spark, d):
-    return _evaluate(spark, d, train.boosted_trees(iterations=5, depth=4), ordinal=True, scale=False)
+    return _evaluate(spark, d, train.boosted_trees(**BOOSTING), ordinal=True, scale=False)
 
 
 @query("train_mlp")
 def train_mlp(spark, d):
-    return _evaluate(spark, d, lambda inputs, classes: train.perceptron(inputs, classes, hidden=(16,), iterations=40))
+    return _evaluate(spark, d, lambda inputs, classes: train.perceptron(inputs, classes, **NETWORK))
 
 
 @query("refit_evaluate")
 def refit_evaluate(spark, d):
     learn, held_out = split.train_test(_order_features(spark, d), ["o_orderkey"], 0.2, by=["o_orderstatus"])
-    return train.refit(learn, held_out, ORDER_COLUMNS, train.random_forest(trees=10, depth=6))[1]
+    return train.refit(learn, held_out, ORDER_COLUMNS, train.random_forest(**TUNED_FOREST))[1]
 
 
 @query("predict_confidence")
 def predict_confidence(spark, d):
     learn, held_out = split.train_test(_order_features(spark, d), ["o_orderkey"], 0.2, by=["o_orderstatus"])
-    fitted = train.fit(learn, ORDER_COLUMNS, train.random_forest(trees=10, depth=6))
+    fitted = train.fit(learn, ORDER_COLUMNS, train.random_forest(**FOREST))
     return evaluate.prediction_table(fitted.score(held_out), "o_orderstatus", "predicted", "probability", keep=["o_orderkey"])
 
 
 @query("rank_candidates")
 def rank_candidates(spark, d):
     data = _order_features(spark, d)
-    fitted = train.fit(data, ORDER_COLUMNS, train.random_forest(trees=10, depth=6))
+    fitted = train.fit(data, ORDER_COLUMNS, train.random_forest(**FOREST))
     return serve.top_candidates(
         fitted.score(data), ["o_orderkey"], vector_to_array("probability"), fitted.labels, k=2, min_probability=0.05, catch_all="O", exclude_catch_all=True
     )
@@ -272,29 +285,35 @@ def rank_candidates(spark, d):
 
 @query("cross_validation")
 def cross_validation(spark, d):
-    folds = train.cross_validate(_order_features(spark, d), ORDER_COLUMNS, train.random_forest(trees=10, depth=6), k=3)
+    folds = train.cross_validate(_order_features(spark, d), ORDER_COLUMNS, train.random_forest(**FOREST), k=FOLDS)
     return evaluate.fold_summary(folds, train.METRICS)
 
 
 @query("grid_search")
 def grid_search(spark, d):
-    estimator = train.logistic(rows=1.0, iterations=20)
-    grid = ParamGridBuilder().addGrid(estimator.regParam, [0.001, 0.1]).addGrid(estimator.elasticNetParam, [0.0, 1.0]).build()
-    model = train.grid_search(_order_features(spark, d), ORDER_COLUMNS, estimator, grid, k=2)
+    data = _order_features(spark, d).withColumn("equal", F.lit(1.0))
+    rows = data.count() * (FOLDS - 1) / FOLDS
+    estimator = train.logistic(rows=rows, iterations=LOGISTIC_ITERATIONS)
+    grid = [
+        {estimator.regParam: 1.0 / (c * rows), estimator.elasticNetParam: l1, estimator.weightCol: "weight" if balanced else "equal"}
+        for c, l1, balanced in LOGISTIC_GRID
+    ]
+    model = train.grid_search(data, ORDER_COLUMNS, estimator, grid, k=FOLDS)
     return spark.createDataFrame(train.grid_log(model, grid), "trial int, params string, score double")
 
 
 @query("random_search")
 def random_search(spark, d):
-    configs = [{"depth": 5, "trees": 5}, *train.random_configs({"depth": [3, 6], "trees": [5, 10]}, 2)]
-    log = train.search(_order_features(spark, d), ORDER_COLUMNS, lambda c: train.random_forest(trees=c["trees"], depth=c["depth"]), configs, k=2)
+    build = lambda c: train.random_forest(c["trees"], c["depth"], c["features"], minInstancesPerNode=c["leaf"])
+    configs = [{**FOREST, "leaf": 1, "features": "0.35"}, *train.random_configs(FOREST_SPACE, TRIALS)]
+    log = train.search(_order_features(spark, d), ORDER_COLUMNS, build, configs, k=FOLDS)
     return evaluate.search_trace(log)
 
 
 @query("importance")
 def importance(spark, d):
     data = _order_features(spark, d)
-    fitted = train.fit(data, ORDER_COLUMNS, train.random_forest(trees=20, depth=8))
+    fitted = train.fit(data, ORDER_COLUMNS, train.random_forest(**FOREST))
     return train.importance_frame(spark, fitted, data).orderBy(F.desc("importance"), "feature").limit(25)
 
 
@@ -306,13 +325,13 @@ def pca_project(spark, d):
 
 @query("kmeans_select")
 def kmeans_select(spark, d):
-    _, scores = train.kmeans_search(_vectors(spark, d), "features", ks=range(3, 7), restarts=2, iterations=20)
+    _, scores = train.kmeans_search(_vectors(spark, d), "features", **KMEANS)
     return scores
 
 
 @query("latent_cluster")
 def latent_cluster(spark, d):
-    latent, _ = train.latent_table(_vectors(spark, d), "features", "id", "label", k=8, clusters=8, restarts=2)
+    latent, _ = train.latent_table(_vectors(spark, d), "features", "id", "label", k=8, clusters=8, restarts=KMEANS["restarts"], iterations=KMEANS["iterations"])
     return evaluate.external_scores(latent, "label", "cluster")
 
 

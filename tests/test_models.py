@@ -223,3 +223,55 @@ def test_metric_artefacts_of_three_layouts(spark, tmp_path):
     assert got[("nested", "test", "accuracy")] == 0.9 and got[("nested", "test", "weighted_f1")] == 0.6
     assert got[("flat", "test", "macro_f1")] == 0.4 and got[("flat", "cv", "macro_f1")] == 0.45 and got[("flat", "test", "weighted_f1")] == 0.0
     assert got[("held", "test", "accuracy")] == 0.3
+
+
+def test_queries_train_in_the_shape_of_the_reference(spark, monkeypatch):
+    import inspect
+
+    from ledgerloom.plans import q_models as Q
+
+    class Stop(Exception):
+        pass
+
+    seen = {}
+
+    def record(name):
+        real = inspect.signature(getattr(train, name))
+
+        def stub(*args, **options):
+            bound = real.bind(*args, **options)
+            bound.apply_defaults()
+            seen.update(bound.arguments)
+            raise Stop
+        return stub
+
+    def run(name):
+        seen.clear()
+        with pytest.raises(Stop):
+            getattr(Q, name)(spark, "")
+        return dict(seen)
+
+    for name in ("fit", "refit", "cross_validate", "search", "grid_search", "kmeans_search", "latent_table"):
+        monkeypatch.setattr(train, name, record(name))
+    monkeypatch.setattr(Q, "_order_features", lambda s, d: s.range(10))
+    monkeypatch.setattr(Q, "_vectors", lambda s, d: None)
+    monkeypatch.setattr(Q.split, "train_test", lambda *a, **b: (None, None))
+    forest = lambda c: (c.getNumTrees(), c.getMaxDepth())
+    for name in ("train_rf", "predict_confidence", "rank_candidates", "importance"):
+        assert forest(run(name)["classifier"]) == (1200, 24)
+    assert forest(run("refit_evaluate")["classifier"]) == (1800, 30)
+    boosted = run("train_gbt_ovr")["classifier"].getClassifier()
+    assert (boosted.getMaxIter(), boosted.getMaxDepth(), boosted.getStepSize()) == (2500, 7, 0.03)
+    network = run("train_mlp")["classifier"](9, 3)
+    assert (network.getLayers(), network.getMaxIter()) == ([9, 256, 128, 64, 3], 200)
+    folds = run("cross_validation")
+    assert folds["k"] == 5 and forest(folds["classifier"]) == (1200, 24)
+    grid = run("grid_search")
+    assert len(grid["grid"]) == 10 and grid["k"] == 5 and sorted({1 / (v * 8) for g in grid["grid"] for p, v in g.items() if p.name == "regParam"}) == pytest.approx([0.03, 0.1, 0.3, 1, 3, 10])
+    searched = run("random_search")
+    assert len(searched["configs"]) == 41 and searched["k"] == 5
+    assert all(forest(searched["build"](c)) == (c["trees"], c["depth"]) and 400 <= c["trees"] <= 2000 and 8 <= c["depth"] <= 30 for c in searched["configs"])
+    clusters = run("kmeans_select")
+    assert (list(clusters["ks"]), clusters["restarts"], clusters["iterations"]) == (list(range(3, 11)), 20, 500)
+    latent = run("latent_cluster")
+    assert (latent["restarts"], latent["iterations"]) == (20, 500)
