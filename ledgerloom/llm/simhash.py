@@ -360,7 +360,7 @@ def _minima(value: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def _profiles(df: DataFrame, shingle: int) -> DataFrame:
-    """Of each ``(id, text)`` with a word: the hash of its set of shingles (``s1``, ``s2``), its fingerprint, and its least hashes and size."""
+    """Of each ``(id, text)`` with a word: a hash of the text, that of its set of shingles (``s1``, ``s2``), its fingerprint, and its least hashes and size."""
     def work(batches):
         for batch in batches:
             for part in slices(batch, "text"):
@@ -375,10 +375,10 @@ def _profiles(df: DataFrame, shingle: int) -> DataFrame:
                 sums = [np.add.reduceat(mix(value ^ np.uint64(c)), head).view(np.int64) for c in (1, 2)]
                 minima = np.column_stack([_minima(value, np.append(head, len(value))), size.astype(np.uint32)])
                 yield pa.RecordBatch.from_arrays([
-                    part.column("id").take(pa.array(some)), *[pa.array(x) for x in (*sums, prints)], pa.array([m.tobytes() for m in minima], pa.binary()),
-                ], names=["id", "s1", "s2", "fp", "minima"])
+                    *[part.column(c).take(pa.array(some)) for c in ("id", "print")], *[pa.array(x) for x in (*sums, prints)], pa.array([m.tobytes() for m in minima], pa.binary()),
+                ], names=["id", "print", "s1", "s2", "fp", "minima"])
 
-    return df.mapInArrow(work, "id long, s1 long, s2 long, fp long, minima binary")
+    return df.withColumn("print", F.xxhash64("text")).mapInArrow(work, "id long, print long, s1 long, s2 long, fp long, minima binary")
 
 
 def _banded(profiles: DataFrame, bands: int, rows: int) -> DataFrame:
@@ -415,10 +415,10 @@ def _verified(links: DataFrame, texts: DataFrame, shingle: int, similarity: floa
     return sides.select("a", "b", "text_a", "text_b").mapInArrow(work, "a long, b long, near boolean")
 
 
-def similar_components(docs: DataFrame, shingle: int = NEAR_SHINGLE, similarity: float = SIMILARITY, radius: int = NEAR_RADIUS, bucket: int = BUCKET) -> DataFrame:
-    """``(id, root)`` of the ``(id, text)`` rows that are linked to a smaller id by sets of shingles of at least this similarity.
+def similar_groups(docs: DataFrame, shingle: int = NEAR_SHINGLE, similarity: float = SIMILARITY, radius: int = NEAR_RADIUS, bucket: int = BUCKET) -> DataFrame:
+    """``(id, print, group)`` of each ``(id, text)`` row with a word: its text's hash and the group of texts it is linked to by sets of shingles of at least this similarity.
 
-    Equal sets are one class. Classes meet in the buckets of their least hashes, where
+    Groups are of texts: rows that share an id may be in several. Equal sets are one class. Classes meet in the buckets of their least hashes, where
     fingerprints are compared bit-sliced; links within the radius are verified on the whole
     texts. First those that join the components of a bucket, about one for each text; where
     some failed, those with the most central text of each bucket, from which copies of one
@@ -428,16 +428,18 @@ def similar_components(docs: DataFrame, shingle: int = NEAR_SHINGLE, similarity:
         raise ValueError("the bands and bounds are made for a similarity of 0.8 or more")
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     profiles = cut_lineage(_profiles(docs, shingle))
-    classes = cut_lineage(profiles.groupBy("s1", "s2").agg(F.min("id").alias("rep"), F.first("fp").alias("fp"), F.first("minima").alias("minima")))
+    rep = F.xxhash64("s1", "s2").alias("rep")
+    classes = cut_lineage(profiles.groupBy("s1", "s2").agg(F.min(F.struct("id", "print")).alias("row"), F.first("fp").alias("fp"), F.first("minima").alias("minima")).select(rep, "row.*", "fp", "minima"))
     keyed = _gridded(_banded(classes, BANDS, BAND_ROWS), bucket)
     pairs = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
     tried = cut_lineage(_links(keyed, radius, partitions, joining_links).select(*pairs).filter("a < b").distinct())
-    met = tried.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = cut_lineage(docs.join(met, "id", "left_semi").select("id", "text").distinct())
+    met = tried.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    shown = classes.join(met, "rep").select("rep", "id", "print")
+    texts = cut_lineage(docs.withColumn("print", F.xxhash64("text")).join(shown, ["id", "print"]).select("rep", "text").distinct())
     judged = cut_lineage(_verified(tried, texts, shingle, similarity))
     links = judged.filter("near").select("a", "b")
     if not judged.filter(~F.col("near")).isEmpty():
-        keyed = cut_lineage(keyed.join(met.withColumnRenamed("id", "rep"), "rep", "left_semi"))
+        keyed = cut_lineage(keyed.join(met, "rep", "left_semi"))
         for choose in (hub_links, apart_links):
             roots = components(links).withColumnRenamed("id", "rep")
             apart = keyed.join(roots, "rep", "left").withColumn("label", F.coalesce("root", "rep"))
@@ -449,24 +451,35 @@ def similar_components(docs: DataFrame, shingle: int = NEAR_SHINGLE, similarity:
             judged = cut_lineage(_verified(more, texts, shingle, similarity))
             tried = tried.unionByName(judged.select("a", "b"))
             links = links.unionByName(judged.filter("near").select("a", "b"))
-    roots = components(links)
-    copies = profiles.join(classes.select("s1", "s2", "rep"), ["s1", "s2"]).join(roots, F.col("rep") == roots["id"], "left")
-    return copies.select(profiles["id"], F.coalesce("root", "rep").alias("root")).filter("id > root")
+    roots = components(links).toDF("rep", "root")
+    return profiles.select("id", "print", rep).join(roots, "rep", "left").select("id", "print", F.coalesce("root", "rep").alias("group"))
+
+
+def similar_components(docs: DataFrame, shingle: int = NEAR_SHINGLE, similarity: float = SIMILARITY, radius: int = NEAR_RADIUS, bucket: int = BUCKET) -> DataFrame:
+    """``(id, root)`` of the ``(id, text)`` rows whose group of similar texts has a smaller id, the least of which is the root."""
+    rows = cut_lineage(similar_groups(docs, shingle, similarity, radius, bucket))
+    return rows.join(rows.groupBy("group").agg(F.min("id").alias("root")), "group").select("id", "root").filter("id > root")
 
 
 def keep_one(df: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = NEAR_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``df`` with the least id of each group of similar texts, unchanged.
 
     Texts without words are no copies of anything and all stay, as do rows with NULL id.
-    Of rows that share an id one stays.
+    Rows that share an id are told apart by their texts: of a group's rows with the least id
+    the least hash of the text stays, of rows with equal id and text the least hash of the
+    other columns.
     """
     columns = df.columns
     plain = df.toDF(*[f"c{i}" for i in range(len(columns))])
     ids, body = f"c{columns.index(id_column)}", f"c{columns.index(text)}"
     wordless = F.coalesce(~F.col(body).rlike(r"[^\x20\x09-\x0D]"), F.lit(True))
     docs = plain.filter(F.col(ids).isNotNull()).select(F.col(ids).cast("long").alias("id"), F.col(body).alias("text"))
-    gone = similar_components(docs, shingle, similarity).select(F.col("id").alias("gone")).distinct()
-    kept = plain.join(gone, plain[ids] == gone["gone"], "left_anti")
-    single = kept.filter(F.col(ids).isNotNull() & ~wordless).dropDuplicates([ids])
+    rows = cut_lineage(similar_groups(docs, shingle, similarity))
+    first = rows.groupBy("group").agg(F.min(F.struct("id", "print")).alias("first"))
+    gone = rows.join(first, "group").filter(F.struct("id", "print") > F.col("first")).select(F.col("id").alias("gone"), F.col("print").alias("gone_print")).distinct()
+    kept = plain.join(gone, (plain[ids] == gone["gone"]) & (F.xxhash64(body) == gone["gone_print"]), "left_anti")
+    ordered = [c for c, t in plain.dtypes if "map<" not in t and "variant" not in t]
+    single = kept.filter(F.col(ids).isNotNull() & ~wordless).groupBy(F.col(ids).alias("id"), F.xxhash64(body).alias("print"))
+    single = single.agg(F.min_by(F.struct(*plain.columns), F.xxhash64(*ordered)).alias("row")).select("row.*")
     rest = plain.filter(F.col(ids).isNull() | wordless)
     return single.unionByName(rest).toDF(*columns)

@@ -132,6 +132,19 @@ def test_two_rows_of_a_crowded_key_meet_once(spark):
     assert sorted(map(sorted, met)) == sorted(map(list, [*combinations(range(40), 2), *combinations(range(5), 2)]))
 
 
+def test_keep_one_tells_texts_of_one_id_apart(spark):
+    draw = random.Random(6)
+    one, two, three = (" ".join(f"w{draw.randint(0, 5000)}" for _ in range(80)) for _ in range(3))
+    given = [(7, one, 1), (7, two, 2), (7, two, 2), (3, one + " end", 3), (9, three, 4), (9, three.upper(), 5), (12, two, 6), (7, " ", 7)]
+    nines = []
+    for order in (given, given[::-1]):
+        df = spark.createDataFrame(order, "doc_id long, text string, n int").repartition(3)
+        got = sorted(map(tuple, S.keep_one(df).collect()), key=str)
+        assert [r for r in got if r[0] != 9] == sorted([(3, one + " end", 3), (7, two, 2), (7, " ", 7)], key=str)
+        nines.append([r for r in got if r[0] == 9])
+    assert len(nines[0]) == 1 and nines[0] == nines[1]
+
+
 def test_radius_is_bounded(spark):
     with pytest.raises(ValueError):
         S.fingerprint_links(spark.createDataFrame([], "fp long, rep long"), 3)
