@@ -11,11 +11,7 @@ A bucket over ``BUCKET`` fingerprints is dealt anew by every value one bit away:
 two bits means a common neighbour, and such a bucket cannot hold over 65. Links are
 joined by alternating large-star and small-star rounds over written tables.
 
-``keep_one`` groups texts by the similarity of their sets of five-word shingles (0.8).
-Such texts differ in more bits than blocks can promise, so buckets come from least hashes
-of the sets; the bit-sliced comparison drops most pairs in them, and the shingles of the
-whole texts decide. A bucket over ``BUCKET`` texts keeps its key and is dealt over a grid of
-cells, in which every two of its texts meet once, so its size does not change what is found.
+``keep_one`` keeps one row of each component, by the same fingerprints and links.
 
 Defined results: NULL and empty texts have fingerprint zero and link to each other; a
 row with NULL id has a fingerprint, NULL as component, and links nothing; repeated rows
@@ -32,19 +28,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.words import Words, chain, mix, slices
+from ledgerloom.llm.words import Words, slices
 from ledgerloom.session import cut_lineage
 
 SHINGLE = 3
 RADIUS = 2
 BLOCKS = 4
 BUCKET = 2048
-# Similar texts: sets of five-word shingles; two with this similarity differ in about ten bits of the fingerprint.
-NEAR_SHINGLE, SIMILARITY, NEAR_RADIUS = 5, 0.8, 22
-# The bands share no least hash: a pair of long texts at the similarity misses all with a chance of (1 - 0.8^3)^14, 1 in 23,000.
-BINS, BANDS, BAND_ROWS = 64, 14, 3
-# Of 64 least hashes 51 agree on average at the similarity; fewer than 38 do with a chance of about 1 in 20,000.
-AGREE = 38
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -158,79 +148,27 @@ def forest(n: int, pairs) -> np.ndarray:
     return label
 
 
-def root_links(key, value, rep, label, half, minima, radius):
-    """A star for each component of a bucket."""
-    root = forest(len(value), close_pairs(value, key, radius))
-    linked = np.flatnonzero(root != np.arange(len(root)))
-    yield rep[linked], rep[root[linked]]
-
-
-def joining_links(key, value, rep, label, half, minima, radius):
-    """The pairs within the radius that join components of a bucket, turn by turn.
-
-    In a cell of two halves the pairs of one half join silently: another cell gives their links.
-    """
-    root = np.arange(len(value))
-    for a, b in close_pairs(value, key, radius):
-        own = (half[a] > 0) & (half[a] == half[b])
-        if own.any():
-            _settle(root, a[own], b[own])
-        apart = ~own & (root[a] != root[b])
-        if apart.any():
-            yield rep[a[apart]], rep[b[apart]]
-            _settle(root, a[apart], b[apart])
-
-
-def hub_links(key, value, rep, label, half, minima, radius):
-    """Of each bucket: the row nearest to the majority of all bits, with every row of another label within the radius."""
-    head = np.flatnonzero(np.diff(key, prepend=key[0] - 1))
-    size = np.diff(np.append(head, len(key)))
-    bits = np.unpackbits(value.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    ones = np.add.reduceat(bits, head, axis=0, dtype=np.int64)
-    common = np.packbits((2 * ones > size[:, None]).astype(np.uint8), axis=1, bitorder="little").reshape(-1).view(np.uint64)
-    bucket = np.repeat(np.arange(len(head)), size)
-    hub = np.lexsort([rep, np.bitwise_count(value ^ common[bucket]), bucket])[head][bucket]
-    found = (label != label[hub]) & (np.bitwise_count(value ^ value[hub]) <= radius)
-    yield rep[found], rep[hub[found]]
-
-
-def apart_links(key, value, rep, label, half, minima, radius):
-    """All pairs within the radius whose labels differ and of whose least hashes ``AGREE`` or more agree; in a cell of two halves, across them."""
-    for a, b in close_pairs(value, key, radius):
-        apart = (label[a] != label[b]) & ((half[a] == 0) | (half[a] != half[b]))
-        a, b = a[apart], b[apart]
-        if len(a):
-            # The last number is the size of the set: sizes further apart rule the similarity out.
-            least, most = np.minimum(minima[a, BINS], minima[b, BINS]), np.maximum(minima[a, BINS], minima[b, BINS])
-            alike = ((minima[a, :BINS] == minima[b, :BINS]).sum(axis=1) >= AGREE) & (least >= SIMILARITY * most)
-            yield rep[a[alike]], rep[b[alike]]
-
-
-def _links(keyed: DataFrame, radius: int, partitions: int, choose=root_links) -> DataFrame:
-    """Links ``(a, b)`` between the ids of fingerprints that share a key and lie within the radius, as ``choose`` gives them."""
-    def chosen(key, value, rep, label, half, minima=None):
-        if minima is not None:
-            minima = np.frombuffer(b"".join(minima), np.uint32).reshape(-1, BINS + 1)
-        for a, b in choose(key, value.view(np.uint64), rep, label, half, minima, radius):
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+def _links(keyed: DataFrame, radius: int, partitions: int) -> DataFrame:
+    """Links ``(a, b)`` between the ids of fingerprints that share a key and lie within the radius: a star for each component of a bucket."""
+    def stars(key, value, rep):
+        root = forest(len(value), close_pairs(value.view(np.uint64), key, radius))
+        linked = np.flatnonzero(root != np.arange(len(root)))
+        if len(linked):
+            yield pa.RecordBatch.from_arrays([pa.array(rep[linked]), pa.array(rep[root[linked]])], names=["a", "b"])
 
     def work(batches):
-        held = [np.zeros(0, np.int64)] * 5 + [np.zeros(0, object)] * sketched
+        held = [np.zeros(0, np.int64)] * 3
         for batch in batches:
-            held = [np.concatenate([h, batch.column(i).to_numpy(zero_copy_only=False)]) for i, h in enumerate(held)]
+            held = [np.concatenate([h, batch.column(i).to_numpy()]) for i, h in enumerate(held)]
             # The last bucket may go on in the next batch.
             done = int(np.searchsorted(held[0], held[0][-1])) if len(held[0]) else 0
             if done >= 50_000:
-                yield from chosen(*[h[:done] for h in held])
+                yield from stars(*[h[:done] for h in held])
                 held = [h[done:] for h in held]
         if len(held[0]):
-            yield from chosen(*held)
+            yield from stars(*held)
 
-    label = F.col("label") if "label" in keyed.columns else F.col("rep").alias("label")
-    half = F.col("half") if "half" in keyed.columns else F.lit(0).alias("half")
-    sketched = "minima" in keyed.columns
-    dealt = keyed.select("key", "fp", "rep", label, half, *["minima"] * sketched).repartition(partitions, "key").sortWithinPartitions("key", "half", "rep")
+    dealt = keyed.select("key", "fp", "rep").repartition(partitions, "key").sortWithinPartitions("key", "rep")
     return dealt.mapInArrow(work, "a long, b long")
 
 
@@ -256,14 +194,22 @@ def components(links: DataFrame) -> DataFrame:
         before = now
 
 
-def fingerprint_table(df: DataFrame, id_column: str, text: str, shingle: int = SHINGLE) -> DataFrame:
-    """``(id, fp)`` of every row."""
+def _printed(texts: DataFrame, shingle: int) -> DataFrame:
+    """``texts`` with the fingerprint ``fp`` in place of the column ``text``."""
+    keep = [c for c in texts.columns if c != "text"]
+
     def work(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(fingerprints(part.column("text"), shingle).view(np.int64))], names=["id", "fp"])
+                found = pa.array(fingerprints(part.column("text"), shingle).view(np.int64))
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in keep], found], names=[*keep, "fp"])
 
-    return df.select(df[f"`{id_column}`"].cast("long").alias("id"), df[f"`{text}`"].alias("text")).mapInArrow(work, "id long, fp long")
+    return texts.mapInArrow(work, ", ".join([*[f"{c} long" for c in keep], "fp long"]))
+
+
+def fingerprint_table(df: DataFrame, id_column: str, text: str, shingle: int = SHINGLE) -> DataFrame:
+    """``(id, fp)`` of every row."""
+    return _printed(df.select(df[f"`{id_column}`"].cast("long").alias("id"), df[f"`{text}`"].alias("text")), shingle)
 
 
 def fingerprint_links(distinct: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> DataFrame:
@@ -288,25 +234,6 @@ def _deal(keyed: DataFrame, anew, bucket: int) -> DataFrame:
     return small.unionByName(anew(crowded))
 
 
-def _gridded(keyed: DataFrame, bucket: int) -> DataFrame:
-    """The rows of keys with two rows or more, with ``half``; a key with over ``bucket`` rows is dealt over a grid of cells.
-
-    Its rows go to groups of about half a bucket by hash, and every two groups share a cell, of
-    which they are the halves 1 and 2; a group alone, like a small bucket, has half 0. Rows of two
-    groups meet in the cell of both, rows of one group in its own.
-    """
-    sizes = cut_lineage(keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
-    small = keyed.join(sizes.filter(F.col("n") <= bucket), "key").select("key", "fp", "rep", F.lit(0).alias("half"))
-    if sizes.filter(F.col("n") > bucket).isEmpty():
-        return small
-    groups = sizes.filter(F.col("n") > bucket).select("key", F.ceil(F.col("n") / max(1, bucket // 2)).cast("int").alias("groups"))
-    crowded = keyed.join(groups, "key").withColumn("own", F.pmod(F.xxhash64("rep", "key"), F.col("groups")).cast("int"))
-    crowded = crowded.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
-    cell = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
-    half = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
-    return small.unionByName(crowded.select(cell.alias("key"), "fp", "rep", half.alias("half")))
-
-
 def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """Of each row: the id, its fingerprint (16 hex digits) and the least id of its component."""
     prints = cut_lineage(fingerprint_table(df, id_column, text, shingle))
@@ -319,167 +246,25 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text"
         F.when(F.col("id").isNotNull(), F.col("component")).alias("component_id"))
 
 
-def _shingles(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of all texts, text by text, and each text's first (one more at the end)."""
-    words = Words(texts)
-    words.data = _LOWER[words.data]
-    hashes, count = words.hashes(), np.diff(words.first)
-    runs = chain(hashes, k)
-    at = np.flatnonzero(words.text[: len(runs)] == words.text[k - 1 :]) if len(runs) else np.zeros(0, np.int64)
-    text, value = words.text[at], runs[at]
-    short = np.flatnonzero((count > 0) & (count < k))
-    if len(short):
-        whole = np.concatenate([chain(hashes[words.first[t] : words.first[t + 1]], int(count[t])) for t in short.tolist()])
-        text, value = np.concatenate([text, short]), np.concatenate([value, whole])
-    order = np.lexsort([value, text])
-    text, value = text[order], value[order]
-    new = np.ones(len(text), bool)
-    new[1:] = (text[1:] != text[:-1]) | (value[1:] != value[:-1])
-    return value[new], np.searchsorted(text[new], np.arange(len(count) + 1))
-
-
-def _minima(value: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """``BINS`` least hashes (one permutation, empty bins borrow) of each text's set of shingles; no set may be empty."""
-    n = len(first) - 1
-    drawn = mix(value ^ np.uint64(0x5BF0_3635_ACC9_35D1))
-    cell = np.repeat(np.arange(n), np.diff(first)) * BINS + (drawn % np.uint64(BINS)).astype(np.int64)
-    least = (drawn >> np.uint64(32)).astype(np.uint32)
-    order = np.lexsort([least, cell])
-    at = np.flatnonzero(np.diff(cell[order], prepend=-1))
-    out, filled = np.zeros(n * BINS, np.uint32), np.zeros(n * BINS, bool)
-    out[cell[order][at]], filled[cell[order][at]] = least[order][at], True
-    full, empty, turn = filled.copy(), np.flatnonzero(~filled), 0
-    while len(empty):
-        turn += 1
-        source = (mix((empty % BINS).astype(np.uint64) + np.uint64(turn * BINS)) % np.uint64(BINS)).astype(np.int64)
-        source += empty // BINS * BINS
-        found = full[source]
-        out[empty[found]] = out[source[found]]
-        empty = empty[~found]
-    return out.reshape(n, BINS)
-
-
-def _profiles(df: DataFrame, shingle: int) -> DataFrame:
-    """Of each ``(id, text)`` with a word: a hash of the text, that of its set of shingles (``s1``, ``s2``), its fingerprint, and its least hashes and size."""
-    def work(batches):
-        for batch in batches:
-            for part in slices(batch, "text"):
-                value, first = _shingles(part.column("text"), shingle)
-                some = np.flatnonzero(np.diff(first))
-                if not len(some):
-                    continue
-                head, size = first[some], np.diff(first)[some]
-                bits = np.unpackbits(value.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-                ones = np.add.reduceat(bits, head, axis=0, dtype=np.int32)
-                prints = np.packbits((2 * ones > size[:, None]).astype(np.uint8), axis=1, bitorder="little").reshape(-1).view(np.int64)
-                sums = [np.add.reduceat(mix(value ^ np.uint64(c)), head).view(np.int64) for c in (1, 2)]
-                minima = np.column_stack([_minima(value, np.append(head, len(value))), size.astype(np.uint32)])
-                yield pa.RecordBatch.from_arrays([
-                    *[part.column(c).take(pa.array(some)) for c in ("id", "print")], *[pa.array(x) for x in (*sums, prints)], pa.array([m.tobytes() for m in minima], pa.binary()),
-                ], names=["id", "print", "s1", "s2", "fp", "minima"])
-
-    return df.withColumn("print", F.xxhash64("text")).mapInArrow(work, "id long, print long, s1 long, s2 long, fp long, minima binary")
-
-
-def _banded(profiles: DataFrame, bands: int, rows: int) -> DataFrame:
-    """A row for each of ``bands`` keys, each made of ``rows`` of the least hashes; no two keys share one."""
-    def work(batches):
-        chosen = np.random.default_rng(rows).permutation(BINS)[: bands * rows].reshape(bands, rows)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            minima = np.frombuffer(b"".join(batch.column("minima").to_pylist()), np.uint32).reshape(-1, BINS + 1).astype(np.uint64)
-            for band, columns in enumerate(chosen):
-                key = np.full(len(minima), band + (rows << 8), np.uint64)
-                for c in columns:
-                    key = mix(key * np.uint64(0x9E3779B97F4A7C15) + minima[:, c])
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column("fp"), batch.column("rep")], names=["key", "fp", "rep"])
-
-    return profiles.select("fp", "rep", "minima").mapInArrow(work, "key long, fp long, rep long")
-
+def keep_one(df: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """The row of ``df`` with the least id of each component of fingerprints, unchanged.
 
-def _verified(links: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """``links`` with ``near``: whether the shingle sets of both texts are similar enough."""
-    def work(batches):
-        for batch in batches:
-            for part in slices(batch, "text_a", 500_000):
-                (x, head_x), (y, head_y) = (_shingles(part.column(c), shingle) for c in ("text_a", "text_b"))
-                near = []
-                for i in range(part.num_rows):
-                    a, b = x[head_x[i] : head_x[i + 1]], y[head_y[i] : head_y[i + 1]]
-                    both = len(np.intersect1d(a, b, assume_unique=True))
-                    near.append(both > 0 and both >= similarity * (len(a) + len(b) - both))
-                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b"), pa.array(near, pa.bool_())], names=["a", "b", "near"])
-
-    sides = links.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
-    return sides.select("a", "b", "text_a", "text_b").mapInArrow(work, "a long, b long, near boolean")
-
-
-def similar_groups(docs: DataFrame, shingle: int = NEAR_SHINGLE, similarity: float = SIMILARITY, radius: int = NEAR_RADIUS, bucket: int = BUCKET) -> DataFrame:
-    """``(id, print, group)`` of each ``(id, text)`` row with a word: its text's hash and the group of texts it is linked to by sets of shingles of at least this similarity.
-
-    Groups are of texts: rows that share an id may be in several. Equal sets are one class. Classes meet in the buckets of their least hashes, where
-    fingerprints are compared bit-sliced; links within the radius are verified on the whole
-    texts. First those that join the components of a bucket, about one for each text; where
-    some failed, those with the most central text of each bucket, from which copies of one
-    text mostly come; then every link between texts that are still apart.
-    """
-    if similarity < SIMILARITY:
-        raise ValueError("the bands and bounds are made for a similarity of 0.8 or more")
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    profiles = cut_lineage(_profiles(docs, shingle))
-    rep = F.xxhash64("s1", "s2").alias("rep")
-    classes = cut_lineage(profiles.groupBy("s1", "s2").agg(F.min(F.struct("id", "print")).alias("row"), F.first("fp").alias("fp"), F.first("minima").alias("minima")).select(rep, "row.*", "fp", "minima"))
-    keyed = _gridded(_banded(classes, BANDS, BAND_ROWS), bucket)
-    pairs = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    tried = cut_lineage(_links(keyed, radius, partitions, joining_links).select(*pairs).filter("a < b").distinct())
-    met = tried.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    shown = classes.join(met, "rep").select("rep", "id", "print")
-    texts = cut_lineage(docs.withColumn("print", F.xxhash64("text")).join(shown, ["id", "print"]).select("rep", "text").distinct())
-    judged = cut_lineage(_verified(tried, texts, shingle, similarity))
-    links = judged.filter("near").select("a", "b")
-    if not judged.filter(~F.col("near")).isEmpty():
-        keyed = cut_lineage(keyed.join(met, "rep", "left_semi"))
-        for choose in (hub_links, apart_links):
-            roots = components(links).withColumnRenamed("id", "rep")
-            apart = keyed.join(roots, "rep", "left").withColumn("label", F.coalesce("root", "rep"))
-            if choose is hub_links:
-                apart = apart.filter("half = 0")
-            if choose is apart_links:
-                apart = apart.join(classes.select("fp", "rep", "minima"), ["fp", "rep"])
-            more = _links(apart, radius, partitions, choose).select(*pairs).filter("a < b").distinct().join(tried, ["a", "b"], "left_anti")
-            judged = cut_lineage(_verified(more, texts, shingle, similarity))
-            tried = tried.unionByName(judged.select("a", "b"))
-            links = links.unionByName(judged.filter("near").select("a", "b"))
-    roots = components(links).toDF("rep", "root")
-    return profiles.select("id", "print", rep).join(roots, "rep", "left").select("id", "print", F.coalesce("root", "rep").alias("group"))
-
-
-def similar_components(docs: DataFrame, shingle: int = NEAR_SHINGLE, similarity: float = SIMILARITY, radius: int = NEAR_RADIUS, bucket: int = BUCKET) -> DataFrame:
-    """``(id, root)`` of the ``(id, text)`` rows whose group of similar texts has a smaller id, the least of which is the root."""
-    rows = cut_lineage(similar_groups(docs, shingle, similarity, radius, bucket))
-    return rows.join(rows.groupBy("group").agg(F.min("id").alias("root")), "group").select("id", "root").filter("id > root")
-
-
-def keep_one(df: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = NEAR_SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``df`` with the least id of each group of similar texts, unchanged.
-
-    Texts without words are no copies of anything and all stay, as do rows with NULL id.
-    Rows that share an id are told apart by their texts: of a group's rows with the least id
-    the least hash of the text stays, of rows with equal id and text the least hash of the
-    other columns.
+    Texts without words share fingerprint zero, so one of them stays. Rows with NULL id all
+    stay. Rows that share an id are told apart by their texts: of a component's rows with the
+    least id the least hash of the text stays, of rows with equal id and text the least hash
+    of the other columns.
     """
     columns = df.columns
     plain = df.toDF(*[f"c{i}" for i in range(len(columns))])
-    ids, body = f"c{columns.index(id_column)}", f"c{columns.index(text)}"
-    wordless = F.coalesce(~F.col(body).rlike(r"[^\x20\x09-\x0D]"), F.lit(True))
-    docs = plain.filter(F.col(ids).isNotNull()).select(F.col(ids).cast("long").alias("id"), F.col(body).alias("text"))
-    rows = cut_lineage(similar_groups(docs, shingle, similarity))
-    first = rows.groupBy("group").agg(F.min(F.struct("id", "print")).alias("first"))
-    gone = rows.join(first, "group").filter(F.struct("id", "print") > F.col("first")).select(F.col("id").alias("gone"), F.col("print").alias("gone_print")).distinct()
-    kept = plain.join(gone, (plain[ids] == gone["gone"]) & (F.xxhash64(body) == gone["gone_print"]), "left_anti")
+    ids, body = F.col(f"c{columns.index(id_column)}"), F.col(f"c{columns.index(text)}")
+    texts = plain.filter(ids.isNotNull()).select(ids.cast("long").alias("id"), F.xxhash64(body).alias("print"), body.alias("text"))
+    classes = _printed(texts, shingle).groupBy("fp").agg(F.min(F.struct("id", "print")).alias("first"))
+    classes = cut_lineage(classes.select("fp", "first", F.col("fp").alias("rep")))
+    # One row a fingerprint from here on; roots name a component by its least fingerprint.
+    roots = components(fingerprint_links(classes, radius)).withColumnRenamed("id", "rep")
+    kept = classes.join(roots, "rep", "left").groupBy(F.coalesce("root", "rep").alias("component")).agg(F.min("first").alias("first"))
+    kept = kept.select(F.col("first.id").alias("kept_id"), F.col("first.print").alias("kept_print"))
     ordered = [c for c, t in plain.dtypes if "map<" not in t and "variant" not in t]
-    single = kept.filter(F.col(ids).isNotNull() & ~wordless).groupBy(F.col(ids).alias("id"), F.xxhash64(body).alias("print"))
-    single = single.agg(F.min_by(F.struct(*plain.columns), F.xxhash64(*ordered)).alias("row")).select("row.*")
-    rest = plain.filter(F.col(ids).isNull() | wordless)
-    return single.unionByName(rest).toDF(*columns)
+    rows = plain.join(kept, (ids.cast("long") == F.col("kept_id")) & (F.xxhash64(body) == F.col("kept_print")))
+    single = rows.groupBy("kept_id", "kept_print").agg(F.min_by(F.struct(*plain.columns), F.xxhash64(*ordered)).alias("row")).select("row.*")
+    return single.unionByName(plain.filter(ids.isNull())).toDF(*columns)

@@ -1,6 +1,5 @@
 import random
 import re
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -76,71 +75,25 @@ def test_near_duplicates(spark):
 
 
 def test_keep_one(spark):
-    df = spark.createDataFrame(rows(), "doc_id long, text string, component_id int")
+    given = rows()
+    df = spark.createDataFrame(given, "doc_id long, text string, component_id int")
     out = S.keep_one(df)
     assert out.columns == df.columns
-    ids = sorted(str(r.doc_id) for r in out.collect())
-    assert ids.count("5") + ids.count("3") + ids.count("9") <= 2 and ids.count("5") <= 1
-    assert {"None", "6", "7", "8"} <= set(ids) and sum(len(i) == 2 for i in ids) == 20
+    prints = {i: fingerprint(t) for i, t, _ in given if i is not None}
+    root = components(list(prints), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 2)
+    assert sorted(str(r.doc_id) for r in out.collect()) == sorted(["None", *[str(i) for i in set(root.values())]])
     assert S.keep_one(df.limit(0)).count() == 0 and S.near_duplicates(df.limit(0)).count() == 0
 
 
-def similar(a, b):
-    sets = []
-    for t in (a, b):
-        w = words(re.sub("[A-Z]", lambda m: m[0].lower(), t))
-        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))})
-    both = len(sets[0] & sets[1])
-    return both >= 0.8 * (len(sets[0]) + len(sets[1]) - both)
-
-
-@pytest.mark.parametrize("bucket", [2, 2048])
-def test_similar_components(spark, bucket):
-    draw = random.Random(3)
-    texts = []
-    for size in (4, 12, 40, 90, 300, 300):
-        base = [f"w{draw.randint(0, 400)}" for _ in range(size)]
-        for _ in range(14):
-            # Drifting copies: neighbours are similar, distant ones are not, some changes are too large.
-            for _ in range(draw.choice([0, 1, 1, size // 60, size // 25])):
-                base[draw.randrange(size)] = f"x{draw.randint(0, 10**6)}"
-            texts.append(" ".join(base))
-    draw.shuffle(texts)
-    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
-    got = {i: i for i in range(len(texts))} | dict(map(tuple, S.similar_components(df, bucket=bucket).collect()))
-    assert got == components(range(len(texts)), lambda a, b: similar(texts[a], texts[b]))
-
-
-def test_crowded_buckets_lose_no_pair(spark):
-    # Pairs of similarity 0.804 that agree in some ordinary band, and in none of 40 bands of six.
-    texts = []
-    for seed in (594, 1565, 2766, 3310, 3472, 4067):
-        draw = random.Random(seed)
-        base = [f"w{draw.randint(0, 5000)}" for _ in range(50)]
-        texts += [" ".join(base), " ".join([*base[:25], "x", *base[26:]])]
-    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
-    for bucket in (2048, 1):
-        assert set(map(tuple, S.similar_components(df, bucket=bucket).collect())) == {(i + 1, i) for i in range(0, len(texts), 2)}
-
-
-def test_two_rows_of_a_crowded_key_meet_once(spark):
-    keyed = spark.createDataFrame([(key, i, i) for key, n in ((1, 40), (2, 5), (3, 1)) for i in range(n)], "key long, fp long, rep long")
-    cells = {}
-    for r in S._gridded(keyed, 8).collect():
-        cells.setdefault(r.key, []).append((r.rep, r.half))
-    met = [frozenset((a, b)) for c in cells.values() for (a, x), (b, y) in combinations(c, 2) if not x or x != y]
-    assert sorted(map(sorted, met)) == sorted(map(list, [*combinations(range(40), 2), *combinations(range(5), 2)]))
-
-
 def test_keep_one_tells_texts_of_one_id_apart(spark):
     draw = random.Random(6)
     one, two, three = (" ".join(f"w{draw.randint(0, 5000)}" for _ in range(80)) for _ in range(3))
-    given = [(7, one, 1), (7, two, 2), (7, two, 2), (3, one + " end", 3), (9, three, 4), (9, three.upper(), 5), (12, two, 6), (7, " ", 7)]
+    given = [(7, one, 1), (7, two, 2), (7, two, 2), (3, one.upper(), 3), (9, three, 4), (9, three.upper(), 5), (12, two, 6), (7, " ", 7)]
     nines = []
     for order in (given, given[::-1]):
         df = spark.createDataFrame(order, "doc_id long, text string, n int").repartition(3)
         got = sorted(map(tuple, S.keep_one(df).collect()), key=str)
-        assert [r for r in got if r[0] != 9] == sorted([(3, one + " end", 3), (7, two, 2), (7, " ", 7)], key=str)
+        assert [r for r in got if r[0] != 9] == sorted([(3, one.upper(), 3), (7, two, 2), (7, " ", 7)], key=str)
         nines.append([r for r in got if r[0] == 9])
     assert len(nines[0]) == 1 and nines[0] == nines[1]
 
