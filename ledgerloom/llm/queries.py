@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chat, decontaminate, lm_scoring, packing, quality_classifier, quality_rules, simhash, substring_dedup, token_counts, toxicity
+from ledgerloom.llm import (
+    chat,
+    code_compression,
+    decontaminate,
+    embedding_dedup,
+    filter_audit,
+    lm_scoring,
+    packing,
+    quality_classifier,
+    quality_rules,
+    simhash,
+    substring_dedup,
+    token_counts,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -145,3 +159,71 @@ def op5_toxicity(spark, sf_dir):
     docs, held_out = table(spark, sf_dir, "documents"), remainder(4, 2)
     parameters = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", held_out)
     return scored(toxicity.score(docs, parameters), held_out, 0.3)
+
+
+def _lloyd_sql(rounds: int, entries: int) -> str:
+    """Lloyd rounds in SQL: ``parts`` to codebooks ``b<rounds>`` and the last assignment ``a<rounds>``."""
+    steps = [f"b0 AS MATERIALIZED (SELECT p, e, v, list_inner_product(v, v) AS vv FROM (SELECT p, v, row_number() OVER (PARTITION BY p ORDER BY vec_id, x) - 1 AS e FROM parts) WHERE e < {entries})"]
+    for r in range(rounds + 1):
+        # Distances are whole numbers, so the entry rides along as the last digits.
+        steps.append(f"""a{r} AS MATERIALIZED (SELECT k, p, any_value(s.v) AS v, min((s.vv - 2 * list_inner_product(s.v, b.v) + b.vv) * 1024 + e) AS m FROM parts s JOIN b{r} b USING (p) GROUP BY k, p)""")
+        if r < rounds:
+            steps.append(f"""m{r} AS (SELECT p, e, list(floor(t / n) ORDER BY i) AS v FROM (SELECT p, m % 1024 AS e, i, sum(v[i]) AS t, count(*) AS n
+    FROM (SELECT p, m, v, unnest(range(1, len(v) + 1)) AS i FROM a{r}) GROUP BY ALL) GROUP BY ALL),
+  b{r + 1} AS MATERIALIZED (SELECT p, e, w AS v, list_inner_product(w, w) AS vv FROM (SELECT b.p, b.e, coalesce(m.v, b.v) AS w FROM b{r} b LEFT JOIN m{r} m ON m.p = b.p AND m.e = b.e))""")
+    return ",\n  ".join(steps)
+
+
+@query("op11_code_compression", sql=f"""
+WITH kept AS (SELECT row_number() OVER () AS k, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+  parts AS MATERIALIZED (SELECT k, vec_id, x, p, v, list_inner_product(v, v) AS vv FROM (
+    SELECT k, vec_id, x, p, x[p * (len(x) // {code_compression.PARTS}) + 1:(p + 1) * (len(x) // {code_compression.PARTS})] AS v FROM kept, range({code_compression.PARTS}) t(p))),
+  {_lloyd_sql(code_compression.ROUNDS, code_compression.ENTRIES)},
+  coded AS (SELECT k, string_agg(lpad(to_hex((m % 1024)::INTEGER), 2, '0'), '' ORDER BY p) AS code, sum(floor(m / 1024))::BIGINT AS error FROM a{code_compression.ROUNDS} GROUP BY k),
+  digest AS (SELECT sha256(string_agg(array_to_string(list_transform(v, lambda x: x::BIGINT), ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{code_compression.ROUNDS})
+SELECT vec_id, lower(code) AS code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM coded JOIN kept USING (k), digest
+""")
+def op11_code_compression(spark, sf_dir):
+    return code_compression.compress(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_filter_audit", sql=rf"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, {WORDS} AS w FROM documents),
+  firsts AS (SELECT t, min(doc_id) AS least FROM d GROUP BY t),
+  marks AS (SELECT doc_id, max((quality = 1)::INTEGER) AS q, max((toxic = 1)::INTEGER) AS x FROM labels GROUP BY doc_id),
+  facts AS (SELECT part, coalesce(q, 0) AS good, coalesce(x, 0) AS toxic, [
+      CASE WHEN len(w) < 100 THEN 'A' END, CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' END,
+      CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' END,
+      CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' END, CASE WHEN doc_id > least THEN 'E' END] AS f
+    FROM d JOIN firsts USING (t) LEFT JOIN marks USING (doc_id)),
+  masks AS (SELECT part, array_to_string(f, '') AS mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM facts GROUP BY ALL),
+  l AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+  orders AS (SELECT a.c || b.c || c.c || d.c || e.c AS o FROM l a, l b, l c, l d, l e WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5),
+  steps AS (SELECT o, step, o[step] AS own FROM orders, (SELECT unnest(range(1, 6))) s(step)),
+  -- The step at which a set of failed filters is removed; 6: never.
+  ranks AS (SELECT part, mask, n, good, toxic, o, coalesce(list_min(list_transform(string_split(mask, ''), lambda c: CASE WHEN c <> '' THEN strpos(o, c) END)), 6) AS gone FROM masks, orders),
+  counts AS (SELECT part, s.o AS filter_order, step, own, sum(n) FILTER (gone > step) AS kept, sum(n) FILTER (gone = step) AS removed,
+      sum(n) FILTER (contains(mask, own) AND gone < step) AS redundant, sum(n) FILTER (mask = own) AS unique_fails,
+      sum(good) FILTER (gone = step) AS good_lost, sum(toxic) FILTER (gone = step) AS toxic_lost
+    FROM ranks JOIN steps s USING (o) GROUP BY ALL)
+SELECT part, filter_order, step::INTEGER AS step, {", ".join(f"coalesce({m}, 0)::BIGINT AS {m}" for m in filter_audit.MEASURES[:-1])},
+  coalesce(sum(removed) OVER (PARTITION BY part, own), 0)::BIGINT AS shapley
+FROM counts
+""")
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op13_embedding_near_dedup", sql="""
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+  links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND len(a.x) = len(b.x) AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.x, b.x) >= 0.93),
+  reach AS (SELECT a AS id, b AS other FROM links UNION SELECT id, b FROM reach JOIN links ON other = a),
+  degree AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a),
+  least AS (SELECT id AS vec_id, min(other) AS other FROM reach GROUP BY id)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(other, vec_id)) AS component_id, vec_id <= coalesce(other, vec_id) AS kept
+FROM embeddings LEFT JOIN degree USING (vec_id) LEFT JOIN least USING (vec_id)
+""")
+def op13_embedding_near_dedup(spark, sf_dir):
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
