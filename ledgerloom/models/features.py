@@ -6,7 +6,7 @@ import json
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, Transformer
-from pyspark.ml.feature import PCA, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import PCA, OneHotEncoder, OneHotEncoderModel, StandardScaler, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
@@ -284,6 +284,26 @@ def feature_names(df: DataFrame, column: str = "features") -> list[str]:
     return [name for _, name in slots]
 
 
+def slot_columns(stages, df: DataFrame, column: str = "features") -> list[str]:
+    """The input column that each slot of ``features`` came from, through scalers and encoders."""
+    assembler = next(s for s in reversed(stages) if isinstance(s, VectorAssembler) and s.getOutputCol() == column)
+    source = {}
+    for stage in stages:
+        inputs = stage.getInputCols() if stage.hasParam("inputCols") and stage.isSet("inputCols") else []
+        if isinstance(stage, (StringIndexerModel, OneHotEncoderModel)):
+            source |= {out: source.get(c, c) for c, out in zip(inputs, stage.getOutputCols())}
+        elif isinstance(stage, PopulationScalerModel):
+            source |= {f"{c}_scaled": source.get(c, c) for c in inputs}
+        elif hasattr(stage, "stat_columns"):
+            source |= {out: c for c, outs in stage.stat_columns().items() for out in outs}
+    found = []
+    for c in assembler.getInputCols():
+        attr = df.schema[c].metadata.get("ml_attr", {})
+        width = sum(len(group) for group in attr["attrs"].values()) if "attrs" in attr else attr.get("num_attrs", 1)
+        found += [source.get(c, c)] * width
+    return found
+
+
 def pca_projection(df: DataFrame, vector: str, k: int, into: str = "projected", standardize: bool = False):
     """(projected frame, explained variance per component); input is centred first."""
     stages = Pipeline(stages=[
@@ -296,5 +316,5 @@ def pca_projection(df: DataFrame, vector: str, k: int, into: str = "projected",
 
 __all__ = [
     "AssetFeatures", "CategoryCollapser", "PopulationScaler", "QuantileBinner", "array_to_vector", "feature_names",
-    "matrix_stages", "one_hot_stages", "ordinal_stage", "pca_projection", "vector_to_array",
+    "matrix_stages", "one_hot_stages", "ordinal_stage", "pca_projection", "slot_columns", "vector_to_array",
 ]

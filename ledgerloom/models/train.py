@@ -5,27 +5,23 @@ from __future__ import annotations
 import json
 import random
 from collections.abc import Callable
-from dataclasses import dataclass
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (
-    GBTClassifier,
-    LogisticRegression,
-    MultilayerPerceptronClassifier,
-    OneVsRest,
-    RandomForestClassifier,
-)
-from pyspark.ml.clustering import KMeans
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.models.evaluate import MacroF1, add_class_weights, internal_scores, metric_summary, silhouette_sq
-from ledgerloom.models.features import feature_names, matrix_stages, pca_projection
+from ledgerloom.models.evaluate import add_class_weights, metric_summary
+from ledgerloom.models.features import feature_names, matrix_stages, slot_columns
+from ledgerloom.models.target_stats import OrderedTargetEncoder
 from ledgerloom.operators.knn import knn_join, knn_vote
 from ledgerloom.operators.split import stratified_folds, train_test
 from ledgerloom.session import cut_lineage, spread
+from ledgerloom.sources.columns import prune_features
 
 METRICS = ["accuracy", "balanced_accuracy", "macro_f1", "weighted_f1"]
 
@@ -50,29 +46,24 @@ def _decoder(indexer) -> IndexToString:
     return IndexToString(inputCol="prediction", outputCol="predicted", labels=indexer.labels)
 
 
-def random_forest(trees: int = 100, depth: int = 10, features: str = "0.35", seed: int = 42, **extra):
-    """Depth is 30 at most, as in MLlib. Class balance comes from the weight column."""
-    if depth > 30:
-        raise ValueError(f"depth {depth} is over 30, the greatest a forest can have")
-    return RandomForestClassifier(
-        numTrees=trees, maxDepth=depth, featureSubsetStrategy=features, weightCol="weight", seed=seed, **extra
-    )
-
+@dataclass(frozen=True)
+class Shape:
+    """What a classifier may depend on: slots, classes and the sum of all weights of the rows it is fitted on."""
 
-def logistic(c: float = 1.0, rows: float = 1.0, l1: float = 0.0, iterations: int = 120):
-    """``c`` is the inverse penalty over a loss summed across ``rows`` of weight one."""
-    return LogisticRegression(
-        family="multinomial", regParam=1.0 / (c * rows), elasticNetParam=l1, maxIter=iterations, weightCol="weight", standardization=False
-    )
+    inputs: int
+    classes: int
+    weight: float
 
 
-def boosted_trees(iterations: int = 20, depth: int = 5, step: float = 0.1, seed: int = 42):
-    """One boosted binary model per class; MLlib boosting itself is binary."""
-    return OneVsRest(classifier=GBTClassifier(maxIter=iterations, maxDepth=depth, stepSize=step, seed=seed), weightCol="weight", parallelism=2)
+def logistic(c: float = 1.0, l1: float = 0.0, iterations: int = 120, weight: str = "weight"):
+    """``c`` is the inverse penalty over a loss summed across the weight of the rows fitted on."""
+    return lambda shape: LogisticRegression(
+        family="multinomial", regParam=1.0 / (c * shape.weight), elasticNetParam=l1, maxIter=iterations, weightCol=weight, standardization=False
+    )
 
 
-def perceptron(inputs: int, classes: int, hidden=(64, 32), iterations: int = 100, seed: int = 42):
-    return MultilayerPerceptronClassifier(layers=[inputs, *hidden, classes], maxIter=iterations, seed=seed, blockSize=128)
+def perceptron(hidden=(64, 32), iterations: int = 100, seed: int = 42):
+    return lambda shape: MultilayerPerceptronClassifier(layers=[shape.inputs, *hidden, shape.classes], maxIter=iterations, seed=seed, blockSize=128)
 
 
 def repeat_by_weight(df: DataFrame, weight: str = "weight", seed: int = 42) -> DataFrame:
@@ -98,39 +89,106 @@ class Fitted:
         return self.model.transform(df)
 
 
-def fit(
-    df: DataFrame, cols: Columns, classifier, scale: bool = True, ordinal: bool = False, balance: bool = True, cut: bool = True
-) -> Fitted:
-    """Preprocessing and classifier fitted together on one frame.
+def least_digests(df: DataFrame, key, rows: int | None, seed: int = 42) -> DataFrame:
+    """The ``rows`` rows with the least digest of their key, in one partition: a repeatable sample of bounded size (None: all)."""
+    if rows is None:
+        return df
+    return df.orderBy(F.xxhash64(F.lit(seed), *key), *key).limit(rows)
+
+
+@dataclass
+class Prepared:
+    """Preprocessing fitted on some rows, and those rows ready for classifiers."""
+
+    before: list
+    indexer: object
+    ready: DataFrame
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        return self.indexer.transform(PipelineModel(stages=self.before).transform(df))
 
-    ``classifier`` is an estimator or a function of (feature count, class count).
-    Everything learnt, categories and medians included, comes from ``df`` alone.
-    Fitting passes over the rows several times, so the needed columns are cut
-    from their lineage first unless the caller has done so.
+    def train(self, classifier):
+        """The classifier, or what it builds for the ``Shape`` of the rows, fitted on them."""
+        labels = len(self.indexer.labels)
+        if callable(classifier):
+            weight = self.ready.agg(F.sum("weight")).first()[0] or 1.0
+            classifier = classifier(Shape(len(feature_names(self.ready)), labels, float(weight)))
+        ready = repeat_by_weight(self.ready) if isinstance(classifier, MultilayerPerceptronClassifier) else self.ready
+        return classifier.fit(ready)
+
+
+def prepare(df: DataFrame, cols: Columns, scale: bool = True, ordinal: bool = False, balance: bool = True, targets: bool = False, seed: int = 42) -> Prepared:
+    """Preprocessing fitted on ``df``; everything learnt, categories and medians included, comes from it alone.
+
+    ``targets`` codes categories as ordered target statistics. The ready rows have ``features``,
+    ``label``, the class weight ``weight``, a weight of one ``equal`` and the ``digest`` of the key.
     """
-    df = df.select(*cols.categorical, *cols.numeric, cols.label)
-    df = cut_lineage(spread(df)) if cut else df
+    key = cols.key or (cols.label, *cols.categorical, *cols.numeric)
+    df = df.withColumns({"digest": F.xxhash64(F.lit(seed), *key), "equal": F.lit(1.0)})
     indexer = label_index(df, cols.label)
     weighted = add_class_weights(df, cols.label) if balance else df.withColumn("weight", F.lit(1.0))
-    before = Pipeline(stages=matrix_stages(cols.categorical, cols.numeric, cols.min_frequency, scale, ordinal)).fit(weighted)
-    ready = indexer.transform(before.transform(weighted))
-    if callable(classifier):
-        classifier = classifier(len(feature_names(ready)), len(indexer.labels))
-    if isinstance(classifier, MultilayerPerceptronClassifier):
-        ready = repeat_by_weight(ready)
-    trained = classifier.fit(ready)
-    return Fitted(PipelineModel(stages=[*before.stages, trained, _decoder(indexer)]), list(indexer.labels))
-
-
-def cross_validate(df: DataFrame, cols: Columns, classifier, k: int = 5, seed: int = 42, **options) -> DataFrame:
-    """``fold`` and the four metrics, preprocessing fitted anew in every fold."""
-    folded = cut_lineage(spread(stratified_folds(df, cols.key, cols.label, k, seed)))
-    rows = []
-    for fold in range(k):
-        fitted = fit(folded.filter(F.col("fold") != fold), cols, classifier, cut=False, **options)
-        scores = metric_summary(fitted.score(folded.filter(F.col("fold") == fold)), cols.label, "predicted").first()
-        rows.append((fold + 1, *[float(scores[m]) for m in METRICS]))
-    return df.sparkSession.createDataFrame(rows, "fold int, " + ", ".join(f"{m} double" for m in METRICS))
+    if targets and cols.categorical:
+        coded = indexer.transform(weighted)
+        encoder = OrderedTargetEncoder(inputCols=list(cols.categorical)).fit(coded)
+        coded = cut_lineage(encoder.encode_training(coded))
+        rest = Pipeline(stages=matrix_stages((), (*encoder.output_columns(), *cols.numeric), scale=scale)).fit(coded)
+        before, ready = [encoder, *rest.stages], rest.transform(coded)
+    else:
+        fitted = Pipeline(stages=matrix_stages(cols.categorical, cols.numeric, cols.min_frequency, scale, ordinal)).fit(weighted)
+        before, ready = list(fitted.stages), indexer.transform(fitted.transform(weighted))
+    return Prepared(before, indexer, ready.select("features", "label", "weight", "equal", "digest"))
+
+
+def fit(df: DataFrame, cols: Columns, classifier, cut: bool = True, rows: int | None = None, **options) -> Fitted:
+    """Preprocessing and classifier fitted together on one frame.
+
+    ``classifier`` has a ``fit``, or is a function from a ``Shape`` to one that has; ``options`` are
+    those of ``prepare``. With ``rows`` the fit sees that many rows at most, those of least digest of the key.
+    Fitting passes over the rows several times, so the needed columns are cut from their lineage
+    first unless the caller has done so.
+    """
+    df = df.select(*dict.fromkeys([*cols.key, *cols.categorical, *cols.numeric, cols.label]))
+    if rows is not None:
+        df = least_digests(df, cols.key, rows)
+    if cut:
+        df = cut_lineage(spread(df) if rows is None else df)
+    prepared = prepare(df, cols, **options)
+    if rows is not None:
+        prepared.ready = cut_lineage(prepared.ready.coalesce(1))
+    trained = prepared.train(classifier)
+    return Fitted(PipelineModel(stages=[*prepared.before, trained, _decoder(prepared.indexer)]), list(prepared.indexer.labels))
+
+
+def folded(df: DataFrame, cols: Columns, k: int, seed: int = 42, rows: int | None = None, **options) -> list[tuple[Prepared, DataFrame]]:
+    """Of each fold: preprocessing fitted once on the other folds, and the fold's own rows ready to score.
+
+    ``rows`` bounds the rows of all folds together.
+    """
+    df = df.select(*dict.fromkeys([*cols.key, *cols.categorical, *cols.numeric, cols.label]))
+    cut = stratified_folds(least_digests(df, cols.key, rows, seed), cols.key, cols.label, k, seed)
+    cut = cut_lineage(spread(cut) if rows is None else cut.coalesce(1))
+
+    def prepared(fold: int):
+        found = prepare(cut.filter(F.col("fold") != fold), cols, seed=seed, **options)
+        # Each classifier of a search reads these again.
+        found.ready = cut_lineage(found.ready if rows is None else found.ready.coalesce(1))
+        return found, cut_lineage(found.apply(cut.filter(F.col("fold") == fold)).select("features", "label"))
+
+    with ThreadPoolExecutor(k) as pool:
+        return list(pool.map(prepared, range(k)))
+
+
+def _scores(prepared: Prepared, held: DataFrame, classifier) -> list[float]:
+    row = metric_summary(prepared.train(classifier).transform(held), "label", "prediction").first()
+    return [float(row[m] or 0.0) for m in METRICS]
+
+
+def cross_validate(df: DataFrame, cols: Columns, classifier, k: int = 5, seed: int = 42, rows: int | None = None, parallelism: int = 5, **options) -> DataFrame:
+    """``fold`` and the four metrics, preprocessing fitted anew in every fold; folds are fitted side by side."""
+    folds = folded(df, cols, k, seed, rows, **options)
+    with ThreadPoolExecutor(parallelism) as pool:
+        scores = list(pool.map(lambda fold: _scores(*fold, classifier), folds))
+    return df.sparkSession.createDataFrame([(i, *s) for i, s in enumerate(scores, start=1)], "fold int, " + ", ".join(f"{m} double" for m in METRICS))
 
 
 def refit(learn: DataFrame, held_out: DataFrame, cols: Columns, classifier, share: float = 0.15, seed: int = 42, **options):
@@ -151,17 +209,48 @@ def refit(learn: DataFrame, held_out: DataFrame, cols: Columns, classifier, shar
     return whole, table
 
 
-def search(df: DataFrame, cols: Columns, build: Callable[[dict], object], configs: list[dict], k: int = 3, seed: int = 42, **options) -> DataFrame:
+def search(
+    df: DataFrame, cols: Columns, build: Callable[[dict], object], configs: list[dict], k: int = 3, seed: int = 42,
+    rows: int | None = None, log: str | None = None, parallelism: int = 8, **options
+) -> DataFrame:
     """``trial, params, score``: mean cross-validated macro F1 of each configuration.
 
-    The first configuration is the baseline, trial 0, and competes with the rest.
+    The first configuration is the baseline, trial 0, and competes with the rest. Folds are cut
+    and preprocessed once; all fits of (trial, fold) run ``parallelism`` at a time. With ``log``,
+    each fit's metrics are written to that folder as it ends, and a rerun with the same settings
+    fits only what is not there yet.
     """
-    folded = cut_lineage(df)
-    rows = []
-    for trial, config in enumerate(configs):
-        folds = cross_validate(folded, cols, build(config), k, seed, **options)
-        rows.append((trial, json.dumps(config, sort_keys=True), folds.agg(F.avg("macro_f1")).first()[0]))
-    return df.sparkSession.createDataFrame(rows, "trial int, params string, score double")
+    spark = df.sparkSession
+    settings = [json.dumps({"params": c, "k": k, "seed": seed, "rows": rows, **options}, sort_keys=True, default=str) for c in configs]
+    known = {} if log is None else {(r["trial"], r["fold"]): (r["settings"], r["macro_f1"]) for r in trial_log(spark, log).collect()}
+    wanted = [(trial, fold) for trial in range(len(configs)) for fold in range(k)]
+    scores = {t: known[t][1] for t in wanted if t in known and known[t][0] == settings[t[0]]}
+    todo = [t for t in wanted if t not in scores]
+    folds = folded(df, cols, k, seed, rows, **options) if todo else []
+
+    def run(trial: int, fold: int) -> float:
+        found = _scores(*folds[fold], build(configs[trial]))
+        if log is not None:
+            row = spark.createDataFrame([(settings[trial], *found)], LOGGED).coalesce(1)
+            row.write.mode("overwrite").parquet(f"{log}/trial={trial}/fold={fold}")
+        return found[METRICS.index("macro_f1")]
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        scores |= dict(zip(todo, pool.map(lambda t: run(*t), todo)))
+    table = [(trial, json.dumps(c, sort_keys=True), sum(scores[trial, f] for f in range(k)) / k) for trial, c in enumerate(configs)]
+    return spark.createDataFrame(table, "trial int, params string, score double")
+
+
+LOGGED = "settings string, " + ", ".join(f"{m} double" for m in METRICS)
+
+
+def trial_log(spark, log: str) -> DataFrame:
+    """The fits that a search has logged in a folder: ``trial, fold``, settings and metrics; empty where there is none."""
+    schema = f"{LOGGED}, trial int, fold int"
+    try:
+        return spark.read.schema(schema).parquet(log)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
 
 
 def random_configs(space: dict[str, list], count: int, seed: int = 42) -> list[dict]:
@@ -170,62 +259,37 @@ def random_configs(space: dict[str, list], count: int, seed: int = 42) -> list[d
     return [{name: rng.choice(choices) for name, choices in space.items()} for _ in range(count)]
 
 
-def grid_search(df: DataFrame, cols: Columns, estimator, grid, k: int = 3, seed: int = 42, parallelism: int = 2):
-    """MLlib cross validation over a parameter grid on prepared folds, scored by macro F1."""
-    folded = cut_lineage(spread(add_class_weights(stratified_folds(df, cols.key, cols.label, k, seed), cols.label)))
-    indexer = label_index(folded, cols.label)
-    pipeline = Pipeline(stages=[*matrix_stages(cols.categorical, cols.numeric, cols.min_frequency), estimator])
-    validator = CrossValidator(
-        estimator=pipeline, estimatorParamMaps=grid, evaluator=MacroF1("label", "prediction"), numFolds=k, foldCol="fold", parallelism=parallelism
-    )
-    return validator.fit(indexer.transform(folded))
-
-
-def grid_log(model, grid) -> list[tuple[int, str, float]]:
-    named = [json.dumps({p.name: v for p, v in point.items()}, sort_keys=True, default=str) for point in grid]
-    return [(i, params, float(score)) for i, (params, score) in enumerate(zip(named, model.avgMetrics))]
-
+def importance_frame(spark, fitted: Fitted, sample: DataFrame, by_column: bool = False) -> DataFrame:
+    """``feature, importance, largest``, one row per slot or, ``by_column``, per input column.
 
-def importance_frame(spark, fitted: Fitted, sample: DataFrame) -> DataFrame:
-    """``feature, importance`` (plus the largest weight for linear models), one row per slot."""
-    names = feature_names(fitted.model.transform(sample.limit(1)))
+    Trees: slots add up to their column, and ``largest`` is that of the greatest class model. Linear
+    models: the mean and the greatest absolute weight of a slot, or of all slots of a column.
+    """
+    ready = fitted.model.transform(sample.limit(1))
+    names, columns = feature_names(ready), slot_columns(fitted.model.stages, ready)
     trained = fitted.model.stages[-2]
-    if hasattr(trained, "coefficientMatrix"):
-        weights = abs(trained.coefficientMatrix.toArray())
-        rows = [(n, float(weights[:, i].mean()), float(weights[:, i].max())) for i, n in enumerate(names)]
+    linear = hasattr(trained, "coefficientMatrix")
+    if linear:
+        parts = abs(trained.coefficientMatrix.toArray())
     else:
         models = trained.models if hasattr(trained, "models") else [trained]
         parts = [m.featureImportances.toArray() for m in models]
-        rows = [(n, float(sum(p[i] for p in parts) / len(parts)), float(max(p[i] for p in parts))) for i, n in enumerate(names)]
+    slots = [[float(p[i]) for p in parts] for i in range(len(names))]
+    if by_column:
+        held = {c: [slots[i] for i, own in enumerate(columns) if own == c] for c in dict.fromkeys(columns)}
+        if linear:
+            rows = [(c, sum(map(sum, s)) / (len(s) * len(parts)), max(map(max, s))) for c, s in held.items()]
+        else:
+            rows = [(c, sum(map(sum, s)) / len(parts), max(map(sum, zip(*s)))) for c, s in held.items()]
+    else:
+        rows = [(n, sum(s) / len(s), max(s)) for n, s in zip(names, slots)]
     return spark.createDataFrame(rows, "feature string, importance double, largest double")
 
 
-def kmeans_search(df: DataFrame, vector: str, ks=range(3, 11), restarts: int = 20, iterations: int = 300, seed: int = 42):
-    """(best model, table of scores per k); each k keeps its cheapest restart, the best silhouette wins."""
-    fixed = cut_lineage(spread(df))
-    best, rows = None, []
-    for k in ks:
-        runs = [KMeans(featuresCol=vector, predictionCol="cluster", k=k, maxIter=iterations, seed=seed + i).fit(fixed) for i in range(restarts)]
-        model = min(runs, key=lambda m: m.summary.trainingCost)
-        assigned = model.transform(fixed)
-        scores = internal_scores(assigned, vector, "cluster").first()
-        silhouette = silhouette_sq(assigned, vector, "cluster")
-        rows.append((k, float(scores["inertia"]), silhouette, float(scores["calinski_harabasz"]), float(scores["davies_bouldin"])))
-        if best is None or silhouette > best[0]:
-            best = (silhouette, model)
-    table = df.sparkSession.createDataFrame(
-        rows, "n_clusters int, inertia double, silhouette_sq double, calinski_harabasz double, davies_bouldin double"
-    )
-    return best[1], table
-
-
-def latent_table(df: DataFrame, vector: str, key: str, label: str, k: int = 8, clusters: int = 8, restarts: int = 20, iterations: int = 500, seed: int = 42):
-    """(frame of key, z, label, cluster; explained variance): low-dimensional form, then clusters."""
-    latent, variance = pca_projection(df, vector, k, "z")
-    fixed = cut_lineage(spread(latent.select(key, "z", label)))
-    runs = [KMeans(featuresCol="z", predictionCol="cluster", k=clusters, maxIter=iterations, seed=seed + i).fit(fixed) for i in range(restarts)]
-    model = min(runs, key=lambda m: m.summary.trainingCost)
-    return model.transform(fixed), variance
+def prune(cols: Columns, importance: DataFrame, threshold: float = 0.0) -> Columns:
+    """The columns whose importance, counted by input column, exceeds the threshold."""
+    kept = set(prune_features([*cols.categorical, *cols.numeric], importance, threshold))
+    return replace(cols, categorical=tuple(c for c in cols.categorical if c in kept), numeric=tuple(c for c in cols.numeric if c in kept))
 
 
 def knn_classify(train: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:

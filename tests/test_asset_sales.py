@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.models import train
+from ledgerloom.models import train, trees
 from ledgerloom.plans import asset_sales as job
 from ledgerloom.plans import values as v
 from ledgerloom.sources import columns, tables
@@ -103,8 +103,8 @@ def test_split_is_written(spark, prepared, tmp_path):
 def test_models_train_and_rank(prepared):
     cols = job.model_columns(prepared.table)
     assert v.TARGET not in cols.categorical and v.PROFILE not in cols.categorical
-    fitted = train.fit(prepared.table, cols, train.random_forest(trees=5, depth=4))
+    fitted = train.fit(prepared.table, cols, trees.random_forest(trees=5, depth=4))
     assert fitted.score(prepared.table).filter(F.col("predicted") == F.col(v.PROFILE)).count() > 70
-    ranker = job.fit_ranker(prepared.table, v.TARGET, train.random_forest(trees=5, depth=4))
+    ranker = job.fit_ranker(prepared.table, v.TARGET, trees.random_forest(trees=5, depth=4))
     ranked = job.rank_candidates(ranker, prepared.table.limit(3), ["row_id"], k=2)
     assert ranked.count() == 6 and ranked.filter("rank = 1 and probability > 0").count() == 3

@@ -7,7 +7,7 @@ from compare import connect, differences
 
 FOLDER = "/root/testdata/sf0.001"
 # Training queries take long; the model tests cover their parts on small frames.
-SLOW = {"train_rf", "train_lr", "train_gbt_ovr", "train_mlp", "cross_validation", "grid_search", "random_search", "importance", "kmeans_select", "latent_cluster", "latent_knn", "refit_evaluate", "predict_confidence", "rank_candidates"}
+SLOW = {"train_rf", "train_lr", "train_gbt_ovr", "train_mlp", "cross_validation", "grid_search", "random_search", "importance", "kmeans_select", "latent_cluster", "latent_knn", "importance_columns", "refit_evaluate", "predict_confidence", "rank_candidates"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
 

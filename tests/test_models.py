@@ -5,7 +5,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from ledgerloom.models import evaluate, serve, train
+from ledgerloom.models import clusters, evaluate, serve, train, trees
 from ledgerloom.models.features import AssetFeatures, CategoryCollapser, PopulationScaler, QuantileBinner, feature_names, matrix_stages
 from ledgerloom.sources import reports
 from ledgerloom.sources.columns import prune_features
@@ -103,7 +103,7 @@ def test_long_category_list_reloads_in_a_pipeline(spark, tmp_path):
 
 def test_forest_depth_is_never_cut():
     with pytest.raises(ValueError):
-        train.random_forest(depth=31)
+        trees.random_forest(depth=31)
 
 
 def test_internal_scores_of_coinciding_centroids(spark):
@@ -160,8 +160,8 @@ COLUMNS = train.Columns("label_text", ("c",), ("n",), ("id",))
 
 
 @pytest.mark.parametrize("make", [
-    lambda: train.random_forest(trees=5, depth=5), lambda: train.logistic(rows=240.0, iterations=60),
-    lambda: train.boosted_trees(iterations=2, depth=3), lambda: lambda i, k: train.perceptron(i, k, hidden=(8,), iterations=60),
+    lambda: trees.random_forest(trees=5, depth=5), lambda: train.logistic(iterations=60),
+    lambda: trees.boosted_trees(iterations=2, depth=3), lambda: train.perceptron(hidden=(8,), iterations=60),
 ], ids=["forest", "logistic", "boosted", "perceptron"])
 def test_classifiers_learn(labelled, make):
     fitted = train.fit(labelled, COLUMNS, make())
@@ -170,14 +170,14 @@ def test_classifiers_learn(labelled, make):
 
 
 def test_cross_validation_and_importance(spark, labelled):
-    forest = train.random_forest(trees=5, depth=5)
+    forest = trees.random_forest(trees=5, depth=5)
     assert train.cross_validate(labelled, COLUMNS, forest, k=2).count() == 2
     importance = train.importance_frame(spark, train.fit(labelled, COLUMNS, forest), labelled)
     assert importance.agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
 
 
 def test_refit_measures_three_parts(labelled):
-    whole, table = train.refit(labelled.filter("id % 5 <> 0"), labelled.filter("id % 5 = 0"), COLUMNS, train.random_forest(trees=5, depth=5))
+    whole, table = train.refit(labelled.filter("id % 5 <> 0"), labelled.filter("id % 5 = 0"), COLUMNS, trees.random_forest(trees=5, depth=5))
     assert sorted((r["fit"], r["part"]) for r in table.collect()) == [("all", "test"), ("share", "test"), ("share", "validation")]
     told = evaluate.prediction_table(whole.score(labelled), "label_text", "predicted", "probability", keep=["id"])
     assert told.filter("confidence between 0.3 and 1 and is_correct in (0, 1)").count() == 240
@@ -195,8 +195,173 @@ def test_random_configs_are_seeded():
 
 def test_kmeans_search_finds_the_groups(spark):
     rows = [(i, Vectors.dense([i % 3 * 10 + (i % 7) / 10, i % 3 * -5 + (i % 5) / 10])) for i in range(90)]
-    model, table = train.kmeans_search(spark.createDataFrame(rows, ["id", "v"]), "v", range(2, 5), restarts=2)
+    model, table = clusters.kmeans_search(spark.createDataFrame(rows, ["id", "v"]), "v", range(2, 5), restarts=2)
     assert len(model.clusterCenters()) == 3 and table.count() == 3
+    found = model.transform(spark.createDataFrame(rows, ["id", "v"])).selectExpr("id % 3 AS g", "cluster").distinct().collect()
+    assert len(found) == 3 == len({r.cluster for r in found})
+
+
+def test_many_starts_match_separate_fits(spark):
+    import numpy as np
+    from pyspark.ml.clustering import KMeans
+
+    rng = np.random.default_rng(1)
+    points = np.concatenate([rng.normal(size=(40, 3)) + c for c in ([0, 0, 0], [9, 0, 0], [0, 9, 0], [0, 0, 9], [9, 9, 9])])
+    df = spark.createDataFrame([(Vectors.dense(p),) for p in points], ["v"]).repartition(3)
+    found = clusters.many_starts(df, "v", [2, 5], restarts=6)
+    for k, (centres, cost) in found.items():
+        best = min((KMeans(featuresCol="v", k=k, seed=s).fit(df) for s in range(6)), key=lambda m: m.summary.trainingCost)
+        plain = ((points[:, None] - centres[None]) ** 2).sum(axis=2).min(axis=1).sum()
+        assert cost == pytest.approx(plain) and cost <= best.summary.trainingCost * 1.0001
+    assert sorted(map(tuple, np.round(found[5][0]).tolist())) == sorted([(0, 0, 0), (9, 0, 0), (0, 9, 0), (0, 0, 9), (9, 9, 9)])
+
+
+@pytest.mark.parametrize("dims,block", [(2, 7), (20, 1000)])
+def test_silhouettes_equal_brute_force(spark, dims, block):
+    import numpy as np
+
+    rng = np.random.default_rng(dims)
+    points, ways = rng.normal(size=(60, dims)), [rng.integers(0, 3, 60), np.append(rng.integers(0, 2, 59), 7)]
+    df = spark.createDataFrame([(Vectors.dense(p), int(a), int(b)) for p, a, b in zip(points, *ways)], ["v", "a", "b"])
+    got = clusters.silhouettes(df, "v", ["a", "b"], block=block)
+    far = np.sqrt(((points[:, None] - points[None]) ** 2).sum(axis=2))
+    for name, own in zip("ab", ways):
+        values = []
+        for i in range(60):
+            mine = (own == own[i]) & (np.arange(60) != i)
+            a = far[i, mine].mean() if mine.any() else None
+            b = min(far[i, own == c].mean() for c in set(own) - {own[i]})
+            values.append(0.0 if a is None else (b - a) / max(a, b))
+        assert got[name] == pytest.approx(np.mean(values))
+
+
+def test_latent_stage_is_fitted_on_training_rows(spark, tmp_path):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=(80, 4)) * [5, 1, 0.1, 0.1]
+    df = spark.createDataFrame([(i, Vectors.dense(p), "ab"[i % 2]) for i, p in enumerate(points)], ["id", "v", "y"])
+    table, stage = clusters.latent_table(df, "v", "id", "y", k=2, clusters=3, restarts=2)
+    held = {r.id for r in table.filter("is_test = 1").collect()}
+    assert len(held) == 16 and table.count() == 80 and table.filter("y = 'a' and is_test = 1").count() == 8
+    # Held-out rows far off leave the components, the mean and the centres where they were.
+    moved = spark.createDataFrame([(i, Vectors.dense([0, 0, 900, 900]) if i in held else Vectors.dense(p), "ab"[i % 2]) for i, p in enumerate(points)], ["id", "v", "y"])
+    _, again = clusters.latent_table(moved, "v", "id", "y", k=2, clusters=3, restarts=2)
+    for a, b in zip((stage.stages[0].mean, stage.stages[1].pc), (again.stages[0].mean, again.stages[1].pc)):
+        assert np.allclose(a.toArray(), b.toArray())
+    assert np.allclose(stage.stages[2].clusterCenters(), again.stages[2].clusterCenters())
+    stage.write().overwrite().save(str(tmp_path / "latent"))
+    saved = PipelineModel.load(str(tmp_path / "latent")).transform(df)
+    assert {(r.id, r.cluster) for r in saved.collect()} == {(r.id, r.cluster) for r in table.collect()}
+
+
+def test_forest_in_parts_is_one_forest(labelled):
+    fitted = train.fit(labelled, COLUMNS, trees.random_forest(trees=7, depth=5, parts=3))
+    assert fitted.model.stages[-2].getNumTrees == 7
+    assert sum(fitted.model.stages[-2].featureImportances.toArray()) == pytest.approx(1.0)
+    assert evaluate.metric_summary(fitted.score(labelled), "label_text", "predicted").first()["accuracy"] > 0.75
+
+
+def test_fit_is_bounded_by_least_digests(labelled):
+    few = train.least_digests(labelled, ["id"], 50)
+    assert few.count() == 50 and few.rdd.getNumPartitions() == 1
+    assert {r.id for r in few.collect()} == {r.id for r in train.least_digests(labelled.repartition(5), ["id"], 50).collect()}
+    seen = []
+
+    class Watch:
+        def fit(self, df):
+            seen.append(df.count())
+            return trees.random_forest(trees=2, depth=3).fit(df)
+
+    train.fit(labelled, COLUMNS, Watch(), rows=50)
+    assert seen == [50]
+
+
+def test_penalty_follows_the_weight_of_the_rows_fitted_on(labelled):
+    seen = []
+
+    def build(shape):
+        seen.append(shape)
+        return train.logistic(c=2.0)(shape)
+
+    train.fit(labelled.filter("id < 120"), COLUMNS, build)
+    assert seen[0].weight == pytest.approx(120) and seen[0].classes == 3
+    assert build(seen[0]).getRegParam() == pytest.approx(1 / 240)
+
+
+def test_ordered_target_statistics(spark):
+    from ledgerloom.models.target_stats import OrderedTargetEncoder
+
+    rows = [("ab" [i % 2] if i % 5 else None, float(i % 3 == 0), (i * 7919) % 101 * (1 << 56) - (1 << 62)) for i in range(60)]
+    df = spark.createDataFrame(rows, "c string, label double, digest long").repartition(4)
+    model = OrderedTargetEncoder(inputCols=["c"], smoothing=2.0).fit(df)
+    share = sum(y for _, y, _ in rows) / len(rows)
+    assert model.output_columns() == ["c_stat0", "c_stat1"]
+    for bits in (12, 1):
+        got = sorted((str(r.c), r.digest, r.label, round(r.c_stat1, 9), round(r.c_stat0, 9)) for r in model.encode_training(df, bits).collect())
+        # Blocks of digests go in the order of their bits, read as a number without sign.
+        place = lambda d: ((d % (1 << 64)) >> (64 - bits), d)
+        want = []
+        for c, y, d in rows:
+            before = [v for k, v, e in rows if k == c and place(e) < place(d)]
+            stat = (sum(before) + 2 * share) / (len(before) + 2)
+            want.append((str(c), d, y, round(stat, 9), round((len(before) - sum(before) + 2 * (1 - share)) / (len(before) + 2), 9)))
+        assert got == sorted(want)
+    new = model.transform(spark.createDataFrame([("a",), (None,), ("z",)], "c string"))
+    mine = [y for k, y, _ in rows if k == "a"]
+    assert new.filter("c = 'a'").first().c_stat1 == pytest.approx((sum(mine) + 2 * share) / (len(mine) + 2))
+    assert new.filter("c = 'z'").first().c_stat1 == pytest.approx(share)
+    with pytest.raises(ValueError):
+        OrderedTargetEncoder(inputCols=["c"], most=2).fit(df)
+
+
+def test_boosting_takes_many_categories_and_stops_early(spark):
+    rows = [(i, f"v{i % 500}", float(i % 7), "yes" if ((i % 500) % 3 == 0) != (i % 11 == 0) else "no") for i in range(3000)]
+    df = spark.createDataFrame(rows, "id int, c string, n double, y string")
+    cols = train.Columns("y", ("c",), ("n",), ("id",))
+    fitted = train.fit(df, cols, trees.boosted_trees(iterations=60, depth=6, step=0.3), targets=True, scale=False)
+    assert evaluate.metric_summary(fitted.score(df), "y", "predicted").first()["accuracy"] > 0.85
+    assert all(m.getNumTrees < 60 for m in fitted.model.stages[-2].models)
+    by_column = {r.feature: r.importance for r in train.importance_frame(spark, fitted, df, by_column=True).collect()}
+    assert set(by_column) == {"c", "n"} and by_column["c"] > by_column["n"]
+    # Categories as indexes: a bin for each.
+    assert train.fit(df, cols, trees.boosted_trees(iterations=1, depth=2), ordinal=True, scale=False).labels == ["no", "yes"]
+
+
+def test_importance_by_column_prunes_a_constant(spark, labelled):
+    df = labelled.withColumn("same", F.lit(3.0))
+    cols = train.Columns("label_text", ("c",), ("n", "same"), ("id",))
+    for classifier in (trees.random_forest(trees=5, depth=5), train.logistic(iterations=60)):
+        fitted = train.fit(df, cols, classifier)
+        importance = train.importance_frame(spark, fitted, df, by_column=True)
+        assert {r.feature for r in importance.collect()} == {"c", "n", "same"}
+        assert train.prune(cols, importance, 1e-9) == train.Columns("label_text", ("c",), ("n",), ("id",))
+
+
+def test_search_goes_on_where_it_stopped(spark, labelled, tmp_path):
+    configs, built, log = [{"depth": 1}, {"depth": 3}, {"depth": 5}], [], str(tmp_path / "log")
+
+    def build(c):
+        built.append(c["depth"])
+        if c["depth"] == 5 and len(set(built)) == 3 and not resumed:
+            raise RuntimeError("killed")
+        return trees.random_forest(trees=3, depth=c["depth"])
+
+    resumed = False
+    with pytest.raises(RuntimeError):
+        train.search(labelled, COLUMNS, build, configs, k=2, rows=120, log=log, parallelism=1)
+    assert train.trial_log(spark, log).count() == 4
+    resumed, built[:] = True, []
+    table = train.search(labelled, COLUMNS, build, configs, k=2, rows=120, log=log)
+    assert built == [5, 5] and [r.trial for r in table.orderBy("trial").collect()] == [0, 1, 2]
+    built.clear()
+    again = train.search(labelled, COLUMNS, build, configs, k=2, rows=120, log=log)
+    assert not built and sorted(map(tuple, again.collect())) == sorted(map(tuple, table.collect()))
+    plain = train.search(labelled, COLUMNS, build, configs, k=2, rows=120)
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, table.collect()))
+    built.clear()
+    train.search(labelled, COLUMNS, build, configs[:1], k=2, rows=100, log=log)
+    assert built == [1, 1]
 
 
 def test_top_candidates(spark):
@@ -225,53 +390,9 @@ def test_metric_artefacts_of_three_layouts(spark, tmp_path):
     assert got[("held", "test", "accuracy")] == 0.3
 
 
-def test_queries_train_in_the_shape_of_the_reference(spark, monkeypatch):
-    import inspect
-
+def test_searches_have_the_size_of_the_reference():
     from ledgerloom.plans import q_models as Q
 
-    class Stop(Exception):
-        pass
-
-    seen = {}
-
-    def record(name):
-        real = inspect.signature(getattr(train, name))
-
-        def stub(*args, **options):
-            bound = real.bind(*args, **options)
-            bound.apply_defaults()
-            seen.update(bound.arguments)
-            raise Stop
-        return stub
-
-    def run(name):
-        seen.clear()
-        with pytest.raises(Stop):
-            getattr(Q, name)(spark, "")
-        return dict(seen)
-
-    for name in ("fit", "refit", "cross_validate", "search", "grid_search", "kmeans_search", "latent_table"):
-        monkeypatch.setattr(train, name, record(name))
-    monkeypatch.setattr(Q, "_order_features", lambda s, d: s.range(10))
-    monkeypatch.setattr(Q, "_vectors", lambda s, d: None)
-    monkeypatch.setattr(Q.split, "train_test", lambda *a, **b: (None, None))
-    forest = lambda c: (c.getNumTrees(), c.getMaxDepth())
-    for name in ("train_rf", "predict_confidence", "rank_candidates", "importance"):
-        assert forest(run(name)["classifier"]) == (1200, 24)
-    assert forest(run("refit_evaluate")["classifier"]) == (1800, 30)
-    boosted = run("train_gbt_ovr")["classifier"].getClassifier()
-    assert (boosted.getMaxIter(), boosted.getMaxDepth(), boosted.getStepSize()) == (2500, 7, 0.03)
-    network = run("train_mlp")["classifier"](9, 3)
-    assert (network.getLayers(), network.getMaxIter()) == ([9, 256, 128, 64, 3], 200)
-    folds = run("cross_validation")
-    assert folds["k"] == 5 and forest(folds["classifier"]) == (1200, 24)
-    grid = run("grid_search")
-    assert len(grid["grid"]) == 10 and grid["k"] == 5 and sorted({1 / (v * 8) for g in grid["grid"] for p, v in g.items() if p.name == "regParam"}) == pytest.approx([0.03, 0.1, 0.3, 1, 3, 10])
-    searched = run("random_search")
-    assert len(searched["configs"]) == 41 and searched["k"] == 5
-    assert all(forest(searched["build"](c)) == (c["trees"], c["depth"]) and 400 <= c["trees"] <= 2000 and 8 <= c["depth"] <= 30 for c in searched["configs"])
-    clusters = run("kmeans_select")
-    assert (list(clusters["ks"]), clusters["restarts"], clusters["iterations"]) == (list(range(3, 11)), 20, 500)
-    latent = run("latent_cluster")
-    assert (latent["restarts"], latent["iterations"]) == (20, 500)
+    assert len(Q.LOGISTIC_GRID) == 10 and Q.TRIALS == 40 and Q.FOLDS == 5
+    assert (Q.FOREST, Q.BOOSTING["iterations"], Q.NETWORK["hidden"]) == ({"trees": 1200, "depth": 24}, 2500, (256, 128, 64))
+    assert (list(Q.KMEANS["ks"]), Q.KMEANS["restarts"], Q.KMEANS["iterations"]) == (list(range(3, 11)), 20, 500)
