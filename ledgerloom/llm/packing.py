@@ -7,8 +7,10 @@ is taken (a length costs its tokens and ``overhead``). At the end every sequence
 to the least permitted length that holds it.
 
 Rows are dealt by hash into shards of about ``SHARD`` rows, each packed by one task, so
-no task grows with the table. The length of a text is its words and one end mark; texts
-longer than the greatest length are cut into pieces.
+no task grows with the table. Equal rows are counted first and dealt in lots of at most
+``LOT``, so they spread over shards however often they repeat. The length of a text is its
+words and one end mark; texts longer than the greatest length are cut into pieces before a
+word, and the pieces of a text, end to end, are the text itself.
 
 Defined results: NULL and empty texts are one piece of one token; rows with equal lengths
 are placed by id; repeated rows are packed each; an empty table gives an empty one.
@@ -16,6 +18,8 @@ are placed by id; repeated rows are packed each; an empty table gives an empty o
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,6 +30,8 @@ from ledgerloom.llm.words import Words, slices
 LENGTHS = (512, 1024, 2048, 4096, 8192)
 OVERHEAD = 64
 SHARD = 4000
+LOT = 250
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def _trial(length: int, first: int, waiting: dict[int, int], mask: int) -> int:
@@ -91,14 +97,32 @@ def _lengths(df: DataFrame, id_column: str, text: str, keep_text: bool) -> DataF
     return narrow.mapInArrow(work, "id long, n long" + ", text string" * keep_text)
 
 
+def _cut(text: str | None, greatest: int) -> list[str]:
+    """The pieces of a text, each of ``greatest`` words but for the last, which the end mark follows."""
+    raw = (text or "").encode()
+    starts = [m.start() for m in WORD.finditer(raw)]
+    edges = [0, *starts[greatest::greatest], len(raw)]
+    pieces = [raw[a:b].decode() for a, b in zip(edges, edges[1:])]
+    # Where the words fill the last piece, the end mark stands alone.
+    return pieces + [""] * (len(starts) // greatest + 1 - len(pieces))
+
+
+def _lots(df: DataFrame, shards: int) -> DataFrame:
+    """Equal rows as lots of at most ``LOT``, each with its number of ``copies`` and its ``shard``."""
+    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("copies"))
+    lots = counted.withColumn("lot", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / LOT))))
+    copies = F.least(F.lit(LOT).cast("long"), F.col("copies") - F.col("lot") * LOT)
+    return lots.withColumns({"copies": copies, "shard": F.pmod(F.xxhash64(*df.columns, "lot"), F.lit(shards))}).drop("lot")
+
+
 def pack(df: DataFrame, id_column: str = "doc_id", text: str = "text", lengths=LENGTHS, overhead: int = OVERHEAD, with_text: bool = False) -> DataFrame:
-    """One row for each piece: id, ``piece``, ``seq_id``, ``capacity``, ``position``, ``n_tokens`` and, if asked, its text (words joined by spaces)."""
+    """One row for each piece: id, ``piece``, ``seq_id``, ``capacity``, ``position``, ``n_tokens`` and, if asked, its text."""
     shards = max(1, -(-df.count() // SHARD))
     greatest = max(lengths)
 
     def work(key, group):
-        ids, n = group.column("id").to_pylist(), group.column("n").to_pylist()
-        pieces = [(min(greatest, total - at), i, at // greatest, row, at) for row, (i, total) in enumerate(zip(ids, n)) for at in range(0, total, greatest)]
+        ids, n, copies = (group.column(c).to_pylist() for c in ("id", "n", "copies"))
+        pieces = [(min(greatest, n[row] - at), ids[row], at // greatest, row) for row in range(len(ids)) for _ in range(copies[row]) for at in range(0, n[row], greatest)]
         if with_text:
             texts = group.column("text").to_pylist()
             pieces.sort(key=lambda p: (-p[0], p[1] is None, p[1] or 0, p[2], texts[p[3]] or ""))
@@ -110,16 +134,10 @@ def pack(df: DataFrame, id_column: str = "doc_id", text: str = "text", lengths=L
             ([p[1] for p in pieces], pa.int64()), ([p[2] for p in pieces], pa.int32()), ([base + h for h in home], pa.int64()),
             (capacity, pa.int32()), (position, pa.int32()), ([p[0] for p in pieces], pa.int32()))]
         if with_text:
-            words = {p[3]: None for p in pieces}
-            cut = []
-            for size, _, _, row, at in pieces:
-                if words[row] is None:
-                    words[row] = (texts[row] or "").encode().split()
-                cut.append(b" ".join(words[row][at : at + size]).decode())
-            columns.append(pa.array(cut, pa.string()))
+            cut = [_cut(t, greatest) for t in texts]
+            columns.append(pa.array([cut[p[3]][p[2]] for p in pieces], pa.string()))
         return pa.Table.from_arrays(columns, names=names)
 
     names = [id_column, "piece", "seq_id", "capacity", "position", "n_tokens", *(["text"] if with_text else [])]
     schema = f"`{id_column}` long, piece int, seq_id long, capacity int, position int, n_tokens int" + ", text string" * with_text
-    dealt = _lengths(df, id_column, text, with_text).withColumn("shard", F.pmod(F.xxhash64("id", "n"), F.lit(shards)))
-    return dealt.groupBy("shard").applyInArrow(work, schema)
+    return _lots(_lengths(df, id_column, text, with_text), shards).groupBy("shard").applyInArrow(work, schema)
