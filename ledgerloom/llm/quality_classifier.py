@@ -133,9 +133,16 @@ def fit_trees(x: np.ndarray, y: np.ndarray, trees: int = TREES, rate: float = RA
 
 
 def labelled_sample(labels: DataFrame, label: str, held_out, id_column: str = "doc_id", rows: int = FIT_ROWS) -> DataFrame:
-    """At most ``rows`` labelled ids outside the held-out part, by least hash: ``(id, y)``."""
+    """At most ``rows`` labelled ids outside the held-out part, by least hash: ``(id, y)``; of several labels of an id, the least."""
     ids = labels.select(labels[f"`{id_column}`"].cast("long").alias("id"), labels[f"`{label}`"].cast("int").alias("y"))
-    return ids.filter(F.col("id").isNotNull() & F.col("y").isNotNull() & ~held_out(F.col("id"))).orderBy(F.xxhash64("id"), "id", "y").limit(rows)
+    ids = ids.filter(F.col("id").isNotNull() & F.col("y").isNotNull() & ~held_out(F.col("id"))).groupBy("id").agg(F.min("y").alias("y"))
+    return ids.orderBy(F.xxhash64("id"), "id").limit(rows)
+
+
+def sampled_texts(docs: DataFrame, sample: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(id, y, text)``, one row for each id of the sample (bounded by its caller); of several texts of an id, the least."""
+    plain = docs.select(docs[f"`{id_column}`"].cast("long").alias("id"), docs[f"`{text}`"].alias("text"))
+    return plain.join(F.broadcast(sample), "id").groupBy("id", "y").agg(F.min("text").alias("text"))
 
 
 def _map_statistics(df: DataFrame, keep: list[str], finish, tail: str) -> DataFrame:
@@ -153,9 +160,7 @@ def _map_statistics(df: DataFrame, keep: list[str], finish, tail: str) -> DataFr
 def fit(docs: DataFrame, labels: DataFrame, label: str, held_out, id_column: str = "doc_id", text: str = "text", rows: int = FIT_ROWS) -> Trees:
     """Trees for ``label`` from at most ``rows`` labelled documents outside the held-out part."""
     sample = labelled_sample(labels, label, held_out, id_column, rows)
-    plain = docs.select(docs[f"`{id_column}`"].cast("long").alias("id"), docs[f"`{text}`"].alias("text"))
-    # The sample is bounded by `rows`, 16 bytes each.
-    chosen = plain.join(F.broadcast(sample), "id")
+    chosen = sampled_texts(docs, sample, id_column, text)
     found = _map_statistics(chosen, ["id", "y"], lambda x: [pa.array(list(x), pa.list_(pa.float64()))], "x array<double>").toPandas()
     found = found.sort_values("id", kind="stable")
     x = np.array(found["x"].tolist(), np.float64).reshape(len(found), len(STATISTICS))

@@ -22,9 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.decontaminate import normal_words
+from ledgerloom.llm.quality_classifier import sampled_texts
 from ledgerloom.llm.words import Words, mix, slices
 
 FIT_ROWS = 2000
+FIT_BYTES = 1 << 15
 WINDOW, STRIDE = 32, 24
 HIDDEN, EMBED, ATTEND = 8, 6, 8
 WORD_BITS, CHAR_BITS, ODDS_BITS = 13, 12, 18
@@ -313,15 +315,18 @@ def score_texts(texts: pa.Array, p: dict) -> np.ndarray:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, held_out, id_column: str = "doc_id", text: str = "text", rows: int = FIT_ROWS) -> dict:
-    """Parameters for ``label`` from at most ``rows`` labelled documents of each label outside the held-out part."""
+    """Parameters for ``label`` from at most ``rows`` labelled documents of each label outside the held-out part.
+
+    An id has one row, of its least label and least text. Texts of over ``FIT_BYTES`` bytes are scored but not
+    learnt from, so the driver holds at most ``2 * rows * FIT_BYTES`` bytes of texts.
+    """
     ids = labels.select(labels[f"`{id_column}`"].cast("long").alias("id"), labels[f"`{label}`"].cast("int").alias("y"))
-    ids = ids.filter(F.col("id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("id")))
+    ids = ids.filter(F.col("id").isNotNull() & F.col("y").isin(0, 1) & ~held_out(F.col("id"))).groupBy("id").agg(F.min("y").alias("y"))
     total = {r["y"]: r["n"] for r in ids.groupBy("y").agg(F.count("*").alias("n")).collect()}
     least = lambda y: ids.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(rows)
     sample = least(0).unionByName(least(1))
-    plain = docs.select(docs[f"`{id_column}`"].cast("long").alias("id"), docs[f"`{text}`"].alias("text"))
-    # The sample is bounded by twice `rows`, 16 bytes each.
-    chosen = plain.join(F.broadcast(sample), "id").toPandas().sort_values(["id", "text"], kind="stable")
+    found = sampled_texts(docs, sample, id_column, text).filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= FIT_BYTES)
+    chosen = found.toPandas().sort_values("id", kind="stable")
     y = chosen["y"].to_numpy(np.float64)
     weight = np.where(y == 1, total.get(1, 0) / max((y == 1).sum(), 1), total.get(0, 0) / max((y == 0).sum(), 1))
     return train(pa.array(chosen["text"].tolist(), pa.string()), y, weight)

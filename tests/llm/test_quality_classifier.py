@@ -55,3 +55,12 @@ def test_nulls_and_extra_columns(spark):
     trees = C.fit(docs, labels, "quality", lambda i: C.F.lit(False))
     assert C.score(docs, trees).count() == 4
     assert C.score(docs.limit(0), C.fit(docs, labels.limit(0), "quality", lambda i: C.F.lit(False))).count() == 0
+
+
+def test_one_row_of_each_id_is_learnt_from(spark):
+    docs = spark.range(40_000).selectExpr("id % 2 AS doc_id", "concat('text ', id) AS text")
+    labels = spark.range(5_000).selectExpr("id % 2 AS doc_id", "CAST(id % 3 = 0 AS INT) AS quality")
+    held = lambda i: C.F.lit(False)
+    sample = C.labelled_sample(labels, "quality", held)
+    assert sorted(map(tuple, sample.collect())) == [(0, 0), (1, 0)]
+    assert sorted(map(tuple, C.sampled_texts(docs, sample).collect())) == [(0, 0, "text 0"), (1, 0, "text 1")]
