@@ -14,7 +14,7 @@ the others are fingerprinted; this drops no result. Items go in blocks of
 
 Defined results: NULL or wordless items match nothing; an item under five words is one
 shingle and matches only itself; NULL texts and empty tables match nothing; repeated rows
-are reported each; a NULL id is reported as NULL.
+are reported each, repeated items once; a NULL id is reported as NULL.
 """
 
 from __future__ import annotations
@@ -174,7 +174,7 @@ class Items:
 def _blocks(items: DataFrame, id_column: str, text: str, radius: int):
     """Broadcast indexes over the items, at most about ``ITEMS`` in each."""
     spark = items.sparkSession
-    narrow = items.select(items[f"`{id_column}`"].cast("long").alias("i"), items[f"`{text}`"].alias("t")).filter("t IS NOT NULL")
+    narrow = items.select(items[f"`{id_column}`"].cast("long").alias("i"), items[f"`{text}`"].alias("t")).filter("t IS NOT NULL").distinct()
     count = -(-narrow.count() // ITEMS)
     for block in range(count):
         rows = narrow.filter(F.pmod(F.hash("i", "t"), F.lit(count)) == block).orderBy("i", "t").collect()

@@ -104,3 +104,11 @@ def test_index_finds_all_within_radius():
     index = D.HammingIndex(items, 15)
     got = set(zip(*(v.tolist() for v in index.search(queries))))
     assert got == {(q, i) for q in range(300) for i in range(50) if int(queries[q] ^ items[i]).bit_count() <= 15}
+
+
+def test_repeated_items_are_one(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    items = spark.range(9_000).selectExpr("1L AS item_id", f"'{text}' AS text")
+    docs = spark.createDataFrame([(1, text), (2, "other words")], "doc_id long, text string")
+    assert len(list(D._blocks(items, "item_id", "text", D.RADIUS))) == 1
+    assert [(r.doc_id, r.item_id) for r in D.matches(docs, items).collect()] == [(1, 1)]
