@@ -10,13 +10,14 @@ from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.models.evaluate import add_class_weights, metric_summary
 from ledgerloom.models.features import feature_names, matrix_stages, slot_columns
+from ledgerloom.models.network import WeightedNetwork
 from ledgerloom.models.target_stats import OrderedTargetEncoder
 from ledgerloom.operators.knn import knn_join, knn_vote
 from ledgerloom.operators.split import stratified_folds, train_test
@@ -62,20 +63,9 @@ def logistic(c: float = 1.0, l1: float = 0.0, iterations: int = 120, weight: str
     )
 
 
-def perceptron(hidden=(64, 32), iterations: int = 100, seed: int = 42):
-    return lambda shape: MultilayerPerceptronClassifier(layers=[shape.inputs, *hidden, shape.classes], maxIter=iterations, seed=seed, blockSize=128)
-
-
-def repeat_by_weight(df: DataFrame, weight: str = "weight", seed: int = 42) -> DataFrame:
-    """Rows repeated in proportion to their weight, for models without weights.
-
-    The least weight makes one copy; a fraction over whole copies becomes one more with
-    that probability.
-    """
-    least = df.agg(F.min(weight)).first()[0] or 1.0
-    copies = F.col(weight) / F.lit(float(least))
-    times = F.floor(copies) + (F.rand(seed) < copies - F.floor(copies)).cast("int")
-    return df.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.greatest(times.cast("int"), F.lit(1))))).drop("__copy")
+def perceptron(hidden=(64, 32), iterations: int = 100, seed: int = 42, **options):
+    """A network over the weighted rows; ``options`` are those of ``WeightedNetwork``."""
+    return lambda shape: WeightedNetwork(shape.inputs, shape.classes, tuple(hidden), iterations, seed=seed, **options)
 
 
 @dataclass
@@ -113,8 +103,7 @@ class Prepared:
         if callable(classifier):
             weight = self.ready.agg(F.sum("weight")).first()[0] or 1.0
             classifier = classifier(Shape(len(feature_names(self.ready)), labels, float(weight)))
-        ready = repeat_by_weight(self.ready) if isinstance(classifier, MultilayerPerceptronClassifier) else self.ready
-        return classifier.fit(ready)
+        return classifier.fit(self.ready)
 
 
 def prepare(df: DataFrame, cols: Columns, scale: bool = True, ordinal: bool = False, balance: bool = True, targets: bool = False, seed: int = 42) -> Prepared:

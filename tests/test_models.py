@@ -1,11 +1,13 @@
 import json
 
+import numpy as np
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from ledgerloom.models import clusters, evaluate, serve, train, trees
+from ledgerloom.models import clusters, evaluate, network, serve, train, trees
 from ledgerloom.models.features import AssetFeatures, CategoryCollapser, PopulationScaler, QuantileBinner, feature_names, matrix_stages
 from ledgerloom.sources import reports
 from ledgerloom.sources.columns import prune_features
@@ -202,7 +204,6 @@ def test_kmeans_search_finds_the_groups(spark):
 
 
 def test_many_starts_match_separate_fits(spark):
-    import numpy as np
     from pyspark.ml.clustering import KMeans
 
     rng = np.random.default_rng(1)
@@ -218,7 +219,6 @@ def test_many_starts_match_separate_fits(spark):
 
 @pytest.mark.parametrize("dims,block", [(2, 7), (20, 1000)])
 def test_silhouettes_equal_brute_force(spark, dims, block):
-    import numpy as np
 
     rng = np.random.default_rng(dims)
     points, ways = rng.normal(size=(60, dims)), [rng.integers(0, 3, 60), np.append(rng.integers(0, 2, 59), 7)]
@@ -236,7 +236,6 @@ def test_silhouettes_equal_brute_force(spark, dims, block):
 
 
 def test_latent_stage_is_fitted_on_training_rows(spark, tmp_path):
-    import numpy as np
 
     rng = np.random.default_rng(3)
     points = rng.normal(size=(80, 4)) * [5, 1, 0.1, 0.1]
@@ -396,3 +395,45 @@ def test_settings_of_the_reference():
     assert len(Q.LOGISTIC_GRID) == 10 and Q.FOLDS == 5
     assert (Q.FOREST, Q.BOOSTING["iterations"], Q.NETWORK["hidden"]) == ({"trees": 1200, "depth": 24}, 2500, (256, 128, 64))
     assert (list(Q.KMEANS["ks"]), Q.KMEANS["restarts"], Q.KMEANS["iterations"]) == (list(range(3, 11)), 20, 500)
+
+
+# ---- network ----------------------------------------------------------------
+
+def test_network_gradient_equals_finite_differences():
+    rng = np.random.default_rng(1)
+    sizes, x, y, weight = [4, 5, 3, 2], rng.normal(size=(20, 4)), rng.integers(0, 2, 20), rng.uniform(0.2, 3, 20)
+    flat = network.started(sizes, 2) + rng.normal(0, 0.1, len(network.started(sizes, 2)))
+    loss, gradient = network.loss_and_gradient(x, y, weight, flat, sizes)
+    for at in range(len(flat)):
+        moved = flat.copy()
+        moved[at] += 1e-6
+        assert (network.loss_and_gradient(x, y, weight, moved, sizes)[0] - loss) / 1e-6 == pytest.approx(gradient[at], abs=1e-3)
+
+
+def test_weight_counts_as_repeats():
+    rng = np.random.default_rng(2)
+    sizes, x, y = [3, 4, 2], rng.normal(size=(10, 3)), rng.integers(0, 2, 10)
+    flat, times = network.started(sizes, 1), rng.integers(1, 4, 10)
+    once = network.loss_and_gradient(x, y, times / 2, flat, sizes)
+    again = network.loss_and_gradient(np.repeat(x, times, axis=0), np.repeat(y, times), np.full(times.sum(), 0.5), flat, sizes)
+    assert once[0] == pytest.approx(again[0]) and once[1] == pytest.approx(again[1])
+
+
+def test_network_learns_in_bands_and_saves(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    rows = [(Vectors.dense(v), float((v[0] > 0) != (v[1] > 0)), 1.0, i) for i, v in enumerate(rng.uniform(-1, 1, (600, 2)).tolist())]
+    df = spark.createDataFrame(rows, ["features", "label", "weight", "digest"])
+    model = network.WeightedNetwork(2, 2, (16,), iterations=30, rate=0.05, batch_rows=250).fit(df)
+    model.save(f"{tmp_path}/network")
+    told = network.NetworkModel.load(f"{tmp_path}/network").transform(df)
+    assert told.filter("label = prediction").count() > 540
+    assert told.select(F.max(F.abs(F.aggregate(vector_to_array("probability"), F.lit(0.0), lambda a, x: a + x) - 1))).first()[0] < 1e-9
+
+
+def test_network_stops_when_kept_out_rows_get_worse(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(Vectors.dense(rng.normal(size=6).tolist()), float(rng.integers(0, 2)), 1.0, i) for i in range(80)]
+    steps, summed = [], network._summed
+    monkeypatch.setattr(network, "_summed", lambda *a: steps.append(1) or summed(*a))
+    network.WeightedNetwork(6, 2, (16,), iterations=60, rate=0.1, share=0.3, patience=3).fit(spark.createDataFrame(rows, ["features", "label", "weight", "digest"]))
+    assert 3 < len(steps) < 40

@@ -241,20 +241,37 @@ def test_cascade(spark):
 
 # ---- nearest neighbours -----------------------------------------------------
 
-@pytest.mark.parametrize("pivots", [1, 6])
-def test_knn_equals_brute_force(spark, pivots):
+@pytest.mark.parametrize("slab_rows, part, lot, size", [(1000, 64, 64, 3), (10, 7, 5, 3), (10, 4096, 4096, 2), (20, 7, 64, 9)])
+def test_knn_equals_brute_force(spark, monkeypatch, slab_rows, part, lot, size):
+    monkeypatch.setattr(knn, "PART", part)
+    monkeypatch.setattr(knn, "LOT", lot)
     rng = np.random.default_rng(3)
-    centres = rng.normal(0, 5, (5, 3))
-    points = [(i, [float(x) for x in centres[i % 5] + rng.normal(0, 1, 3)], str(i % 5)) for i in range(160)]
-    points += [(200 + i, points[i][1], "dup") for i in range(3)]
-    train = spark.createDataFrame(points, "id long, vector array<double>, label string")
-    queries = spark.createDataFrame([(1000 + i, [float(x) for x in rng.normal(0, 5, 3)]) for i in range(40)] + [(5000, points[7][1])], "id long, vector array<double>")
+    centres = rng.normal(0, 5, (5, size))
+    points = [(i, [float(x) for x in centres[i % 5] + rng.normal(0, 1, size)], str(i % 5)) for i in range(160)]
+    points += [(200 + i, points[i % 3][1], "dup") for i in range(60)]
+    train = spark.createDataFrame([*points, (900, None, "none")], "id long, vector array<double>, label string")
+    asked = [(1000 + i, [float(x) for x in rng.normal(0, 5, size)]) for i in range(40)] + [(5000, points[7][1]), (5001, points[1][1])]
+    queries = spark.createDataFrame([*asked, (5002, None)], "id long, vector array<double>")
     got = {}
-    for r in knn.knn_join(train, queries, 5, pivots=pivots).collect():
-        got.setdefault(r["id"], {})[r["place"]] = r["train_id"]
-    for q in queries.collect():
-        near = sorted((float(np.linalg.norm(np.array(q["vector"]) - np.array(p[1]))), p[0]) for p in points)[:5]
-        assert [got[q["id"]][i + 1] for i in range(5)] == [i for _, i in near]
+    for r in knn.knn_join(train, queries, 5, slab_rows=slab_rows).collect():
+        got.setdefault(r["id"], {})[r["place"]] = (r["train_id"], r["label"], r["distance"])
+    assert set(got) == {i for i, _ in asked}
+    for i, v in asked:
+        near = sorted((float(np.linalg.norm(np.array(v) - np.array(p[1]))), p[0], p[2]) for p in points)[:5]
+        assert [got[i][n][:2] for n in range(1, 6)] == [p[1:] for p in near]
+        assert [got[i][n][2] for n in range(1, 6)] == pytest.approx([p[0] for p in near])
+    assert knn.knn_join(train.limit(0), queries, 5).count() == 0 and knn.knn_join(train, queries.limit(0), 5).count() == 0
+    assert knn.knn_join(train.limit(3), queries.limit(1), 5).count() == 3
+
+
+def test_prefix_distance_is_a_lower_bound():
+    rng = np.random.default_rng(4)
+    points = rng.normal(0, 3, (300, 12)) @ rng.normal(0, 1, (12, 12))
+    slabs = knn._halved(points, 4)
+    prefix = slabs.prefixes(points)
+    far = np.linalg.norm(points[:, None] - points[None], axis=2)
+    assert (np.linalg.norm(prefix[:, None] - prefix[None], axis=2) <= far + 1e-9).all()
+    assert np.bincount(slabs.place(prefix), minlength=16).min() > 10
 
 
 def test_vote_prefers_exact_hits(spark):
