@@ -9,6 +9,12 @@ from ledgerloom.functions.text import clean_spaces
 
 # Accepted layouts, tried in order.
 ISO_LAYOUTS = ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd", "yyyy/MM/dd", "M/d/yyyy", "MMMM d, yyyy"]
+# With a fraction of a second, an offset from UTC, or both.
+OFFSET_LAYOUTS = ["yyyy-MM-dd HH:mm:ss[.SSSSSS]XXX", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"]
+FRACTION_LAYOUTS = ["yyyy-MM-dd HH:mm:ss.SSSSSS", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"]
+SHORT_YEAR_LAYOUTS = ["M/d/yy"]
+# Two-digit years from here on are of the century before.
+SHORT_YEAR_PIVOT = 2069
 DAY_FIRST_LAYOUTS = ["d/M/yyyy", "d.M.yyyy", "d-M-yyyy", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd"]
 
 
@@ -19,6 +25,16 @@ def parse_timestamp(c, layouts=None) -> Column:
     return F.coalesce(*tries).cast("timestamp_ntz")
 
 
+def parse_lenient(c) -> Column:
+    """As ``parse_timestamp``, and also fractions of a second, offsets (read as UTC) and two-digit years."""
+    text = clean_spaces(c)
+    read = lambda layout: F.try_to_timestamp(text, F.lit(layout))
+    offsets = [F.to_utc_timestamp(read(layout), F.current_timezone()).cast("timestamp_ntz") for layout in OFFSET_LAYOUTS]
+    years = F.coalesce(*map(read, SHORT_YEAR_LAYOUTS)).cast("timestamp_ntz")
+    years = F.when(F.year(years) >= SHORT_YEAR_PIVOT, years - F.make_ym_interval(F.lit(100))).otherwise(years)
+    return F.coalesce(parse_timestamp(c), *[read(layout).cast("timestamp_ntz") for layout in FRACTION_LAYOUTS], *offsets, years)
+
+
 def parse_day_first(c) -> Column:
     """Day before month where both readings are possible."""
     return parse_timestamp(c, DAY_FIRST_LAYOUTS)

@@ -89,10 +89,10 @@ class MacroF1(Evaluator):
         return True
 
 
-def fold_summary(folds: DataFrame, metrics) -> DataFrame:
-    """``metric, mean, std, min, max`` over fold rows (population deviation)."""
-    long = folds.unpivot([], list(metrics), "metric", "value")
-    return long.groupBy("metric").agg(
+def fold_summary(folds: DataFrame, metrics, by=()) -> DataFrame:
+    """``metric, mean, std, min, max`` over fold rows (population deviation), for each value of ``by``."""
+    long = folds.unpivot(list(by), list(metrics), "metric", "value")
+    return long.groupBy(*by, "metric").agg(
         F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max")
     )
 
@@ -213,6 +213,16 @@ def uplift(before: DataFrame, after: DataFrame) -> DataFrame:
     return b.join(a, ["model", "metric"]).withColumn("points", (F.col("after") - F.col("before")) * 100.0)
 
 
+def feature_shrinkage(before: DataFrame, after: DataFrame) -> DataFrame:
+    """``model, before, after, removed``: features that each model uses in two runs, given as ``model, feature``.
+
+    A model without features left has 0 after; one that only the later run has is not compared.
+    """
+    count = lambda df, name: df.groupBy("model").agg(F.count_distinct("feature").alias(name))
+    both = count(before, "before").join(count(after, "after"), "model", "left").withColumn("after", F.coalesce("after", F.lit(0).cast("long")))
+    return both.withColumn("removed", F.col("before") - F.col("after"))
+
+
 def search_trace(log: DataFrame, by=(), trial: str = "trial", score: str = "score") -> DataFrame:
     """Adds ``best_so_far`` and the ``baseline`` (first trial) to a search log.
 

@@ -27,9 +27,9 @@ from pyspark.sql import functions as F
 from ledgerloom.session import cut_lineage
 
 #: Rows wanted in a slab, and at most held of a slab in one task.
-SLAB, PART = 4096, 16384
+SLAB, PART = 1024, 16384
 #: Visitors of a slab in one task.
-LOT = 32768
+LOT = 8192
 #: Slabs are halved from so many rows at most (least digest of the id), so often at most.
 SAMPLE_ROWS, HALVINGS = 16384, 12
 DIRECTIONS = 4

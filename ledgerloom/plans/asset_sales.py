@@ -16,7 +16,7 @@ from ledgerloom.functions import dates, rules, text
 from ledgerloom.functions import features as fx
 from ledgerloom.models import serve, train
 from ledgerloom.models.features import AssetFeatures
-from ledgerloom.operators import dedup, filters, impute, match, outliers, ranking, split
+from ledgerloom.operators import dedup, filters, impute, match, outliers, ranking, split, watch
 from ledgerloom.operators.order_stats import medians_of
 from ledgerloom.plans import values as v
 from ledgerloom.session import cut_lineage
@@ -258,10 +258,11 @@ def _profile(df: DataFrame, report: StepReport) -> DataFrame:
 def load(prepared: Prepared, folder: str) -> tuple[DataFrame, DataFrame]:
     """Write the cleaned table, its split and the report; give back train and test."""
     learn, held_out = split.train_test(prepared.table, [ROW], v.TEST_SHARE, v.SEED)
-    prepared.report.add("rows", "train", learn.count())
-    prepared.report.add("rows", "test", held_out.count())
+    counted = watch.Watch()
     for name, frame in [("cleaned", prepared.table), ("train", learn), ("test", held_out)]:
-        tables.write_table(frame, f"{folder}/{name}")
+        tables.write_table(counted.rows(frame, name), f"{folder}/{name}")
+    for name, _, rows in counted.facts()[1:]:
+        prepared.report.add("rows", name, rows)
     write_report(prepared.report.to_df(learn.sparkSession), f"{folder}/report")
     return learn, held_out
 

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ledgerloom.functions import dates
 from ledgerloom.functions import features as fx
 from ledgerloom.models import evaluate
-from ledgerloom.operators import dedup, filters, impute, order_stats, outliers, profile, split
+from ledgerloom.operators import dedup, filters, impute, order_stats, outliers, profile, split, watch
 from ledgerloom.plans import views
 from ledgerloom.plans.registry import query, table
 from ledgerloom.session import cut_lineage
@@ -351,8 +352,28 @@ def rename_and_drop(spark, d):
 SELECT 'input' AS step, count(*) AS rows, count(price) AS filled FROM copied UNION ALL SELECT 'distinct', count(*), count(price) FROM a
 UNION ALL SELECT 'required', count(*), count(price) FROM a WHERE status IS NOT NULL""")
 def step_report(spark, d):
-    c = views.copied_orders(spark, d)
-    distinct = dedup.drop_full_duplicates(c, "row_id")
-    steps = {"input": c, "distinct": distinct, "required": filters.drop_null(distinct, "status")}
-    parts = [f.agg(F.lit(n).alias("step"), F.count(F.lit(1)).alias("rows"), F.count("price").alias("filled")) for n, f in steps.items()]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """The steps run once; their rows are counted as they pass."""
+    w = watch.Watch()
+    distinct = w.rows(dedup.drop_full_duplicates(w.rows(views.copied_orders(spark, d), "input", ["price"]), "row_id"), "distinct", ["price"])
+    w.rows(filters.drop_null(distinct, "status"), "required", ["price"]).write.format("noop").mode("overwrite").save()
+    found = w.to_df(spark)
+    pick = lambda metric: F.max(F.when(F.col("metric") == metric, F.col("value")))
+    return found.groupBy(F.col("section").alias("step")).agg(pick("rows").alias("rows"), pick("filled price").alias("filled"))
+
+
+@query("parse_losses", """SELECT 'dates' AS section, unnest(['read opened', 'lost opened', 'read amount', 'lost amount']) AS metric, unnest([count(*) FILTER (o_orderkey % 5 < 4), count(*) FILTER (o_orderkey % 5 = 4),
+  count(*) FILTER (o_orderkey % 3 > 0), count(*) FILTER (o_orderkey % 3 = 0)])::BIGINT AS value FROM orders""")
+def parse_losses(spark, d):
+    """What parsing failed to read, counted while the parsed table is written."""
+    o, k = table(spark, d, "orders"), F.col("o_orderkey") % 5
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    spelled = (
+        F.when(k == 0, F.concat(day, F.lit(" 10:00:00.25"))).when(k == 1, F.concat(day, F.lit("T10:00:00+02:00")))
+        .when(k == 2, F.date_format("o_orderdate", "M/d/yy")).when(k == 3, day).otherwise(F.lit("next week"))
+    )
+    amount = F.when(F.col("o_orderkey") % 3 == 0, F.lit("n/k")).otherwise(F.col("o_totalprice").cast("string"))
+    rows = o.select("o_orderkey", spelled.alias("opened_text"), amount.alias("amount_text"))
+    w = watch.Watch()
+    parsed = w.parsed(rows, "dates", {"opened": dates.parse_lenient("opened_text"), "amount": F.expr("try_cast(amount_text AS DOUBLE)")}, {"opened": "opened_text", "amount": "amount_text"})
+    parsed.write.format("noop").mode("overwrite").save()
+    return w.to_df(spark)

@@ -413,6 +413,21 @@ def uplift(spark, d):
     return u.select("model", "metric", F.round("before", 8).alias("before"), F.round("after", 8).alias("after"), F.round("points", 6).alias("points"))
 
 
+@query("cv_stability", f"""WITH {RUNS} SELECT model, round(avg(score), 8) AS mean, round(stddev_pop(score), 8) AS std FROM runs GROUP BY 1""")
+def cv_stability(spark, d):
+    s = evaluate.fold_summary(_runs(spark, d), ["score"], by=["model"])
+    return s.select("model", F.round("mean", 8).alias("mean"), F.round("std", 8).alias("std"))
+
+
+@query("feature_shrinkage", """WITH f AS (SELECT event_type AS model, user_id % 50 AS feature, sum(value) AS worth FROM events GROUP BY 1, 2),
+  m AS (SELECT model, avg(worth) AS usual FROM f GROUP BY 1)
+SELECT model, count(*) AS before, count(*) FILTER (worth > usual) AS after, count(*) FILTER (NOT worth > usual) AS removed FROM f JOIN m USING (model) GROUP BY 1""")
+def feature_shrinkage(spark, d):
+    worth = table(spark, d, "events").groupBy(F.col("event_type").alias("model"), (F.col("user_id") % 50).alias("feature")).agg(F.sum("value").alias("worth"))
+    usual = worth.groupBy("model").agg(F.avg("worth").alias("usual"))
+    return evaluate.feature_shrinkage(worth, worth.join(usual, "model").filter("worth > usual"))
+
+
 @query("per_class_f1", f"""WITH {PREDICTIONS}, {_report_sql('o_orderstatus')}, l AS (SELECT DISTINCT label FROM f), k AS (SELECT DISTINCT o_orderstatus FROM orders)
 SELECT l.label, k.o_orderstatus AS model, round(coalesce(f1, 0), 8) AS f1 FROM l CROSS JOIN k LEFT JOIN f ON f.label = l.label AND f.o_orderstatus = k.o_orderstatus""")
 def per_class_f1(spark, d):

@@ -92,6 +92,40 @@ def read_metrics(spark: SparkSession, paths: dict[str, str], cv_paths: dict[str,
     return test_rows.unionByName(cv_rows)
 
 
+def _cv_parts(schema: T.StructType, root: str, metric: str) -> tuple[Column, Column] | None:
+    """Mean and deviation of a metric: a block of both, two fields with suffixes, or a bare mean."""
+    nothing = F.lit(None).cast("double")
+    block = _fields(schema, root, metric)
+    if isinstance(block, T.StructType):
+        mean, std = ([root, metric, part] if part in block.names else None for part in ("mean", "std"))
+    else:
+        mean, std = ([root, f"{metric}_{part}"] if _fields(schema, root, f"{metric}_{part}") is not None else None for part in ("mean", "std"))
+    number = lambda path: nothing if path is None else F.col(".".join(path)).cast("double")
+    bare = nothing if block is None or isinstance(block, T.StructType) else F.col(f"{root}.{metric}").cast("double")
+    return None if mean is None and block is None else (F.coalesce(number(mean), bare), number(std))
+
+
+def read_cv(spark: SparkSession, paths: dict[str, str], cv_paths: dict[str, str] | None = None) -> DataFrame:
+    """``model, metric, mean, std`` of the cross-validation block of metric artefacts.
+
+    The block is ``cv_summary`` if it is one, else ``summary`` of the sibling file. A metric is a block of
+    ``mean`` and ``std``, fields ``<metric>_mean`` and ``<metric>_std``, or a bare mean; an absent deviation
+    counts as 0, a metric without a mean has no row.
+    """
+    empty = spark.createDataFrame([], "model string, metric string, mean double, std double")
+    for model, path in paths.items():
+        doc, root = spark.read.option("multiLine", True).json(path), "cv_summary"
+        if not isinstance(_fields(doc.schema, root), T.StructType):
+            if not cv_paths or model not in cv_paths:
+                continue
+            doc, root = spark.read.option("multiLine", True).json(cv_paths[model]), "summary"
+        for metric in METRICS:
+            parts = _cv_parts(doc.schema, root, metric)
+            if parts is not None:
+                empty = empty.unionByName(doc.select(F.lit(model).alias("model"), F.lit(metric).alias("metric"), parts[0].alias("mean"), F.coalesce(parts[1], F.lit(0.0)).alias("std")))
+    return empty.filter("mean IS NOT NULL")
+
+
 def save_model(model, path: str, metadata: dict | None = None) -> None:
     """Model folder plus its metadata as one JSON row next to it."""
     model.write().overwrite().save(path)

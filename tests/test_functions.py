@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import dates, rules, text
 from ledgerloom.functions import features as fx
 from ledgerloom.functions.similarity import lcs_length, sorted_similarity
+from ledgerloom.operators import watch
 from ledgerloom.plans import values
 from ledgerloom.sources import columns
 
@@ -121,3 +122,14 @@ def test_feature_groups_sizes(spark):
     groups = [values.FEATURE_GROUPS[g] for g in values.FEATURE_MODES["full"]]
     assert len(columns.pick_features(df, groups)) == 52
     assert len(columns.pick_features(df, groups, dropped=values.PRUNED_AWAY)) == 33
+
+
+def test_lenient_dates_and_their_losses(spark):
+    texts = ["2024-03-01 10:11:12.5", "2024-03-01T10:11:12.123456", "2024-03-01T10:11:12+02:00", "2024-03-01 10:11:12.25Z", "3/1/99", "3/1/24", "03/01/2024", "soon", " ", None]
+    want = ["2024-03-01 10:11:12.5", "2024-03-01 10:11:12.123456", "2024-03-01 08:11:12", "2024-03-01 10:11:12.25", "1999-03-01 00:00:00", "2024-03-01 00:00:00", "2024-03-01 00:00:00", None, None, None]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").coalesce(1)
+    w = watch.Watch()
+    rows = w.parsed(w.rows(df, "input", ["t"]), "dates", {"day": dates.parse_lenient("t")}, {"day": "t"}).orderBy("i").collect()
+    assert [None if r["day"] is None else str(r["day"]).rstrip("0") if "." in str(r["day"]) else str(r["day"]) for r in rows] == want
+    assert rows[0].asDict().keys() == {"i", "t", "day"}
+    assert w.facts() == [("input", "rows", 10), ("input", "filled t", 9), ("dates", "read day", 7), ("dates", "lost day", 1)]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.models import clusters, evaluate, network, serve, train, trees
 from ledgerloom.models.features import AssetFeatures, CategoryCollapser, PopulationScaler, QuantileBinner, feature_names, matrix_stages
-from ledgerloom.sources import reports
+from ledgerloom.sources import reports, results
 from ledgerloom.sources.columns import prune_features
 
 # A published 8-class confusion matrix and the metrics published with it.
@@ -389,6 +389,44 @@ def test_metric_artefacts_of_three_layouts(spark, tmp_path):
     assert got[("held", "test", "accuracy")] == 0.3
 
 
+def test_cross_validation_artefacts(spark, tmp_path):
+    docs = {
+        "nested": {"cv_summary": {"macro_f1": {"mean": 0.6, "std": 0.1}, "accuracy": {"mean": 0.7}}},
+        "suffixed": {"cv_summary": {"macro_f1_mean": 0.5, "macro_f1_std": 0.02, "weighted_f1": 0.4}},
+        "sibling": {"accuracy": 0.9}, "none": {"cv_summary": "see elsewhere"},
+    }
+    paths = {name: str(tmp_path / f"{name}.json") for name in docs}
+    for name, doc in docs.items():
+        (tmp_path / f"{name}.json").write_text(json.dumps(doc, indent=1))
+    (tmp_path / "cv.json").write_text(json.dumps({"summary": {"macro_f1": {"mean": 0.45, "std": 0.03}}}))
+    got = {(r["model"], r["metric"]): (r["mean"], r["std"]) for r in reports.read_cv(spark, paths, {"sibling": str(tmp_path / "cv.json")}).collect()}
+    assert got == {
+        ("nested", "macro_f1"): (0.6, 0.1), ("nested", "accuracy"): (0.7, 0.0), ("suffixed", "macro_f1"): (0.5, 0.02),
+        ("suffixed", "weighted_f1"): (0.4, 0.0), ("sibling", "macro_f1"): (0.45, 0.03),
+    }
+
+
+def test_shrinkage_counts_features(spark):
+    before = spark.createDataFrame([("a", "x"), ("a", "y"), ("a", "y"), ("b", "x")], "model string, feature string")
+    got = evaluate.feature_shrinkage(before, before.filter("feature = 'y'")).orderBy("model").collect()
+    assert [tuple(r) for r in got] == [("a", 2, 1, 1), ("b", 1, 0, 1)]
+
+
+def test_result_sinks(spark, tmp_path):
+    rows = [(1, "a", "a", Vectors.dense([0.9, 0.1]), [1, 2], 3), (2, "b", "a", Vectors.dense([0.6, 0.4]), [], 4), (3, None, "a", Vectors.dense([0.5, 0.5]), None, 4)]
+    df = spark.createDataFrame(rows, ["id", "truth", "predicted", "probability", "tags", "cluster"])
+    results.write_predictions(df, f"{tmp_path}/predictions", "truth", probability="probability")
+    got = spark.read.option("header", True).csv(f"{tmp_path}/predictions").orderBy("id").collect()
+    assert [(r["truth"], r["predicted_label"], r["is_correct"], float(r["prediction_confidence"]), r["tags"]) for r in got] == [
+        ("a", "a", "true", 0.9, "[1,2]"), ("b", "a", "false", 0.6, "[]"), (None, "a", "false", 0.5, None)]
+    results.write_assignments(df, f"{tmp_path}/assignments")
+    assert spark.read.option("header", True).csv(f"{tmp_path}/assignments").filter("cluster_id = 4").count() == 2
+    results.write_importance(spark.createDataFrame([("x", 0.2), ("y", 0.8)], "feature string, importance double"), f"{tmp_path}/importance")
+    assert [r["feature"] for r in spark.read.option("header", True).csv(f"{tmp_path}/importance").collect()] == ["y", "x"]
+    results.write_latent(df.select("id", F.col("probability").alias("z"), F.lit("train").alias("split")), f"{tmp_path}/latent")
+    assert spark.read.parquet(f"{tmp_path}/latent").filter("split = 'train' AND size(z) = 2").count() == 3
+
+
 def test_settings_of_the_reference():
     from ledgerloom.plans import q_models as Q
 
