@@ -1,18 +1,25 @@
 """Language-model scoring by cross-entropy difference.
 
-Target and background models are matched: both count the same words and word pairs (one
-vocabulary over the whole corpus), the background's counts are scaled to the target's
-size, and both are smoothed by ``SMOOTHING``. The loss of a token mixes its word and its
-pair log-linearly; a document's score is the mean over its tokens of background loss
-minus target loss, so higher means closer to the target. A document's own counts are
-left out of both models.
+A text is its words, then an end mark; before the first stands a begin mark. Target and
+background models are matched: over one vocabulary, with the background's counts scaled to
+the target's size, each has a word model and a model of a word given the one before,
+
+    P(w) = (c(w) + a) / (N + a V)        P(w | v) = (c(v w) + a) / (c(v) + a V)
+
+with ``a`` the ``SMOOTHING`` and ``V`` the vocabulary size that smoothing reckons with. The
+loss of a token is the mean of its two cross-entropies, weighted by ``PAIR_WEIGHT``; a
+document's score is the mean over its tokens of background loss minus target loss, so
+higher means closer to the target. A document's own counts are left out of both models.
+
+Logarithms of numerators and denominators add up apart, so each count is used where it is
+known: ``c(v)`` with all occurrences of the word ``v``, never beside its pairs.
 
 Counts are exact and grow with the corpus. Every slice sends the grams of each bucket,
 sorted, with document numbers and frequencies; a bucket thus sees all occurrences of its
 grams, counts them and adds each document's share. Grams with a large share of all (a
 proven bound of eight for each partition) are counted map-side and scored in a map pass.
 
-Defined results: NULL and empty texts score 0 with 0 tokens; NULL targets count as
+Defined results: ``n_tokens`` counts words; NULL and empty texts score 0 with 0 tokens; NULL targets count as
 background; rows with NULL ids count for the models and have no result; rows that share an
 id leave out their own counts each and get one score; an empty table gives an empty one.
 """
@@ -30,23 +37,32 @@ from ledgerloom.llm.words import Words, chain, mix, slices
 
 SMOOTHING = 0.5
 PAIR_WEIGHT = 0.5
+VOCABULARY = 1 << 17
 BUCKETS_PER_PARTITION = 4
 PACKED_BYTES = 4_000_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _PAIR = np.uint64(0xA5A5A5A5A5A5A5A5)
+_BEGIN, _END = np.uint64(0x5BD1E995973A1F27), np.uint64(0x27D4EB2F165667C5)
 
 
 def _grams(texts: pa.Array):
-    """All grams of some texts: hash (lowest bit 1 for pairs), and the text of each; words of each text."""
+    """All grams of some texts: hash (lowest bit 1 for pairs, marks included), and the text of each; words of each text."""
     words = Words(texts)
     words.data = _LOWER[words.data]
     single = words.hashes()
-    inside = words.text[1:] == words.text[:-1]
-    pair = (chain(single, 2) ^ _PAIR)[inside]
+    count = np.diff(words.first)
+    worded = np.flatnonzero(count)
+    # Each text with words between its marks.
+    place = np.arange(len(single)) + 2 * np.searchsorted(worded, words.text) + 1
+    marked, owner = np.full(len(single) + 2 * len(worded), _END), np.repeat(worded, count[worded] + 2)
+    marked[place] = single
+    marked[words.first[worded] + 2 * np.arange(len(worded))] = _BEGIN
+    inside = owner[1:] == owner[:-1]
+    pair = (chain(marked, 2) ^ _PAIR)[inside]
     one = np.uint64(1)
-    return np.concatenate([single & ~one, mix(pair) | one]), np.concatenate([words.text, words.text[1:][inside]]), np.diff(words.first)
+    return np.concatenate([single & ~one, mix(pair) | one]), np.concatenate([words.text, owner[1:][inside]]), count
 
 
 def _bag(gram: np.ndarray, text: np.ndarray):
@@ -60,17 +76,18 @@ def _bag(gram: np.ndarray, text: np.ndarray):
     return gram[at], text[at], np.diff(np.append(at, len(gram)))
 
 
-def _difference(target, background, own_target, own_all, scale):
-    """Background loss minus target loss of a gram, without the document's own counts."""
-    return np.log((target - own_target + SMOOTHING) / ((background - own_all) * scale + SMOOTHING))
-
-
-def _weight(gram: np.ndarray) -> np.ndarray:
-    return np.where(gram & np.uint64(1), PAIR_WEIGHT, 1 - PAIR_WEIGHT)
+def score(df: DataFrame, target: Column, id_column: str = "doc_id", text: str = "text", vocabulary: int = VOCABULARY) -> DataFrame:
+    """``(id, n_tokens, score)`` of every document; ``target`` marks the rows of the target corpus."""
+    def difference(target_n, all_n, own_target, own_all, added):
+        """Logarithm of the target's count to the background's, without the document's own."""
+        return np.log((target_n - own_target + added) / ((all_n - own_all) * scale + added))
 
+    def share(gram, tf, target_n, all_n, own_target):
+        """What a gram that a document has ``tf`` times adds to its score: a pair as one seen, a word as one seen and one before."""
+        seen = difference(target_n, all_n, own_target, tf, SMOOTHING)
+        before = difference(target_n, all_n, own_target, tf, SMOOTHING * vocabulary)
+        return tf * np.where(gram & np.uint64(1), PAIR_WEIGHT * seen, (1 - PAIR_WEIGHT) * seen - PAIR_WEIGHT * before)
 
-def score(df: DataFrame, target: Column, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(id, n_tokens, score)`` of every document; ``target`` marks the rows of the target corpus."""
     spark = df.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = partitions * BUCKETS_PER_PARTITION
@@ -87,19 +104,21 @@ def score(df: DataFrame, target: Column, id_column: str = "doc_id", text: str =
                 at, flag = at[hit], goal[owner[hit]]
                 size = len(heavy)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.arange(-1, size), pa.int64()),
-                    pa.array(np.append(n[goal].sum(), np.bincount(at[flag], minlength=size)).astype(np.int64)),
-                    pa.array(np.append(n.sum(), np.bincount(at, minlength=size)).astype(np.int64)),
+                    pa.array(np.arange(-2, size), pa.int64()),
+                    pa.array(np.concatenate([[(n[goal] > 0).sum(), n[goal].sum()], np.bincount(at[flag], minlength=size)]).astype(np.int64)),
+                    pa.array(np.concatenate([[(n > 0).sum(), n.sum()], np.bincount(at, minlength=size)]).astype(np.int64)),
                 ], names=["gram", "t", "b"])
 
     counted = docs.mapInArrow(totals, "gram long, t long, b long").groupBy("gram").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
     known = {r["gram"]: (r["t"], r["b"]) for r in counted.collect()}
-    n_target, n_all = known.get(-1, (0, 0))
+    ends_target, ends_all = known.get(-2, (0, 0))
+    # Tokens: the words and the end marks.
+    n_target, n_all = (w + e for w, e in zip(known.get(-1, (0, 0)), (ends_target, ends_all)))
     scale = n_target / n_all if n_all else 1.0
     heavy_counts = np.array([known[i] for i in range(len(heavy))] if known else [], np.float64).reshape(-1, 2)
 
     def lone(batches):
-        """Token counts and the part of the score that heavy grams give."""
+        """Counts of words and tokens, and the part of the score that marks, sizes of the models and heavy grams give."""
         for batch in batches:
             for part in slices(batch, "text", PACKED_BYTES):
                 gram, owner, n = _grams(part.column("text"))
@@ -107,9 +126,12 @@ def score(df: DataFrame, target: Column, id_column: str = "doc_id", text: str =
                 hit = np.isin(gram, heavy)
                 gram, owner, tf = _bag(gram[hit], owner[hit])
                 counts = heavy_counts[np.searchsorted(heavy, gram)] if len(gram) else np.zeros((0, 2))
-                part_score = _weight(gram) * tf * _difference(counts[:, 0], counts[:, 1], tf * goal[owner], tf, scale)
-                yield pa.RecordBatch.from_arrays([
-                    part.column("id"), pa.array(n, pa.int64()), pa.array(np.bincount(owner, part_score, len(n)).astype(np.float64))], names=["id", "n", "s"])
+                part_score = np.bincount(owner, share(gram, tf, counts[:, 0], counts[:, 1], tf * goal[owner]), len(n)).astype(np.float64)
+                worded = np.flatnonzero(n)
+                tokens, own = n[worded] + 1, goal[worded].astype(np.int64)
+                part_score[worded] += (1 - PAIR_WEIGHT) * difference(ends_target, ends_all, own, 1, SMOOTHING) - PAIR_WEIGHT * difference(ends_target, ends_all, own, 1, SMOOTHING * vocabulary)
+                part_score[worded] -= (1 - PAIR_WEIGHT) * tokens * difference(n_target, n_all, own * tokens, tokens, SMOOTHING * vocabulary)
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(n, pa.int64()), pa.array(n + (n > 0), pa.int64()), pa.array(part_score)], names=["id", "n", "e", "s"])
 
     def send(batches):
         squeeze = zstandard.ZstdCompressor(level=1).compress
@@ -156,7 +178,7 @@ def score(df: DataFrame, target: Column, id_column: str = "doc_id", text: str =
         group = np.concatenate([[0], np.cumsum(gram[1:] != gram[:-1])])
         own_target = tf * (goal & 1)
         target_n, all_n = np.bincount(group, own_target), np.bincount(group, tf)
-        part_score = _weight(gram) * tf * _difference(target_n[group], all_n[group], own_target, tf, scale)
+        part_score = share(gram, tf, target_n[group], all_n[group], own_target)
         named = goal < 2
         docs_, at = np.unique(doc[named], return_inverse=True)
         return docs_, np.bincount(at, part_score[named], len(docs_)).astype(np.float64)
@@ -195,7 +217,7 @@ def score(df: DataFrame, target: Column, id_column: str = "doc_id", text: str =
         def total():
             ids, at = np.unique(np.concatenate([np.frombuffer(i, np.int64) for i, _ in held]), return_inverse=True)
             part_score = np.bincount(at, np.concatenate([np.frombuffer(s, np.float64) for _, s in held]), len(ids))
-            return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.zeros(len(ids), np.int64)), pa.array(part_score)], names=["id", "n", "s"])
+            return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.zeros(len(ids), np.int64)), pa.array(np.zeros(len(ids), np.int64)), pa.array(part_score)], names=["id", "n", "e", "s"])
 
         for batch in batches:
             for key, *row in zip(*[c.to_pylist() for c in batch.columns]):
@@ -211,8 +233,8 @@ def score(df: DataFrame, target: Column, id_column: str = "doc_id", text: str =
     sent = docs.mapInArrow(send, "bucket int, grams binary, repeats binary, at binary, tf binary, ids binary, flags binary")
     shares = sent.repartition(partitions, "bucket").sortWithinPartitions("bucket").mapInArrow(add_up, "docs int, ids binary, sums binary")
     # The parts of a document's score come from all tasks; they travel as arrays by document.
-    shares = shares.repartition(partitions, "docs").sortWithinPartitions("docs").mapInArrow(per_document, "id long, n long, s double")
-    alone = docs.mapInArrow(lone, "id long, n long, s double").filter("id IS NOT NULL")
-    summed = alone.unionByName(shares).groupBy("id").agg(F.sum("n").alias("n_tokens"), F.sum("s").alias("s"))
-    mean = F.when(F.col("n_tokens") > 0, F.round(F.col("s") / F.col("n_tokens"), 9)).otherwise(F.lit(0.0))
+    shares = shares.repartition(partitions, "docs").sortWithinPartitions("docs").mapInArrow(per_document, "id long, n long, e long, s double")
+    alone = docs.mapInArrow(lone, "id long, n long, e long, s double").filter("id IS NOT NULL")
+    summed = alone.unionByName(shares).groupBy("id").agg(F.sum("n").alias("n_tokens"), F.sum("e").alias("e"), F.sum("s").alias("s"))
+    mean = F.when(F.col("e") > 0, F.round(F.col("s") / F.col("e"), 9)).otherwise(F.lit(0.0))
     return summed.select(F.col("id").alias(id_column), "n_tokens", mean.alias("score"))
