@@ -160,9 +160,11 @@ def _map_statistics(df: DataFrame, keep: list[str], finish, tail: str) -> DataFr
 def fit(docs: DataFrame, labels: DataFrame, label: str, held_out, id_column: str = "doc_id", text: str = "text", rows: int = FIT_ROWS) -> Trees:
     """Trees for ``label`` from at most ``rows`` labelled documents outside the held-out part."""
     sample = labelled_sample(labels, label, held_out, id_column, rows)
-    chosen = sampled_texts(docs, sample, id_column, text)
-    found = _map_statistics(chosen, ["id", "y"], lambda x: [pa.array(list(x), pa.list_(pa.float64()))], "x array<double>").toPandas()
-    found = found.sort_values("id", kind="stable")
+    plain = docs.select(docs[f"`{id_column}`"].cast("long").alias("id"), docs[f"`{text}`"].alias("text"))
+    # The sample is bounded by `rows`, 16 bytes each. Statistics are taken where the texts are; of several texts of an id, the least hash counts.
+    chosen = plain.join(F.broadcast(sample), "id").withColumn("print", F.xxhash64("text"))
+    taken = _map_statistics(chosen, ["id", "y", "print"], lambda x: [pa.array(list(x), pa.list_(pa.float64()))], "x array<double>")
+    found = taken.groupBy("id", "y").agg(F.min(F.struct("print", "x")).alias("m")).select("id", "y", "m.x").toPandas().sort_values("id", kind="stable")
     x = np.array(found["x"].tolist(), np.float64).reshape(len(found), len(STATISTICS))
     return fit_trees(x, found["y"].to_numpy(np.float64))
 
