@@ -134,18 +134,26 @@ def buyer_rows(spark, folder, misspelt: bool = False) -> DataFrame:
 
 
 _FIRM, _OWNER = firm_name_sql("o_custkey", "b"), firm_name_sql("o_custkey", "o")
-BUYERS = f"""buyers AS (
+
+
+def buyers_sql(misspelt: bool = False) -> str:
+    dropped = f"substr({_FIRM}, 1, 3) || substr({_FIRM}, 5, 40) || ' shpk'"
+    swapped = f"split_part({_FIRM}, ' ', 2) || ' shpk ' || split_part({_FIRM}, ' ', 1)"
+    return f"""buyers AS (
   SELECT o_orderkey, CASE o_orderkey % 7
     WHEN 0 THEN {_FIRM} || ' SH.P.K'
     WHEN 1 THEN translate(upper({_FIRM}), 'EU', 'ËÜ') || ' Sh.p.k.'
     WHEN 2 THEN {_OWNER}
     WHEN 3 THEN 'Nobody & Sons, ' || {_FIRM} || ' shpk dhe ' || {_OWNER}
     WHEN 4 THEN 'unknown ' || md5(CAST(o_orderkey AS VARCHAR))
-    WHEN 5 THEN '  ' || {_FIRM} || '/shpk '
-    ELSE {_OWNER} END AS buyer
+    WHEN 5 THEN {dropped if misspelt else f"'  ' || {_FIRM} || '/shpk '"}
+    ELSE {swapped if misspelt else _OWNER} END AS buyer
   FROM orders)"""
 
 
+BUYERS = buyers_sql()
+
+
 def norm_sql(text: str) -> str:
     """The comparable form of a name, in SQL."""
     s = f"strip_accents(lower(trim(coalesce({text}, ''))))"
