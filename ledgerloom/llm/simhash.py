@@ -13,9 +13,10 @@ joined by alternating large-star and small-star rounds over written tables.
 
 ``keep_one`` keeps one row of each component, by the same fingerprints and links.
 
-Defined results: NULL and empty texts have fingerprint zero and link to each other; a
-row with NULL id has a fingerprint, NULL as component, and links nothing; repeated rows
-stand in one component; an empty table gives an empty one.
+Defined results: NULL and empty texts have fingerprint zero and link to each other; links
+are between fingerprints, so rows that share an id but not their text may stand in different
+components; a row with NULL id links like any other and has NULL as component; an empty
+table gives an empty one.
 """
 
 from __future__ import annotations
@@ -237,9 +238,12 @@ def _deal(keyed: DataFrame, anew, bucket: int) -> DataFrame:
 def near_duplicates(df: DataFrame, id_column: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """Of each row: the id, its fingerprint (16 hex digits) and the least id of its component."""
     prints = cut_lineage(fingerprint_table(df, id_column, text, shingle))
-    distinct = cut_lineage(prints.filter("id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("rep")))
-    roots = components(fingerprint_links(distinct, radius))
-    named = distinct.join(roots, distinct["rep"] == roots["id"], "left").select("fp", F.coalesce("root", "rep").alias("component"))
+    # Fingerprints are the places of the graph: ids may be shared by rows of different texts.
+    distinct = cut_lineage(prints.groupBy("fp").agg(F.min("id").alias("first")).withColumn("rep", F.col("fp")))
+    roots = components(fingerprint_links(distinct, radius)).withColumnRenamed("id", "rep")
+    classes = distinct.join(roots, "rep", "left").select("fp", "first", F.coalesce("root", "rep").alias("class"))
+    least = classes.groupBy("class").agg(F.min("first").alias("component"))
+    named = classes.join(least, "class").select("fp", "component")
     out = prints.join(named, "fp", "left")
     return out.select(
         F.col("id").alias(id_column), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),

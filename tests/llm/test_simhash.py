@@ -74,6 +74,32 @@ def test_near_duplicates(spark):
     assert sorted(map(tuple, S.near_duplicates(df).collect()), key=str) == sorted(want, key=str)
 
 
+def changed(count):
+    return " ".join([f"q{i}" for i in range(count)] + [f"w{i}" for i in range(count, 300)])
+
+
+def apart(a, b):
+    return (fingerprint(a) ^ fingerprint(b)).bit_count()
+
+
+def test_links_are_between_fingerprints_and_not_between_ids(spark):
+    texts = [changed(n) for n in range(40)]
+    near, other = next((a, b) for a in texts for b in texts if 0 < apart(a, b) <= 2)
+    draw = random.Random(4)
+    two, three = (" ".join(f"w{draw.randint(0, 5000)}" for _ in range(80)) for _ in range(2))
+    # Id 7 has two texts that do not link; only one of them stands with id 3.
+    given = [(7, near, 3), (7, two, 7), (3, other, 3), (9, two, 7), (12, three, 12)]
+    got = S.near_duplicates(spark.createDataFrame([g[:2] for g in given], "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect())) == sorted((i, f"{fingerprint(t):016x}", c) for i, t, c in given)
+
+
+def test_rows_without_id_link_others(spark):
+    texts = [changed(n) for n in range(60)]
+    a, b, c = next((a, b, c) for a in texts for b in texts if 0 < apart(a, b) <= 2 for c in texts if 0 < apart(b, c) <= 2 < apart(a, c))
+    df = spark.createDataFrame([(1, a), (None, b), (2, c)], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in S.near_duplicates(df).collect()} == {1: 1, None: None, 2: 1}
+
+
 def test_keep_one(spark):
     given = rows()
     df = spark.createDataFrame(given, "doc_id long, text string, component_id int")
