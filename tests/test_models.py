@@ -1,4 +1,5 @@
 import json
+import random
 
 import numpy as np
 import pytest
@@ -475,3 +476,36 @@ def test_network_stops_when_kept_out_rows_get_worse(spark, monkeypatch):
     monkeypatch.setattr(network, "_summed", lambda *a: steps.append(1) or summed(*a))
     network.WeightedNetwork(6, 2, (16,), iterations=60, rate=0.1, share=0.3, patience=3).fit(spark.createDataFrame(rows, ["features", "label", "weight", "digest"]))
     assert 3 < len(steps) < 40
+
+
+def asked_by_row(fitted, ready, kind):
+    """What the model says when each row is asked by itself."""
+    return kind._transform(fitted, ready)
+
+
+@pytest.mark.parametrize("named", [False, True], ids=["continuous", "nominal"])
+def test_cells_of_a_forest_answer_as_its_rows(spark, named, monkeypatch):
+    from pyspark.ml.classification import RandomForestClassificationModel
+
+    rng = random.Random(8)
+    rows = [(i, rng.choice("abcde"), rng.gauss(0, 3), float(rng.randint(0, 6)), rng.choice("xyz")) for i in range(400)]
+    df = spark.createDataFrame(rows, "id int, cat string, amount double, year double, y string")
+    cols = train.Columns("y", ("cat",), ("amount", "year"), ("id",))
+    prepared = train.prepare(df, cols, ordinal=named)
+    model = prepared.train(trees.random_forest(trees=12, depth=8, parts=3))
+    told = lambda d: {r.digest: (r.p, r.r, r.prediction) for r in d.select("digest", vector_to_array("probability").alias("p"), vector_to_array("rawPrediction").alias("r"), "prediction").collect()}
+    want = told(asked_by_row(model, prepared.ready, RandomForestClassificationModel))
+    asked = []
+    ask = RandomForestClassificationModel._transform
+    monkeypatch.setattr(RandomForestClassificationModel, "_transform", lambda self, d: (asked.append(d.count()), ask(self, d))[1])
+    twice = prepared.ready.unionByName(prepared.ready)
+    got = model.transform(twice)
+    assert got.columns == [*prepared.ready.columns, "rawPrediction", "probability", "prediction"]
+    assert told(got) == want and got.count() == 800
+    assert 1 < len(set(map(str, want.values()))) <= asked[0] <= 400
+
+
+def test_thresholds_hold_all_categories_up_to_the_named_ones():
+    told = "If (feature 2 <= -1.5E-4)\n If (feature 0 in {1.0,3.0})\n Else (feature 0 not in {1.0,3.0})\nElse (feature 2 > -1.5E-4)\n If (feature 2 <= 7.0)"
+    assert trees.thresholds([told]) == {0: [0.0, 1.0, 2.0, 3.0], 2: [-1.5e-4, 7.0]}
+    assert trees.thresholds(["Predict: 0.0"]) == {}
