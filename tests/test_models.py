@@ -509,3 +509,16 @@ def test_thresholds_hold_all_categories_up_to_the_named_ones():
     told = "If (feature 2 <= -1.5E-4)\n If (feature 0 in {1.0,3.0})\n Else (feature 0 not in {1.0,3.0})\nElse (feature 2 > -1.5E-4)\n If (feature 2 <= 7.0)"
     assert trees.thresholds([told]) == {0: [0.0, 1.0, 2.0, 3.0], 2: [-1.5e-4, 7.0]}
     assert trees.thresholds(["Predict: 0.0"]) == {}
+
+
+def test_cells_of_boosted_models_answer_as_their_rows(spark):
+    from pyspark.ml.classification import OneVsRestModel
+
+    rng = random.Random(3)
+    rows = [(i, rng.choice("abcde"), rng.gauss(0, 3), rng.choice("xyz")) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, cat string, amount double, y string")
+    prepared = train.prepare(df, train.Columns("y", ("cat",), ("amount",), ("id",)), targets=True, scale=False)
+    model = prepared.train(trees.boosted_trees(iterations=4, depth=3))
+    told = lambda d: {r.digest: r.prediction for r in d.select("digest", "prediction").collect()}
+    got, want = told(model.transform(prepared.ready)), told(asked_by_row(model, prepared.ready, OneVsRestModel))
+    assert got == want and len(set(want.values())) > 1
