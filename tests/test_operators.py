@@ -204,6 +204,25 @@ def test_a_gram_dealt_over_a_grid_loses_no_pair(spark, monkeypatch):
     assert set(pairs) == want and len(pairs) == len(want) > 20
 
 
+def _broadcasts(df):
+    return [line.strip() for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "BroadcastExchange" in line]
+
+
+def test_sides_that_grow_are_not_broadcast(spark):
+    """However small the files are said to be; lists of grams, whose number is bounded, may be."""
+    names = spark.createDataFrame([("alfa trade", 0, "alfa trade"), ("drini", 0, "drini")], "name string, pos int, norm string")
+    keys = spark.createDataFrame([("alfa trade", 1, 1)], "norm string, reg_id int, last_id int")
+    registry = spark.createDataFrame([(1, "Alfa Trade")], "id int, business string")
+    hits = match.exact_tier(names, keys)
+    enriched = match.enrich(names, "name", hits.withColumn("field", F.lit("b")), registry, "id", {"found": F.col("business")}, {})
+    assert _broadcasts(hits) == _broadcasts(enriched) == []
+    assert sorted((r["name"], r["found"]) for r in enriched.collect()) == [("alfa trade", "Alfa Trade"), ("drini", "")]
+    pairs = match.fuzzy_pairs(names.select(F.col("norm").alias("a")), keys.select(F.col("norm").alias("b")), 88.0)
+    assert [(r["a"], r["b"]) for r in pairs.collect()] == [("alfa trade", "alfa trade")]
+    # The grams' cells and lengths alone, by their one key.
+    assert all("List(input[0, string" in line for line in _broadcasts(pairs))
+
+
 def test_numbering_ignores_gaps(spark):
     df = spark.range(500).select((F.col("id") * 1_000_003).alias("o"))
     got = ranking.number_rows(df, "o", "nr", pieces=8).orderBy("o").collect()
