@@ -24,7 +24,14 @@ from ledgerloom.session import cut_lineage, spread
 SEED_ROWS = EVALUATED_ROWS = 10_000
 TOLERANCE = 1e-4
 BLOCK_ROWS = 2_000
-ADDERS = 8
+# Matrices of more tasks than this are added up by ADDERS tasks before they go to the driver.
+ADDERS, SUMMED_TASKS = 8, 64
+# Rows of a packed matrix, and bytes that a task of a scan reads on average.
+PACKED_ROWS, TASK_BYTES = 4096, 64 << 20
+# A full scan is due once the rows measured since the last one exceed this share of all.
+SPENT = 0.5
+# Rounding of margins, as a share of the longest vector.
+_SLACK = 1e-6
 
 
 class NearestCentre(Model, DefaultParamsReadable, DefaultParamsWritable):
@@ -58,39 +65,122 @@ def _seeded(points: np.ndarray, k: int, rng) -> np.ndarray:
     return points[chosen]
 
 
-def _step(fixed: DataFrame, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sums and counts of the rows nearest to each centre of each set, and the cost of each set."""
-    stacked = np.concatenate(sets)
-    first = np.concatenate([[0], np.cumsum([len(s) for s in sets])])
-    own = np.repeat(np.arange(len(sets)), np.diff(first))
+def _packed(points: DataFrame, size: int, sets: int) -> DataFrame:
+    """``points``: matrices of so many rows at most, in as many partitions as a scan has tasks."""
+    def work(batches: Iterable[pa.RecordBatch]):
+        for batch in batches:
+            rows = batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1)
+            blobs = [np.ascontiguousarray(rows[i : i + PACKED_ROWS]).tobytes() for i in range(0, len(rows), PACKED_ROWS)]
+            yield pa.RecordBatch.from_arrays([pa.array(blobs, pa.binary())], names=["points"])
+
+    scanned = points.count() * (8 * size + 6 * sets)
+    tasks = max(points.sparkSession.sparkContext.defaultParallelism, -(-scanned // TASK_BYTES))
+    return cut_lineage(points.coalesce(tasks).mapInArrow(work, "points binary"))
+
+
+def _edges(sets: list[np.ndarray]) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum([len(s) for s in sets])])
+
+
+def _added(totals: DataFrame, rows: int) -> np.ndarray:
+    """Sum of the matrices that tasks send; of many tasks, a few add them up before the driver adds the rest."""
+    def work(batches: Iterable[pa.RecordBatch]):
+        out = 0
+        for batch in batches:
+            for blob in batch.column(0):
+                out = out + np.frombuffer(blob.as_buffer())
+        if not np.isscalar(out):
+            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["total"])
+
+    if totals.sparkSession.sparkContext.defaultParallelism > SUMMED_TASKS:
+        totals = totals.repartition(ADDERS).mapInArrow(work, "total binary")
+    return sum(np.frombuffer(r["total"]) for r in totals.collect()).reshape(rows, -1)
+
+
+_STATE = ["points", "near", "margin", "total"]
+
+
+def _state(points=None, near=None, margin=None, total=None) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x if x is None else x.tobytes()], pa.binary()) for x in (points, near, margin, total)], names=_STATE)
+
+
+def _scan(packed: DataFrame, sets: list[np.ndarray], keep: bool = True) -> DataFrame:
+    """Each row is measured against each centre of each set.
+
+    ``total`` of a task: the sums and counts of the rows nearest to each centre and their squared distances. With
+    ``keep`` also, for each matrix of ``points``: the place of the ``near`` centre of each set and row, and the
+    ``margin`` by which the second nearest one is farther.
+    """
+    stacked, first = np.concatenate(sets), _edges(sets)
+    kind = np.min_scalar_type(max(map(len, sets)))
 
     def work(batches: Iterable[pa.RecordBatch]):
         total = np.zeros((len(stacked), stacked.shape[1] + 2))
         square = (stacked * stacked).sum(axis=1)
         for batch in batches:
-            points = batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1)
-            for i in range(0, len(points), 1024):
-                part = points[i : i + 1024]
-                far = square - 2 * (part @ stacked.T)
-                hit = np.zeros(far.shape)
-                for a, b in zip(first, first[1:]):
-                    hit[np.arange(len(part)), a + far[:, a:b].argmin(axis=1)] = 1.0
-                total[:, :-2] += hit.T @ part
-                total[:, -2] += hit.sum(axis=0)
-                total[:, -1] += (hit * np.maximum(far + (part * part).sum(axis=1)[:, None], 0)).sum(axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
+            for blob in batch.column(0):
+                points = np.frombuffer(blob.as_buffer()).reshape(-1, stacked.shape[1])
+                near, margin = np.empty((len(sets), len(points)), kind), np.empty((len(sets), len(points)), "float32")
+                for i in range(0, len(points), 1024):
+                    part = points[i : i + 1024]
+                    own, at = (part * part).sum(axis=1), np.arange(len(part))
+                    far = square - 2 * (part @ stacked.T)
+                    hit = np.zeros(far.shape)
+                    for n, (a, b) in enumerate(zip(first, first[1:])):
+                        some = far[:, a:b]
+                        chosen = some.argmin(axis=1)
+                        least = some[at, chosen]
+                        hit[at, a + chosen] = 1.0
+                        total[a:b, -1] += np.bincount(chosen, np.maximum(least + own, 0), b - a)
+                        if keep:
+                            some[at, chosen] = np.inf
+                            near[n, i : i + 1024] = chosen
+                            margin[n, i : i + 1024] = np.sqrt(np.maximum(some.min(axis=1) + own, 0)) - np.sqrt(np.maximum(least + own, 0))
+                    total[:, :-2] += hit.T @ part
+                    total[:, -2] += hit.sum(axis=0)
+                if keep:
+                    yield _state(points, near, margin)
+        yield _state(total=total)
+
+    return packed.mapInArrow(work, ", ".join(f"{c} binary" for c in _STATE))
+
+
+def _drifted(state: DataFrame, sets: list[np.ndarray], places: list[int], held: int, drift: np.ndarray) -> tuple[np.ndarray, int]:
+    """How sums and counts differ from those of the scan that made ``state``, and how many rows were measured for that.
+
+    The sets, those with ``places`` among the ``held`` ones of that scan, have since moved by ``drift`` at most.
+    A row whose margin is over twice that still has the same nearest centre and is not measured.
+    """
+    stacked, first = np.concatenate(sets), _edges(sets)
 
-    def added(batches: Iterable[pa.RecordBatch]):
-        out = np.zeros((len(stacked), stacked.shape[1] + 2))
+    def work(batches: Iterable[pa.RecordBatch]):
+        total = np.zeros((len(stacked) + 1, stacked.shape[1] + 1))
+        square = (stacked * stacked).sum(axis=1)
         for batch in batches:
-            for blob in batch.column(0):
-                out += np.frombuffer(blob.as_buffer()).reshape(out.shape)
-        yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["total"])
+            for blob, nears, margins in zip(*(batch.column(c) for c in _STATE[:3])):
+                if not blob.is_valid:
+                    continue
+                points = np.frombuffer(blob.as_buffer()).reshape(-1, stacked.shape[1])
+                margin = np.frombuffer(margins.as_buffer(), "float32").reshape(held, -1)
+                near = np.frombuffer(nears.as_buffer(), f"u{nears.as_buffer().size // margin.size}").reshape(held, -1)
+                size = np.sqrt(max(square.max(), (points * points).sum(axis=1).max()))
+                for place, reach, a, b in zip(places, 2 * drift, first, first[1:]):
+                    open_rows = np.flatnonzero(margin[place] <= reach * (1 + _SLACK) + size * _SLACK)
+                    if not len(open_rows):
+                        continue
+                    total[-1, -1] += len(open_rows)
+                    some, before = points[open_rows], near[place][open_rows]
+                    now = (square[a:b] - 2 * (some @ stacked[a:b].T)).argmin(axis=1)
+                    moved = np.flatnonzero(now != before)
+                    change = np.zeros((len(moved), b - a))
+                    change[np.arange(len(moved)), now[moved]] = 1.0
+                    change[np.arange(len(moved)), before[moved]] = -1.0
+                    total[a:b, :-1] += change.T @ some[moved]
+                    total[a:b, -1] += change.sum(axis=0)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
 
-    # A matrix a task, added up by a few tasks before the driver adds the rest.
-    summed = fixed.mapInArrow(work, "total binary").repartition(ADDERS).mapInArrow(added, "total binary").collect()
-    out = sum(np.frombuffer(r["total"]).reshape(len(stacked), -1) for r in summed)
-    return out[:, :-2], out[:, -2], np.bincount(own, out[:, -1], len(sets))
+    out = _added(state.select(*_STATE[:3]).mapInArrow(work, "total binary"), len(stacked) + 1)
+    return out[:-1], int(out[-1, -1])
 
 
 def many_starts(df: DataFrame, vector: str, ks, restarts: int = 20, iterations: int = 300, seed: int = 42, seed_rows: int = SEED_ROWS) -> dict[int, tuple[np.ndarray, float]]:
@@ -98,6 +188,10 @@ def many_starts(df: DataFrame, vector: str, ks, restarts: int = 20, iterations:
 
     All sets of centres of all ``k`` move together, one scan an iteration; a set that moves less
     than ``TOLERANCE`` rests. Starts are k-means++ over at most ``seed_rows`` rows.
+
+    A full scan keeps what is nearest to each row, and by what margin. Later iterations measure only the rows
+    that the drift of the centres since then could have given to another, until these are so many that a full
+    scan is due. The steps are those of full scans.
     """
     points = df.select(vector_to_array(vector).alias("v"))
     fixed = cut_lineage(spread(points.filter(F.col("v").isNotNull())))
@@ -105,20 +199,39 @@ def many_starts(df: DataFrame, vector: str, ks, restarts: int = 20, iterations:
     rng = np.random.default_rng(seed)
     starts = [(k, _seeded(sample, k, rng)) for k in ks for _ in range(restarts)]
     sets, moving = [s for _, s in starts], list(range(len(starts)))
+    packed = _packed(fixed, sample.shape[1], len(sets))
+    state, spent = None, 0.0
     for _ in range(iterations):
         if not moving:
             break
-        sums, counts, _ = _step(fixed, [sets[i] for i in moving])
+        now = [sets[i] for i in moving]
+        if state is None or spent > SPENT:
+            if state is not None:
+                state.unpersist()
+            held, kept, spent = moving, now, 0.0
+            state = _scan(packed, now).persist()
+            base = _added(state.filter("total IS NOT NULL").select("total"), sum(map(len, now)))[:, :-1]
+            edges, rows = _edges(now), base[: len(now[0]), -1].sum()
+            moments = base
+        else:
+            places = [held.index(i) for i in moving]
+            drift = np.array([np.sqrt(((kept[p] - s) ** 2).sum(axis=1).max()) for p, s in zip(places, now)])
+            change, measured = _drifted(state, now, places, len(held), drift)
+            spent += measured / (rows * len(moving))
+            moments = np.concatenate([base[edges[p] : edges[p + 1]] for p in places]) + change
         at, still = 0, []
         for i in moving:
             k = len(sets[i])
-            n = counts[at : at + k, None]
-            new = np.where(n > 0, sums[at : at + k] / np.maximum(n, 1), sets[i])
+            sums, n = moments[at : at + k, :-1], moments[at : at + k, -1:]
+            new = np.where(n > 0, sums / np.maximum(n, 1), sets[i])
             if ((new - sets[i]) ** 2).sum(axis=1).max() > TOLERANCE**2:
                 still.append(i)
             sets[i], at = new, at + k
         moving = still
-    cost = _step(fixed, sets)[2]
+    if state is not None:
+        state.unpersist()
+    costs = _added(_scan(packed, sets, keep=False).select("total"), sum(map(len, sets)))[:, -1]
+    cost = np.add.reduceat(costs, _edges(sets)[:-1])
     best = {}
     for i, (k, _) in enumerate(starts):
         if k not in best or cost[i] < best[k][1]:

@@ -218,6 +218,32 @@ def test_many_starts_match_separate_fits(spark):
     assert sorted(map(tuple, np.round(found[5][0]).tolist())) == sorted([(0, 0, 0), (9, 0, 0), (0, 9, 0), (0, 0, 9), (9, 9, 9)])
 
 
+def test_many_starts_take_the_steps_of_full_scans(spark, monkeypatch):
+    """Rows far from a border are not measured again, and the centres are those of plain rounds."""
+    rng = np.random.default_rng(6)
+    points = rng.normal(size=(900, 2))
+    points[:40] = points[40:80]
+    df = spark.createDataFrame([(Vectors.dense(p),) for p in points], ["v"])
+    begun, measured, scans, seeded, drifted, scan = [], [], [], clusters._seeded, clusters._drifted, clusters._scan
+    monkeypatch.setattr(clusters, "_seeded", lambda *a: begun.append(seeded(*a)) or begun[-1])
+    monkeypatch.setattr(clusters, "_drifted", lambda state, sets, *a: (out := drifted(state, sets, *a), measured.append(out[1] / (900 * len(sets))))[0])
+    monkeypatch.setattr(clusters, "_scan", lambda *a, **o: scans.append(1) or scan(*a, **o))
+    found = clusters.many_starts(df, "v", [3, 6], restarts=2, iterations=40)
+    ends = {3: [], 6: []}
+    for centres in begun:
+        for _ in range(40):
+            far = ((points[:, None] - centres[None]) ** 2).sum(axis=2)
+            new = np.array([points[far.argmin(axis=1) == c].mean(axis=0) for c in range(len(centres))])
+            still, centres = ((new - centres) ** 2).sum(axis=1).max() <= clusters.TOLERANCE**2, new
+            if still:
+                break
+        ends[len(centres)].append((((points[:, None] - centres[None]) ** 2).sum(axis=2).min(axis=1).sum(), centres))
+    for k, (centres, cost) in found.items():
+        best = min(ends[k], key=lambda e: e[0])
+        assert cost == pytest.approx(best[0], rel=1e-12) and np.allclose(centres, best[1], atol=1e-9)
+    assert len(scans) < len(measured) and np.mean(measured) < 0.3
+
+
 @pytest.mark.parametrize("dims,block", [(2, 7), (20, 1000)])
 def test_silhouettes_equal_brute_force(spark, dims, block):
 
