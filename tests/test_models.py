@@ -4,7 +4,7 @@ import random
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -504,6 +504,26 @@ def test_network_stops_when_kept_out_rows_get_worse(spark, monkeypatch):
     assert 3 < len(steps) < 40
 
 
+def test_network_deals_each_band_evenly_to_all_tasks(spark):
+    # Four bands on four cores: with both told from one hash, each band was one file, read by one task.
+    df = spark.range(8192).select(array_to_vector(F.array(F.rand(1), F.rand(2))).alias("features"), F.lit(0.0).alias("label"), F.lit(1.0).alias("weight"), F.col("id").alias("digest"))
+    blocks, bands, tasks = network.WeightedNetwork(2, 2, batch_rows=2048)._banded(df, 8)
+    shares = blocks.glom().map(lambda rows: sum(len(r[0]) // 40 for r in rows)).collect()
+    assert (bands, tasks, sum(shares)) == (4, 4, 8192) and 400 < min(shares) <= max(shares) < 640
+
+
+def test_network_step_adds_up_all_shares_of_a_band(spark):
+    rng = np.random.default_rng(5)
+    x, y, weight = rng.normal(size=(3000, 3)), rng.integers(0, 2, 3000), rng.uniform(0.5, 2, 3000)
+    df = spark.createDataFrame([(Vectors.dense(v), float(c), w, i) for i, (v, c, w) in enumerate(zip(x.tolist(), y, weight.tolist()))], ["features", "label", "weight", "digest"])
+    sizes = [3, 5, 2]
+    flat = network.started(sizes, 6)
+    blocks, bands, tasks = network.WeightedNetwork(3, 2, (5,), share=0.0, batch_rows=1500)._banded(df, flat.nbytes)
+    found = [network._summed(blocks, range(band * tasks, (band + 1) * tasks), flat, sizes) for band in range(bands)]
+    assert bands == 2 and tasks > 1 and sum(f[1] for f in found) == pytest.approx(weight.sum())
+    assert sum(f[0] for f in found) == pytest.approx(network.loss_and_gradient(x, y, weight, flat, sizes)[1])
+
+
 def asked_by_row(fitted, ready, kind):
     """What the model says when each row is asked by itself."""
     return kind._transform(fitted, ready)
