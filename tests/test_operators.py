@@ -315,3 +315,36 @@ def test_splits_cover_and_are_even(spark):
 def test_split_size_rounds_up(spark):
     df = spark.range(2628)
     assert split.train_test(df, ["id"], 0.2)[1].count() == 526
+
+
+def test_spellings_are_normalised_once(spark, monkeypatch):
+    # A filter on the comparable form was moved below it, so that each spelling was normalised twice; and a cell of one name came twice.
+    plans, real, written = [], match.cut_lineage, []
+
+    def spied(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        written.append(real(df))
+        return written[-1]
+
+    monkeypatch.setattr(match, "cut_lineage", spied)
+    names = spark.createDataFrame([("Alfa shpk",), ("Beta, Gama",), ("?",), (None,)], "name string")
+    registry = spark.createDataFrame([(1, "alfa shpk"), (2, "gama"), (3, "beta gama")], "id int, norm string")
+    found = match.match_names(names, registry, [match.Tier("norm", "firm")], "id")
+    assert sorted((r["name"], r["reg_id"]) for r in found.collect()) == [("Alfa shpk", 1), ("Beta, Gama", 3)]
+    assert plans[0].count("[^a-z0-9]+") == 1
+    assert [r["n"] for r in written[0].groupBy("name").agg(F.count("*").alias("n")).orderBy("name").collect()] == [1, 1, 4]
+
+
+def test_registry_text_is_made_by_all_tasks(spark, tmp_path):
+    from ledgerloom.plans import views
+
+    rows = [(i, i % 25, "BUILDING") for i in range(100)]
+    spark.createDataFrame(rows, "c_custkey long, c_nationkey int, c_mktsegment string").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    made = views.registry_rows(spark, str(tmp_path))
+    assert made.rdd.getNumPartitions() > 1 and made.count() == 100
+
+
+def test_only_the_activity_taken_is_parsed(spark):
+    df = spark.createDataFrame([("1, 2;a,b;P",)], "source string").select(match.activity_columns("source")["activity_2_code"].alias("code"))
+    assert df.first()["code"] == "2"
+    assert "description" not in df._jdf.queryExecution().optimizedPlan().toString()
