@@ -169,7 +169,9 @@ def _links(keyed: DataFrame, radius: int, partitions: int) -> DataFrame:
         if len(held[0]):
             yield from stars(*held)
 
-    dealt = keyed.select("key", "fp", "rep").repartition(partitions, "key").sortWithinPartitions("key", "rep")
+    # Dealt by a digest of the key: after a join by the key itself the planner takes this exchange for a needless one, and
+    # when adaptive execution then broadcasts the other side, the rows of a key stay in many tasks.
+    dealt = keyed.select("key", "fp", "rep").repartition(partitions, F.xxhash64("key")).sortWithinPartitions("key", "rep")
     return dealt.mapInArrow(work, "a long, b long")
 
 

@@ -8,6 +8,7 @@ import xxhash
 
 from brute import components, words
 from ledgerloom.llm import simhash as S
+from ledgerloom.session import cut_lineage
 
 
 def fingerprint(text, k=3):
@@ -51,6 +52,26 @@ def test_components_of_fingerprints(spark, bucket):
     assert got == components(range(len(values)), lambda a, b: (values[a] ^ values[b]).bit_count() <= 2)
 
 
+@pytest.fixture
+def late_broadcasts(spark):
+    """As with large tables: no side is broadcast when a join is planned, adaptive execution does so later, and tasks stay apart."""
+    wanted = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def test_rows_of_a_key_meet_after_a_late_broadcast(spark, late_broadcasts):
+    values = clustered(15, 4)
+    signed = [(v - (1 << 64) if v >> 63 else v, i) for i, v in enumerate(values)]
+    links = S.fingerprint_links(cut_lineage(spark.createDataFrame(signed, "fp long, rep long").repartition(4)))
+    got = {i: i for i in range(len(values))} | dict(map(tuple, S.components(links).collect()))
+    assert got == components(range(len(values)), lambda a, b: (values[a] ^ values[b]).bit_count() <= 2)
+
+
 def test_long_chain(spark):
     links = spark.range(1, 120).selectExpr("id as a", "id - 1 as b")
     assert set(map(tuple, S.components(links).collect())) == {(i, 0) for i in range(1, 120)}
