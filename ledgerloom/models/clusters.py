@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 import json
 from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import vector_to_array
@@ -20,8 +22,6 @@ from ledgerloom.models.evaluate import internal_scores, squared_distance
 from ledgerloom.operators.split import split_flag
 from ledgerloom.session import cut_lineage, spread
 
-# Starts are drawn from so many rows at most (least digest of the vector); silhouettes are taken over as many.
-SEED_ROWS = EVALUATED_ROWS = 10_000
 TOLERANCE = 1e-4
 BLOCK_ROWS = 2_000
 # Matrices of more tasks than this are added up by ADDERS tasks before they go to the driver.
@@ -54,15 +54,56 @@ class NearestCentre(Model, DefaultParamsReadable, DefaultParamsWritable):
         return df.withColumn("__far", far).withColumn(held["into"], (F.array_position("__far", F.array_min("__far")) - 1).cast("int")).drop("__far")
 
 
-def _seeded(points: np.ndarray, k: int, rng) -> np.ndarray:
-    """k-means++: each next centre is drawn by squared distance from those before."""
-    chosen = [int(rng.integers(len(points)))]
-    far = ((points - points[chosen[0]]) ** 2).sum(axis=1)
-    while len(chosen) < k:
-        total = far.sum()
-        chosen.append(int(rng.choice(len(points), p=far / total)) if total > 0 else int(rng.integers(len(points))))
-        far = np.minimum(far, ((points - points[chosen[-1]]) ** 2).sum(axis=1))
-    return points[chosen]
+def _seeded(drawn: np.ndarray, k: int) -> np.ndarray:
+    """The centres of a start: the first ``k`` rows that were drawn for it."""
+    return drawn[:k].copy()
+
+
+def _sooner(a: np.ndarray, b: np.ndarray, width: int) -> np.ndarray:
+    """Of two matrices, each row from the one with the lesser first number."""
+    a, b = a.reshape(-1, width), b.reshape(-1, width)
+    return np.where(a[:, :1] <= b[:, :1], a, b).ravel()
+
+
+def _drawn(packed: DataFrame, size: int, ks: list[int], seed: int) -> np.ndarray:
+    """k-means++ over all rows, for all starts at once: each next centre is drawn by squared distance from those before.
+
+    One pass over the rows for each place of a start. A draw is a race: every row has an exponential time divided by
+    its weight, and the first one wins, so a task sends its first row of each start and never its rows. The draws are
+    repeatable on the same partitions.
+    """
+    drawn = np.zeros((len(ks), max(ks), size))
+    for place in range(max(ks)):
+        open_starts = [i for i, k in enumerate(ks) if k > place]
+        stacked = drawn[open_starts, :place].reshape(-1, size)
+
+        def work(batches: Iterable[pa.RecordBatch]):
+            first = np.full((len(open_starts), 1 + size), np.inf)
+            rng = np.random.default_rng([seed, place, TaskContext.get().partitionId()])
+            square = (stacked * stacked).sum(axis=1)
+            for batch in batches:
+                for blob in batch.column(0):
+                    points = np.frombuffer(blob.as_buffer()).reshape(-1, size)
+                    for i in range(0, len(points), 1024):
+                        part = points[i : i + 1024]
+                        time = rng.exponential(size=(len(part), len(open_starts)))
+                        if place:
+                            own = (part * part).sum(axis=1)[:, None]
+                            far = square - 2 * (part @ stacked.T) + own
+                            # What rounding leaves of a row that is a centre itself.
+                            far[far <= 1e-12 * (own + square)] = 0
+                            far = far.reshape(len(part), -1, place).min(axis=2)
+                            # Rows that are centres come after all others, and are drawn evenly if there are no others.
+                            time = np.where(far > 0, time / np.where(far > 0, far, 1), 1e300 * (1 + time))
+                        at = time.argmin(axis=0)
+                        least = time[at, np.arange(len(open_starts))]
+                        sooner = least < first[:, 0]
+                        first[sooner, 0], first[sooner, 1:] = least[sooner], part[at[sooner]]
+            yield pa.RecordBatch.from_arrays([pa.array([first.tobytes()], pa.binary())], names=["first"])
+
+        sent = _gathered(packed.mapInArrow(work, "first binary"), lambda a, b: _sooner(a, b, 1 + size))
+        drawn[open_starts, place] = sent.reshape(len(open_starts), -1)[:, 1:]
+    return drawn
 
 
 def _packed(points: DataFrame, size: int, sets: int) -> DataFrame:
@@ -82,19 +123,27 @@ def _edges(sets: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([[0], np.cumsum([len(s) for s in sets])])
 
 
-def _added(totals: DataFrame, rows: int) -> np.ndarray:
-    """Sum of the matrices that tasks send; of many tasks, a few add them up before the driver adds the rest."""
+def _gathered(sent: DataFrame, join) -> np.ndarray:
+    """The arrays that tasks send, joined two by two; of many tasks, a few join them before the driver joins the rest."""
+    name = sent.columns[0]
+
     def work(batches: Iterable[pa.RecordBatch]):
-        out = 0
+        out = None
         for batch in batches:
             for blob in batch.column(0):
-                out = out + np.frombuffer(blob.as_buffer())
-        if not np.isscalar(out):
-            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["total"])
+                one = np.frombuffer(blob.as_buffer())
+                out = one if out is None else join(out, one)
+        if out is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=[name])
 
-    if totals.sparkSession.sparkContext.defaultParallelism > SUMMED_TASKS:
-        totals = totals.repartition(ADDERS).mapInArrow(work, "total binary")
-    return sum(np.frombuffer(r["total"]) for r in totals.collect()).reshape(rows, -1)
+    if sent.sparkSession.sparkContext.defaultParallelism > SUMMED_TASKS:
+        sent = sent.repartition(ADDERS).mapInArrow(work, f"{name} binary")
+    return functools.reduce(join, (np.frombuffer(r[0]) for r in sent.collect()))
+
+
+def _added(totals: DataFrame, rows: int) -> np.ndarray:
+    """Sum of the matrices that tasks send."""
+    return _gathered(totals, np.add).reshape(rows, -1)
 
 
 _STATE = ["points", "near", "margin", "total"]
@@ -183,11 +232,11 @@ def _drifted(state: DataFrame, sets: list[np.ndarray], places: list[int], held:
     return out[:-1], int(out[-1, -1])
 
 
-def many_starts(df: DataFrame, vector: str, ks, restarts: int = 20, iterations: int = 300, seed: int = 42, seed_rows: int = SEED_ROWS) -> dict[int, tuple[np.ndarray, float]]:
+def many_starts(df: DataFrame, vector: str, ks, restarts: int = 20, iterations: int = 300, seed: int = 42) -> dict[int, tuple[np.ndarray, float]]:
     """``{k: (centres, cost)}`` of the cheapest of ``restarts`` starts for each ``k``.
 
     All sets of centres of all ``k`` move together, one scan an iteration; a set that moves less
-    than ``TOLERANCE`` rests. Starts are k-means++ over at most ``seed_rows`` rows.
+    than ``TOLERANCE`` rests. Starts are k-means++ over all rows.
 
     A full scan keeps what is nearest to each row, and by what margin. Later iterations measure only the rows
     that the drift of the centres since then could have given to another, until these are so many that a full
@@ -195,11 +244,11 @@ def many_starts(df: DataFrame, vector: str, ks, restarts: int = 20, iterations:
     """
     points = df.select(vector_to_array(vector).alias("v"))
     fixed = cut_lineage(spread(points.filter(F.col("v").isNotNull())))
-    sample = np.array([r["v"] for r in fixed.orderBy(F.xxhash64("v"), "v").limit(seed_rows).collect()])
-    rng = np.random.default_rng(seed)
-    starts = [(k, _seeded(sample, k, rng)) for k in ks for _ in range(restarts)]
+    counts = [k for k in ks for _ in range(restarts)]
+    size = len(fixed.first()["v"])
+    packed = _packed(fixed, size, len(counts))
+    starts = [(k, _seeded(drawn, k)) for k, drawn in zip(counts, _drawn(packed, size, counts, seed))]
     sets, moving = [s for _, s in starts], list(range(len(starts)))
-    packed = _packed(fixed, sample.shape[1], len(sets))
     state, spent = None, 0.0
     for _ in range(iterations):
         if not moving:
@@ -239,57 +288,87 @@ def many_starts(df: DataFrame, vector: str, ks, restarts: int = 20, iterations:
     return best
 
 
-def silhouettes(df: DataFrame, vector: str, clusters: list[str], sample: int | None = EVALUATED_ROWS, block: int = BLOCK_ROWS) -> dict[str, float]:
+def silhouettes(df: DataFrame, vector: str, clusters: list[str], block: int = BLOCK_ROWS) -> dict[str, float]:
     """Mean Euclidean silhouette under each cluster column; a row alone in its cluster counts 0.
 
-    Exact over the rows of least digest, ``sample`` at most (None: all rows, work growing with
-    their square). Blocks of rows meet in a grid of cells; a cell gives the sum of distances of each
-    row to each cluster of the other block, never pairs.
+    Exact over all rows, so the work grows with their square. Rows are packed in blocks, every block meets
+    every other one, and what leaves a task is the sum of distances of each row to each cluster, never pairs.
     """
-    points = df.select(vector_to_array(vector).alias("v"), F.array(*[F.col(c).cast("int") for c in clusters]).alias("c"))
-    if sample is not None:
-        points = points.orderBy(F.xxhash64("v"), "v", "c").limit(sample)
-    points = cut_lineage(points.withColumn("row", F.monotonically_increasing_id()))
-    blocks = max(1, -(-points.count() // block))
-    points = points.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
-    others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = points.withColumn("a", F.col("block")).withColumn("b", others)
-    right = points.withColumn("b", F.col("block")).withColumn("a", others)
-
-    def distances(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        if not len(x) or not len(y):
-            return pd.DataFrame({"row": [], "way": [], "cluster": [], "far": []})
-        p, q = np.array(x["v"].tolist()), np.array(y["v"].tolist())
-        own, out = np.array(y["c"].tolist()), []
-        sums = [(way, c, np.zeros(len(p))) for way in range(own.shape[1]) for c in np.unique(own[:, way])]
-        for i in range(0, len(q), 256):
-            part = q[i : i + 256]
-            far = np.sqrt(((p[:, None, :] - part[None]) ** 2).sum(axis=2)) if p.shape[1] <= 16 else _far(p, part)
-            for way, c, total in sums:
-                total += far[:, own[i : i + 256, way] == c].sum(axis=1)
-        for way, c, total in sums:
-            out.append(pd.DataFrame({"row": x["row"], "way": way, "cluster": c, "far": total}))
-        return pd.concat(out)
-
-    cells = left.groupBy("a", "b").cogroup(right.groupBy("a", "b")).applyInPandas(distances, "row long, way int, cluster int, far double")
-    summed = cells.groupBy("row", "way", "cluster").agg(F.sum("far").alias("far"))
-    mine = points.select("row", F.posexplode("c").alias("way", "own"))
-    sizes = mine.groupBy(F.col("way"), F.col("own").alias("cluster")).agg(F.count("*").alias("n"))
-    joined = summed.join(sizes, ["way", "cluster"]).join(mine, ["row", "way"])
-    home = F.col("cluster") == F.col("own")
-    rows = joined.groupBy("row", "way").agg(
-        F.max(F.when(home, F.col("far") / F.greatest(F.col("n") - 1, F.lit(1)))).alias("a"), F.min(F.when(~home, F.col("far") / F.col("n"))).alias("b"), F.max(F.when(home, F.col("n"))).alias("n"))
-    worth = F.when((F.col("n") > 1) & F.col("b").isNotNull() & (F.greatest("a", "b") > 0), (F.col("b") - F.col("a")) / F.greatest("a", "b")).otherwise(0.0)
-    found = {r["way"]: r["s"] for r in rows.groupBy("way").agg(F.avg(worth).alias("s")).collect()}
+    ways = len(clusters)
+    points = df.select(vector_to_array(vector).alias("v"), F.array(*[F.col(c).cast("int") for c in clusters]).alias("c")).filter("v IS NOT NULL")
+    points = cut_lineage(spread(points))
+    sizes = {(r["way"], r["cluster"]): r["n"] for r in points.select(F.posexplode("c").alias("way", "cluster")).groupBy("way", "cluster").agg(F.count("*").alias("n")).collect()}
+    # A column for each cluster of each way.
+    columns = {pair: i for i, pair in enumerate(sorted(sizes))}
+
+    def packed(batches: Iterable[pa.RecordBatch]):
+        for batch in batches:
+            for i in range(0, batch.num_rows, block):
+                part = batch.slice(i, block)
+                rows = part.column(0).flatten().to_numpy().reshape(part.num_rows, -1)
+                own = np.array([[columns[way, c] for way, c in enumerate(r)] for r in part.column(1).to_pylist()], "int32")
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in (rows, own)], names=["points", "own"])
+
+    blocks = cut_lineage(points.mapInArrow(packed, "points binary, own binary").withColumn("block", F.monotonically_increasing_id()))
+
+    def distances(batches: Iterable[pa.RecordBatch]):
+        now = None
+        for batch in batches:
+            for a, x, own, y, theirs in zip(*(batch.column(c) for c in ("block", "points", "own", "y", "theirs"))):
+                if now is None or a.as_py() != now[0]:
+                    if now is not None:
+                        yield _row_sums(*now)
+                    own = own.as_py()
+                    rows = len(own) // (4 * ways)
+                    now = a.as_py(), own, np.zeros((rows, len(columns)))
+                    p = np.frombuffer(x.as_buffer()).reshape(rows, -1)
+                q, their = np.frombuffer(y.as_buffer()).reshape(-1, p.shape[1]), np.frombuffer(theirs.as_buffer(), "int32").reshape(-1, ways)
+                for i in range(0, len(q), 256):
+                    part = q[i : i + 256]
+                    far = np.sqrt(((p[:, None, :] - part[None]) ** 2).sum(axis=2)) if p.shape[1] <= 16 else _far(p, part)
+                    hot = np.zeros((len(part), len(columns)))
+                    np.put_along_axis(hot, their[i : i + 256], 1.0, axis=1)
+                    now[2][:] += far @ hot
+        if now is not None:
+            yield _row_sums(*now)
+
+    counts = np.array([sizes[pair] for pair in sorted(sizes)], float)
+    of_way = np.array([way for way, _ in sorted(sizes)])
+
+    def judged(frame: pd.DataFrame) -> pd.DataFrame:
+        far = sum(np.frombuffer(x).reshape(-1, len(columns)) for x in frame["sums"])
+        own, at = np.frombuffer(frame["own"].iloc[0], "int32").reshape(-1, ways), np.arange(len(far))
+        out = []
+        for way in range(ways):
+            n = counts[own[:, way]]
+            inside = far[at, own[:, way]] / np.maximum(n - 1, 1)
+            others = np.where(of_way[None] == way, far / counts, np.inf)
+            others[at, own[:, way]] = np.inf
+            outside = others.min(axis=1)
+            most = np.maximum(inside, outside)
+            told = (n > 1) & np.isfinite(outside) & (most > 0)
+            out.append((np.where(told, outside, 0) - np.where(told, inside, 0))[told] / most[told])
+        return pd.DataFrame({"way": range(ways), "worth": [x.sum() for x in out], "n": len(far)})
+
+    others = blocks.select(F.col("points").alias("y"), F.col("own").alias("theirs"))
+    # Every partition meets every other one, without a shuffle.
+    met = blocks.select("block", "points", "own").crossJoin(others.hint("shuffle_replicate_nl"))
+    sums = met.mapInArrow(distances, "block long, own binary, sums binary")
+    worth = sums.groupBy("block").applyInPandas(judged, "way int, worth double, n long")
+    found = {r["way"]: r["s"] for r in worth.groupBy("way").agg((F.sum("worth") / F.sum("n")).alias("s")).collect()}
     return {c: float(found.get(i, 0.0)) for i, c in enumerate(clusters)}
 
 
+def _row_sums(block: int, own: bytes, sums: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([own], pa.binary()), pa.array([sums.tobytes()], pa.binary())], names=["block", "own", "sums"])
+
+
 def _far(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum((p * p).sum(axis=1)[:, None] - 2 * (p @ q.T) + (q * q).sum(axis=1)[None], 0))
 
 
-def kmeans_search(df: DataFrame, vector: str, ks=range(3, 11), restarts: int = 20, iterations: int = 300, seed: int = 42, sample: int | None = EVALUATED_ROWS):
-    """(best model, table of scores per k); each k keeps its cheapest start, the best Euclidean silhouette wins."""
+def kmeans_search(df: DataFrame, vector: str, ks=range(3, 11), restarts: int = 20, iterations: int = 300, seed: int = 42):
+    """(best model, table of scores per k); each k keeps its cheapest start, the best Euclidean silhouette over all rows wins."""
     fixed = cut_lineage(spread(df.select(vector)))
     found = many_starts(fixed, vector, ks, restarts, iterations, seed)
     models = {k: NearestCentre(centres, vector, f"cluster_{k}") for k, (centres, _) in found.items()}
@@ -297,7 +376,7 @@ def kmeans_search(df: DataFrame, vector: str, ks=range(3, 11), restarts: int = 2
     for model in models.values():
         assigned = model.transform(assigned)
     assigned = cut_lineage(assigned)
-    silhouette = silhouettes(assigned, vector, [f"cluster_{k}" for k in models], sample)
+    silhouette = silhouettes(assigned, vector, [f"cluster_{k}" for k in models])
     rows = []
     for k in models:
         scores = internal_scores(assigned, vector, f"cluster_{k}").first()

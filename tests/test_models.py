@@ -262,6 +262,28 @@ def test_silhouettes_equal_brute_force(spark, dims, block):
         assert got[name] == pytest.approx(np.mean(values))
 
 
+def test_clustering_takes_starts_and_silhouettes_from_all_rows(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    points = rng.normal(size=(10_500, 2))
+    points[:2] = [1e4, 0], [1e4, 1]
+    df = spark.createDataFrame([(Vectors.dense(p), int(p[1] > 0)) for p in points], ["v", "c"]).repartition(3)
+    begun, seeded = [], clusters._seeded
+    monkeypatch.setattr(clusters, "_seeded", lambda *a: begun.append(seeded(*a)) or begun[-1])
+    clusters.many_starts(df, "v", [2], restarts=6, iterations=2)
+    # The two far rows are a centre of every start, whatever their digest.
+    assert all(sorted(c[:, 0] > 1e3) == [False, True] for c in begun)
+    own, total = points[:, 1] > 0, 0.0
+    for i in range(0, len(points), 500):
+        some = points[i : i + 500]
+        far = np.sqrt(((some[:, None] - points[None]) ** 2).sum(axis=2))
+        yes, no = far[:, own].sum(axis=1), far[:, ~own].sum(axis=1)
+        mine, n = own[i : i + 500], own.sum()
+        a = np.where(mine, yes / (n - 1), no / (len(points) - n - 1))
+        b = np.where(mine, no / (len(points) - n), yes / n)
+        total += ((b - a) / np.maximum(a, b)).sum()
+    assert clusters.silhouettes(df, "v", ["c"])["c"] == pytest.approx(total / len(points), rel=1e-9)
+
+
 def test_latent_stage_is_fitted_on_training_rows(spark, tmp_path):
 
     rng = np.random.default_rng(3)
