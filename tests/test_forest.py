@@ -7,6 +7,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 
 from ledgerloom.models import forest, train, trees
+from ledgerloom.operators.split import train_test
 from ledgerloom.plans import q_models
 
 FOLDER = "/root/testdata/sf0.001"
@@ -90,7 +91,7 @@ class Seen(Exception):
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
-@pytest.mark.parametrize("name", ["train_rf", "predict_confidence"])
+@pytest.mark.parametrize("name", ["train_rf", "predict_confidence", "refit_evaluate"])
 def test_training_queries_fit_on_all_rows(spark, monkeypatch, name):
     def watch(self, df):
         raise Seen(df.count())
@@ -99,5 +100,7 @@ def test_training_queries_fit_on_all_rows(spark, monkeypatch, name):
     monkeypatch.setattr(trees.BoostedPerClass, "fit", watch)
     with pytest.raises(Seen) as seen:
         getattr(q_models, name)(spark, FOLDER)
-    learn = q_models._split(spark, FOLDER)[0].count()
-    assert learn > q_models.FIT_ROWS and seen.value.args[0] == learn
+    learn = q_models._split(spark, FOLDER)[0]
+    if name == "refit_evaluate":
+        learn = train_test(learn, ["o_orderkey"], 0.15, 42, by=["o_orderstatus"])[0]
+    assert seen.value.args[0] == learn.count() > q_models.FIT_ROWS
