@@ -91,7 +91,7 @@ class Seen(Exception):
 
 
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables here")
-@pytest.mark.parametrize("name", ["train_rf", "predict_confidence", "refit_evaluate"])
+@pytest.mark.parametrize("name", ["train_rf", "predict_confidence", "refit_evaluate", "train_gbt_ovr"])
 def test_training_queries_fit_on_all_rows(spark, monkeypatch, name):
     def watch(self, df):
         raise Seen(df.count())
